@@ -111,14 +111,19 @@ def keyed_ordinal(df: DataFrame, keys, order: Sequence, name: str = "ordinal",
 
     ``order`` must be a total order inside a key (add a unique tiebreaker).
     Project the needed columns before calling: every column passes the sort.
-    Both passes below read the same range exchange (identical subtrees are
-    reused), so they agree on which rows each partition holds.
+    Cost: one range shuffle and one write of the projected rows, then two
+    reads (a per-partition rank pass and a one-row-per-partition edge pass).
     """
     keys = as_list(keys)
     n_parts = partitions or shuffle_partitions(df.sparkSession)
     sort_cols = [F.col(k) for k in keys] + [_sort_col(o) for o in order]
+    # Written once to the shared checkpoint folder: both passes below then read
+    # the very same partitions (a recomputed range exchange could sample other
+    # bounds), and the sorted runs survive executor loss.
+    checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(n_parts, *sort_cols)
               .sortWithinPartitions(*sort_cols)
+              .checkpoint(eager=True)
               .withColumn("_pid", F.spark_partition_id()))
     types = {f.name: f.dataType for f in df.schema.fields}
     edge_schema = T.StructType(
@@ -174,6 +179,7 @@ def attach(df: DataFrame, small: DataFrame, keys, how: str = "inner",
     """
     keys = as_list(keys)
     if not keys:
+        # a one-row table (a global statistic): attached to every row by broadcast
         return df.crossJoin(F.broadcast(small))
     if bound is not None and bound <= max_rows:
         return df.join(F.broadcast(small), keys, how)

@@ -77,7 +77,7 @@ def mean_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace NULL/NaN with the column mean, in place (one aggregate, broadcast)."""
     columns = as_list(columns)
     means = mean_values(df, columns).select(*[F.col(c).alias("_mean_" + c) for c in columns])
-    out = df.crossJoin(F.broadcast(means))
+    out = attach(df, means, [])
     for c in columns:
         cast = field_type(df, c).simpleString()
         out = out.withColumn(c, F.when(is_missing(df, c), F.col("_mean_" + c).cast(cast)).otherwise(F.col(c)))
@@ -141,7 +141,7 @@ def frequency_index(df: DataFrame, columns: Sequence[str], keep_invalid: bool =
         out = attach(out, idx, [c], how="left")
         if keep_invalid:
             size = idx.agg(F.count(F.lit(1)).cast("double").alias("_size"))
-            out = out.crossJoin(F.broadcast(size)).withColumn(
+            out = attach(out, size, []).withColumn(
                 c + "_Index", F.coalesce(F.col(c + "_Index"), F.col("_size"))).drop("_size")
         else:
             out = out.where(F.col(c + "_Index").isNotNull())

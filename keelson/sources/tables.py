@@ -62,7 +62,8 @@ def lookback_scan(df: DataFrame, ts: str, days: int, keys=None, latest=None) ->
         return df.where(F.col(ts) >= F.lit(latest) - bound)
     if not keys:
         newest = df.agg(F.max(ts).alias("_newest"))
-        return (df.crossJoin(F.broadcast(newest))
+        from keelson.operators.ordering import attach
+        return (attach(df, newest, [])
                 .where(F.col(ts) >= F.col("_newest") - bound).drop("_newest"))
     newest = df.groupBy(*keys).agg(F.max(ts).alias("_newest"))
     from keelson.operators.ordering import attach
