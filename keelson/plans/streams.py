@@ -1 +1,103 @@
-"""Registered queries."""
+"""Streaming queries (STR1–STR7): events staged as files, consumed by Structured Streaming."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from keelson.functions.exprs import ts_text
+from keelson.plans import register
+from keelson.plans._util import rnd, table, ts_sql
+from keelson.session import scratch_path
+from keelson.streaming import bars as sb
+
+
+def staged_events(spark, base, copies: bool = False):
+    """Events written as tick files by Spark (plus a revised copy of every fifth row)."""
+    path = scratch_path(spark, "ticks")
+    ev = table(spark, base, "events")
+    ev.write.mode("overwrite").parquet(path)
+    if copies:
+        ev.where(F.col("event_id") % 5 == 0).withColumn("value", F.col("value") + 1) \
+          .write.mode("append").parquet(path)
+    return path
+
+
+def _cycle(spark, base):
+    src = staged_events(spark, base)
+    root = scratch_path(spark, "cycle")
+    sb.run_forecast_loop(spark, src, root, scratch_path(spark, "cycle-ckpt"), max_cycles=5)
+    return root
+
+
+BARS_END = "max_ts - INTERVAL 10 MINUTE"
+
+
+@register("STR2", f"""
+WITH b AS (SELECT event_type AS symbol, time_bucket(INTERVAL 1 HOUR, ts) AS bar_start, arg_min(value, ts) AS open,
+             max(value) AS high, min(value) AS low, arg_max(value, ts) AS close, count(*) AS n_ticks FROM events GROUP BY ALL),
+m AS (SELECT max(ts) AS max_ts FROM events)
+SELECT symbol, {ts_sql('bar_start')} AS bar_start, open, high, low, close, n_ticks FROM b, m
+WHERE bar_start + INTERVAL 1 HOUR <= {BARS_END}""")
+def stream_bars(spark, base):
+    """Hourly bars from the tick stream, append mode, 10-minute watermark: closed windows only."""
+    src = staged_events(spark, base)
+    out = scratch_path(spark, "bars")
+    sb.run_to_table(sb.stream_bars(sb.tick_stream(spark, src)), out, scratch_path(spark, "bars-ckpt"))
+    b = spark.read.parquet(out)
+    return b.select("symbol", ts_text(F.col("bar_start").cast("timestamp_ntz")).alias("bar_start"),
+                    "open", "high", "low", "close", "n_ticks")
+
+
+@register("STR3", f"SELECT event_type, {ts_sql('ts')} AS ts FROM (SELECT DISTINCT event_type, ts FROM events)")
+def stream_dedupe(spark, base):
+    """Revised copies of ticks dropped by (symbol, ts) within the watermark."""
+    src = staged_events(spark, base, copies=True)
+    out = scratch_path(spark, "dedupe")
+    sb.run_to_table(sb.dedupe_stream(sb.tick_stream(spark, src), ["event_type", "ts"]), out, scratch_path(spark, "dedupe-ckpt"))
+    d = spark.read.parquet(out)
+    return d.select("event_type", ts_text(F.col("ts").cast("timestamp_ntz")).alias("ts"))
+
+
+@register("STR1", f"""
+SELECT event_type AS symbol, count(*) AS n_bars, {ts_sql('max(bar_start)')} AS last_bar FROM (
+  SELECT DISTINCT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS bar_start FROM events) GROUP BY event_type""")
+def stream_history(spark, base):
+    """Bars appended by the forecast cycle (only bars newer than the stored ones)."""
+    root = _cycle(spark, base)
+    b = spark.read.parquet(f"{root}/bars")
+    return b.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_bars"),
+                                   ts_text(F.max("bar_start").cast("timestamp_ntz")).alias("last_bar"))
+
+
+@register("STR6", """
+SELECT event_type AS symbol, min(close) AS close_min, max(close) AS close_max FROM (
+  SELECT event_type, arg_max(value, ts) AS close FROM events GROUP BY event_type, time_bucket(INTERVAL 1 HOUR, ts))
+GROUP BY event_type""")
+def stream_stats(spark, base):
+    root = _cycle(spark, base)
+    st = spark.read.parquet(f"{root}/stats")
+    last = st.groupBy("symbol").agg(F.max("batch_id").alias("batch_id"))
+    return st.join(last, ["symbol", "batch_id"]).select("symbol", "close_min", "close_max")
+
+
+@register("STR7", f"""
+WITH b AS (SELECT event_type AS symbol, time_bucket(INTERVAL 1 HOUR, ts) AS bar_start, arg_max(value, ts) AS close
+           FROM events GROUP BY ALL),
+l AS (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY bar_start) AS prev FROM b),
+f AS (SELECT symbol, regr_slope(close, prev) AS slope, regr_intercept(close, prev) AS intercept FROM l GROUP BY symbol),
+t AS (SELECT symbol, max(bar_start) AS last_bar, arg_max(close, bar_start) AS last_close FROM b GROUP BY symbol)
+SELECT symbol, {ts_sql('last_bar')} AS last_bar, last_close, round(intercept + slope * last_close, 6) AS predicted_next
+FROM t JOIN f USING (symbol)""")
+def stream_forecast(spark, base):
+    root = _cycle(spark, base)
+    fc = spark.read.parquet(f"{root}/forecasts")
+    last = fc.groupBy("symbol").agg(F.max("cycle").alias("cycle"))
+    return fc.join(last, ["symbol", "cycle"]).select(
+        "symbol", ts_text(F.col("last_bar").cast("timestamp_ntz")).alias("last_bar"), "last_close", rnd("predicted_next", 6))
+
+
+@register("STR4")
+def stream_cycles(spark, base):
+    """Cycle log of the forecast loop (rows-only: one row per productive batch)."""
+    root = _cycle(spark, base)
+    return spark.read.parquet(f"{root}/runs")
