@@ -1,0 +1,64 @@
+"""Synthetic regression table (SRC8, FT13–FT16, FN16) generated per row of a given table.
+
+Uniform features, a linear plus nonlinear response, Gaussian noise scaled by the
+response's population deviation, and correlated / cyclical / outlier columns.
+Seeded ``rand``/``randn`` draws depend on the partitioning; properties, not
+values, are stable.
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from keelson.operators.ordering import attach, key_counts, keyed_ordinal
+from keelson.operators.split import k_smallest
+
+
+def _nonlinear(cols):
+    terms = []
+    if len(cols) > 0:
+        terms.append(0.5 * F.pow(F.col(cols[0]), 2))
+    if len(cols) > 2:
+        terms.append(1.5 * F.col(cols[1]) * F.col(cols[2]))
+    if len(cols) > 3:
+        terms.append(2 * F.sin(F.col(cols[3])))
+    if len(cols) > 4:
+        terms.append(0.1 * F.exp(F.col(cols[4]) / 2))
+    if len(cols) > 5:
+        terms.append(3 * (F.col(cols[5]) > 1.5).cast("double"))
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out
+
+
+def regression_data(ids: DataFrame, id_col: str, n_features: int = 10, seed: int = 1994,
+                    noise_level: float = 0.3, nonlinear: bool = True) -> DataFrame:
+    feats = [f"feature_{i}" for i in range(n_features)]
+    d = ids.select(id_col, *[(F.rand(seed + i) * 10 - 5).alias(f) for i, f in enumerate(feats)])
+    w = np.random.default_rng(seed).normal(0, 1, n_features // 2)
+    signal = F.lit(0.0)
+    for f, wi in zip(feats[: n_features // 2], w):
+        signal = signal + F.col(f) * F.lit(float(wi))
+    if nonlinear:
+        signal = signal + _nonlinear(feats)
+    d = d.withColumn("_signal", signal)
+    std = d.agg(F.stddev_pop("_signal").alias("_sd"))
+    d = attach(d, std, []).withColumn("target", F.col("_signal") + F.randn(seed + 101) * noise_level * F.col("_sd"))
+    if n_features >= 7:
+        d = d.withColumn("feature_correlated", 0.8 * F.col("feature_0") + F.randn(seed + 102) * 0.2)
+    pos = keyed_ordinal(d.select(id_col), [], [id_col], name="_i")
+    n = key_counts(d.select(id_col), [], "_n")
+    pos = attach(pos, n, []).select(id_col, F.sin(F.lit(4 * math.pi) * F.try_divide(F.col("_i"), F.col("_n") - 1))
+                                    .alias("feature_cyclical"))
+    d = d.join(pos, id_col)
+    n_out = ids.count() // 100
+    flagged = k_smallest(d.select(id_col), [id_col], n_out, seed, flag="_outlier")
+    d = d.join(flagged, id_col).withColumn(
+        "feature_with_outliers",
+        F.when(F.col("_outlier"), F.rand(seed + 103) * 5 + 10).otherwise(F.randn(seed + 104)))
+    return d.drop("_signal", "_sd", "_outlier")
