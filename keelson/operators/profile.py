@@ -159,13 +159,20 @@ def density(df: DataFrame, features: Sequence[str], grid: int = KDE_GRID, cut: f
     st = st.select("feature", "n", h.alias("h"), (F.col("mn") - cut * h).alias("g0"),
                    ((F.col("mx") - F.col("mn") + 2 * cut * h) / (grid - 1)).alias("step"))
     joined = attach(long, st, ["feature"], bound=len(feats))
-    sums = [F.sum(F.exp(-0.5 * F.pow((F.col("g0") + F.lit(j) * F.col("step") - F.col("x")) / F.col("h"), 2)))
-            .alias(f"d{j}") for j in range(grid)]
-    agg = joined.groupBy("feature", "n", "h", "g0", "step").agg(*sums)
+    # grid points in chunks of CHUNK sums per row, so each aggregate stays within
+    # the whole-stage-codegen field limit; one scan, each row replicated per chunk
+    chunk = 50
+    n_chunks = (grid + chunk - 1) // chunk
+    rows = joined.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
+    sums = [F.sum(F.exp(-0.5 * F.pow((F.col("g0") + (F.col("_c") * chunk + j) * F.col("step") - F.col("x"))
+                                    / F.col("h"), 2))).alias(f"d{j}") for j in range(chunk)]
+    agg = rows.groupBy("feature", "n", "h", "g0", "step", "_c").agg(*sums)
     norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
-    pts = F.array(*[F.struct(F.lit(j).alias("point"), (F.col("g0") + F.lit(j) * F.col("step")).alias("grid_x"),
-                             (F.col(f"d{j}") / norm).alias("density")) for j in range(grid)])
-    return agg.select("feature", F.explode(pts).alias("_p")).select("feature", "_p.*")
+    point = lambda j: F.col("_c") * chunk + j
+    pts = F.array(*[F.struct(point(j).alias("point"), (F.col("g0") + point(j) * F.col("step")).alias("grid_x"),
+                             (F.col(f"d{j}") / norm).alias("density")) for j in range(chunk)])
+    out = agg.select("feature", F.explode(pts).alias("_p")).select("feature", "_p.*")
+    return out.where(F.col("point") < grid)
 
 
 def regression_lines(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
