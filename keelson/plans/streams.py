@@ -101,3 +101,13 @@ def stream_cycles(spark, base):
     """Cycle log of the forecast loop (rows-only: one row per productive batch)."""
     root = _cycle(spark, base)
     return spark.read.parquet(f"{root}/runs")
+
+
+@register("STR5")
+def stream_cycle_limit(spark, base):
+    """Ticks staged as ~30 files, one file per trigger; the loop stops after 5 productive cycles (rows-only)."""
+    path = scratch_path(spark, "ticks-files")
+    table(spark, base, "events").repartition(30, F.to_date("ts")).write.mode("overwrite").parquet(path)
+    root = scratch_path(spark, "cycle5")
+    sb.run_forecast_loop(spark, path, root, scratch_path(spark, "cycle5-ckpt"), max_cycles=5, files_per_trigger=1)
+    return spark.read.parquet(f"{root}/runs")
