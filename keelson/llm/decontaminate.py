@@ -55,7 +55,7 @@ class Matcher:
         for item, text in items:
             ids = tuple(self.number.setdefault(w, len(self.number) + 1) for w in words(text))
             for i in range(max(1, len(ids) - k + 1) if ids else 0):
-                patterns.setdefault(ids[i:i + k], set()).add(item)
+                patterns.setdefault(ids[i:i + k], set()).update([] if item is None else [item])
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for ids, owners in patterns.items():
             self.automaton.add_word(ids, (len(ids), owners))
@@ -129,7 +129,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     an occurring window) and ``_spans`` (byte ranges of the hits in the original text).
 
     Null text: no words.  Items that are null or without words match nothing; repeated items count
-    by their ids.  Empty tables give no rows or no hits.  No shuffle.
+    by their ids; the windows of an item without id hit, but there is no id to list.  Empty tables give no rows or no hits.  No shuffle.
     """
     names = list(keep if keep is not None else docs.columns)
     clash = {"_n_words", "_n_hit", "_items", "_spans"} & set(names)

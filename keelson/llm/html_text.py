@@ -24,6 +24,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = frozenset("script style noscript template iframe object svg math canvas audio video head title".split())
 ASIDE = frozenset("nav footer aside form button select option textarea label fieldset dialog menu".split())
 BLOCKS = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+# Elements that can be the content region.
+CONTAINERS = frozenset("html body div section article main center td".split())
 # Class or id words that mark boilerplate, and roles that do.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar aside nav navbar navigation menu breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup login comment comments disqus respond reply replies share sharing social related recommended widget toolbar pagination pager copyright skip".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -116,7 +118,7 @@ class Events(HTMLParser):
         if not self.off and tag in ("article", "main"):
             (self.articles if tag == "article" else self.mains).add(self.number)
         if tag in BLOCKS:
-            self.path = tuple(n for t, n, _ in self.open if t in BLOCKS)
+            self.path = tuple(n for t, n, _ in self.open if t in CONTAINERS)
             self.lines[-1].path = self.path
 
     def _close_implied(self, tag: str):
@@ -130,7 +132,7 @@ class Events(HTMLParser):
                 break
             if name in BLOCKS:
                 break
-        self.path = tuple(n for t, n, _ in self.open if t in BLOCKS)
+        self.path = tuple(n for t, n, _ in self.open if t in CONTAINERS)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -147,7 +149,7 @@ class Events(HTMLParser):
             if last == tag:
                 break
         if tag in BLOCKS:
-            self.path = tuple(n for t, n, _ in self.open if t in BLOCKS)
+            self.path = tuple(n for t, n, _ in self.open if t in CONTAINERS)
             self._break()
 
     def handle_data(self, data):

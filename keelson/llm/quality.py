@@ -24,7 +24,7 @@ from keelson.llm.common import join_small, persisted
 
 # Labelled rows that the classifier is fitted on, at most (the ones with the smallest id hashes).
 SAMPLE = 12_000
-PENALTY = 1e-3
+PENALTY = 1e-4
 # A document is rejected below this posterior probability of being good.
 REJECT = 0.5
 EXTRA = 4

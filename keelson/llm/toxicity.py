@@ -1,9 +1,9 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word's input has a word part (hashed) and a character part (maximum over its hashed 3- to 5-grams
-with word marks), so an unseen form of a known stem still shows.  Each hash bucket holds the
-shrunken log odds of the training labels and fixed random numbers; gates, attention and output are
-trained by back-propagation (Adam).  A text is scored in windows of ``WINDOW`` words at every
+A word's input has a word part (hashed) and a character part (maximum over its hashed n-grams with
+word marks), so an unseen form of a known stem still shows.  Each hash bucket holds the shrunken log
+odds of the training labels and fixed random numbers; gates, attention and output are trained by
+back-propagation (Adam), where a row sees log odds that leave itself out.  A text is scored in windows of ``WINDOW`` words at every
 ``STRIDE`` words, all of them, and its score is the calibrated maximum.
 
 Training takes a bounded sample of labelled rows on the driver; scoring is one map pass with the
@@ -23,10 +23,10 @@ from keelson.llm.words import BYTE_BASE, BYTE_VALUE, NON_WORD_BYTES, Words, _run
 
 WINDOW, STRIDE = 32, 16
 HIDDEN = 8
-WORD_BITS, GRAM_BITS = 16, 18
+WORD_BITS, GRAM_BITS = 18, 19
 RANDOM = 3                 # random numbers of a bucket, besides its log odds
 INPUT = 2 * (1 + RANDOM)
-GRAMS = (3, 4, 5)
+GRAMS = (3, 4, 5, 6, 8)
 PRIOR_ROWS = 4.0           # rows of the base rate that a bucket's log odds are shrunk by
 SAMPLE = 10_000            # labelled rows for training, at most
 THRESHOLD = 0.3
@@ -233,18 +233,24 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 12, least_steps: i
                 n = size[mine]
                 take = np.repeat(first[mine] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
                 counts["gram"][int(y[r])][np.unique(bucket[take])] += 1
-    tables = {}
-    for name, c in counts.items():
-        tables[name] = np.concatenate([shrunken_odds(c[1], c[0], rate)[:, None], rng.standard_normal((c.shape[1], RANDOM)).astype(np.float32) * np.float32(0.3)], axis=1)
-    model = Model(tables["word"], tables["gram"], Network(seed))
+    noise = {n: rng.standard_normal((c.shape[1], RANDOM)).astype(np.float32) * np.float32(0.3) for n, c in counts.items()}
+
+    def table(name: str, without: int | None) -> np.ndarray:
+        """``without``: label of a row whose own count is left out."""
+        c = [np.maximum(v - (k == without), 0) for k, v in enumerate(counts[name])]
+        return np.concatenate([shrunken_odds(c[1], c[0], rate)[:, None], noise[name]], axis=1)
+
+    model = Model(table("word", None), table("gram", None), Network(seed))
     if not len(y) or y[~held].min(initial=1) == y[~held].max(initial=0):
         return model
-    x, index = model.inputs(words, hashes)
-    x = np.concatenate([x, np.zeros((1, INPUT), np.float32)])
-    index = np.append(index, len(x) - 1)
+    # Inputs of the distinct words as a clean and as a toxic row sees them, then one row of padding.
+    seen_by = [Model(table("word", k), table("gram", k), model.net).inputs(words, hashes) for k in (0, 1)]
+    n_inputs, index = len(distinct), seen_by[0][1]
+    x = np.concatenate([seen_by[0][0], seen_by[1][0], np.zeros((1, INPUT), np.float32)])
+    index = np.append(index + n_inputs * (y[word_row] == 1), len(x) - 1)
     row, start, size = windows(words)
-    evidence = np.r_[np.maximum(x[index, 0], 0) + np.maximum(x[index, INPUT // 2], 0), 0].cumsum()
-    strength = evidence[np.minimum(start + size, len(evidence) - 1)] - evidence[start] + rng.random(len(row)) * 1e-3
+    evidence = np.r_[0, (np.maximum(x[index, 0], 0) + np.maximum(x[index, INPUT // 2], 0)).cumsum()]
+    strength = evidence[start + size] - evidence[start] + rng.random(len(row)) * 1e-3
     order = np.lexsort((-strength, row))
     first = np.searchsorted(row, np.arange(len(y)))
     top = order[first]
@@ -276,13 +282,22 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 12, least_steps: i
 
 
 def calibrate(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Two-parameter logistic fit with smoothed targets (Newton)."""
+    """Two-parameter logistic fit with smoothed targets (Newton), drawn towards slope 1."""
     n1, n0 = y.sum(), len(y) - y.sum()
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     a, w = np.c_[np.clip(logit, -15, 15), np.ones(len(y))], np.array([1.0, 0.0])
+    pull, centre = np.array([4.0, 1e-2]), np.array([1.0, 0.0])
+
+    def loss(w):
+        z = a @ w
+        return float((np.logaddexp(0, z) - target * z).sum() + 0.5 * (pull * (w - centre) ** 2).sum())
+
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        w = w + np.linalg.solve((a.T * (p * (1 - p) + 1e-6)) @ a + 1e-3 * np.eye(2), a.T @ (target - p) - 1e-3 * w)
+        step = np.linalg.solve((a.T * (p * (1 - p))) @ a + np.diag(pull), a.T @ (target - p) - pull * (w - centre))
+        while np.abs(step).max() > 1e-9 and loss(w + step) > loss(w):
+            step = step / 2
+        w = w + step
     return float(max(w[0], 1e-3)), float(w[1])
 
 
