@@ -33,7 +33,8 @@ def frequent_words(docs: DataFrame, text: str, k: int = FREQUENT) -> list[str]:
     words = docs.select(F.explode(F.split(F.col(text), " ")).alias("w")).where((F.col("w") != "") & (F.octet_length("w") <= LONGEST))
     # Two levels, so that no task merges the sketches of all partitions.
     part = words.groupBy((F.spark_partition_id() % 64).alias("p")).agg(F.expr(f"approx_top_k_accumulate(w, {TRACKED})").alias("s"))
-    top = part.groupBy(F.lit(0)).agg(F.expr("approx_top_k_combine(s)").alias("s")).select(F.expr(f"approx_top_k_estimate(s, {k})").alias("top")).first()
+    # Grouped by a constant: without rows there is no group, and so no table.
+    top = part.groupBy((F.col("p") * 0).alias("all")).agg(F.expr("approx_top_k_combine(s)").alias("s")).select(F.expr(f"approx_top_k_estimate(s, {k})").alias("top")).first()
     return [row["item"] for row in (top["top"] if top and top["top"] else [])]
 
 
