@@ -9,7 +9,8 @@ is sent to the one block that could hold it.
    smallest document keeps a window; for the others the window is already known to repeat.  So a
    passage that a third of all documents share costs one entry per slice, not one per document.
    Entries leave as packed blobs, one per (slice, block).
-2. Block: sorts its windows, finds each one's smallest document, and answers every other sender.
+2. Block: sorts its windows, finds each one's smallest document, and answers every other sender, with
+   one packed blob for each partition of documents.
 3. Each document parses greedily: from a word whose window is known, the factor runs on while the
    next word's window is known too, then ends; the next factor may start at any later word, also
    one that lies inside the last ``k - 1`` words before the boundary, so no window across a factor
@@ -25,12 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.llm.common import partitions_for
-from keelson.llm.words import SPACES, Words, binary_rows, slices
+from keelson.llm.words import SPACES, Words, slices
 
 WINDOW = 13
 SLICE_BYTES = 8 << 20
 BLOB = "block int, blob binary"
-KNOWN = "doc_id long, known binary"
+ANSWER = "home int, blob binary"
 
 
 def block_of(h: np.ndarray, blocks: int) -> np.ndarray:
@@ -38,6 +39,16 @@ def block_of(h: np.ndarray, blocks: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
 
 
+def home_of(ids: np.ndarray, homes: int) -> np.ndarray:
+    """The partition of a document; ``home_column`` is the same in Spark's expressions."""
+    return (((ids & 0x7FFFFFFF) * 0x9E3779B1 >> 16) ^ (ids >> 31 & 0xFFFFFFFF)) % homes
+
+
+def home_column(doc_id, homes: int):
+    low = F.shiftright(doc_id.bitwiseAND(F.lit(0x7FFFFFFF)) * F.lit(0x9E3779B1), 16)
+    return F.pmod(low.bitwiseXOR(F.shiftright(doc_id, 31).bitwiseAND(F.lit(0xFFFFFFFF))), F.lit(homes)).cast("int")
+
+
 def _narrow(values: np.ndarray) -> bytes:
     """Non-negative integers in the fewest bytes each, after a byte that tells how many."""
     width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(values) or int(values.max()) < 1 << (8 * w))
@@ -120,40 +131,43 @@ def _send(k: int, blocks: int):
     return run
 
 
-def _answers(doc: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-    """One row per document: its known windows' hashes."""
-    order = np.argsort(doc, kind="stable")
-    doc, h = doc[order], h[order]
-    cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-    sizes = np.diff(np.r_[cut, len(doc)]) if len(doc) else cut
-    return pa.RecordBatch.from_arrays([pa.array(doc[cut], pa.int64()), binary_rows(8 * sizes, h)], names=["doc_id", "known"])
+def _answers(doc: np.ndarray, h: np.ndarray, homes: int) -> pa.RecordBatch:
+    """One blob per home: its documents with their known windows' hashes."""
+    home = home_of(doc, homes)
+    order = np.lexsort((doc, home))
+    doc, h, home = doc[order], h[order], home[order]
+    cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (home[1:] != home[:-1])])
+    sizes = np.diff(np.r_[cut, len(doc)])
+    edge = np.flatnonzero(np.r_[True, home[cut][1:] != home[cut][:-1], True])
+    blobs = [_pack(doc[cut[i:j]], sizes[i:j], h[cut[i]:cut[j] if j < len(cut) else len(h)], 8) for i, j in zip(edge[:-1], edge[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(home[cut][edge[:-1]], pa.int32()), pa.array(blobs, pa.binary())], names=["home", "blob"])
 
 
-def _index(blocks: int):
-    """One task: the blobs of its blocks -> for each document the windows that an earlier one has."""
+def _index(blocks: int, homes: int):
+    """One task: the blobs of its blocks -> for each home the windows that an earlier document has."""
 
     def run(batches):
-        docs, hashes = [], []
+        docs, hashes, known = [], [], []
         for batch in batches:
             for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids, sizes, h = _unpack(blob.as_buffer(), block, blocks)
-                if block < 0:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), binary_rows(8 * sizes, h)], names=["doc_id", "known"])
+                if block < 0:  # a slice's own repeats
+                    known.append((np.repeat(ids, sizes), h))
                     continue
                 docs.append(np.repeat(ids, sizes))
                 hashes.append(h)
-        if not docs:
-            return
-        doc, h = np.concatenate(docs), np.concatenate(hashes)
-        docs.clear()
-        hashes.clear()
-        order = np.argsort(h, kind="stable")
-        doc, h = doc[order], h[order]
-        start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-        least = np.repeat(np.minimum.reduceat(doc, start), np.diff(np.r_[start, len(h)]))
-        late = doc > least
-        if late.any():
-            yield _answers(doc[late], h[late])
+        if docs:
+            doc, h = np.concatenate(docs), np.concatenate(hashes)
+            docs.clear()
+            hashes.clear()
+            order = np.argsort(h, kind="stable")
+            doc, h = doc[order], h[order]
+            start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            late = doc > np.repeat(np.minimum.reduceat(doc, start), np.diff(np.r_[start, len(h)]))
+            known.append((doc[late], h[late]))
+        doc, h = (np.concatenate(x) for x in zip(*known)) if known else (np.zeros(0, np.int64),) * 2
+        if len(doc):
+            yield _answers(doc, h, homes)
 
     return run
 
@@ -171,49 +185,74 @@ def factors(known: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2] - edge[::2]
 
 
-def _parse(k: int, text: str, names: list[str]):
-    """Rows with their documents' known windows -> kept text, word counts and removed spans."""
+def _parse(k: int, doc_id: str, text: str, names: list[str]):
+    """A home's blobs, then its rows -> rows with kept text, word counts and removed spans."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32())]))
 
     def run(batches):
+        blobs, known = [], None
         for batch in batches:
-            for part in slices(batch, text):
-                words = Words(part.column(text), SPACES)
-                known_col = part.column("_known")
-                texts = part.column(text)
-                counts = words.counts()
-                kept, removed, spans = [], np.zeros(len(counts), np.int64), []
-                at, h = words.windows(k) if known_col.null_count < len(known_col) else (np.zeros(0, np.int64), None)
-                lo_at, hi_at = np.searchsorted(at, words.first[:-1]), np.searchsorted(at, words.first[1:])
-                for r in range(len(counts)):
-                    blobs = known_col[r].as_py()
-                    pieces = (texts[r].as_py() or "").encode().split()
-                    found = []
-                    if blobs:
-                        mine = np.frombuffer(b"".join(blobs), "<u8")
-                        flags = np.isin(h[lo_at[r]:hi_at[r]], mine)
-                        starts, sizes = factors(flags, k)
-                        for s, n in zip(starts[::-1].tolist(), sizes[::-1].tolist()):
-                            del pieces[s:s + n]
-                            found.append({"start": s, "words": n})
-                        removed[r] = int(sizes.sum())
-                    spans.append(found[::-1])
-                    kept.append(b" ".join(pieces).decode())
-                cols = [part.column(part.schema.get_field_index(n)) for n in names]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(kept, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span)],
-                                                 names=[*names, "_kept", "_n_words", "_n_removed", "_spans"])
+            blob = batch.column(batch.schema.get_field_index("_blob"))
+            n_blobs = len(blob) - blob.null_count  # blobs are sorted before rows
+            blobs += [_unpack(b.as_buffer(), -1, 0) for b in blob.slice(0, n_blobs)]
+            if n_blobs == batch.num_rows:
+                continue
+            if known is None:
+                known = _by_document(blobs)
+                blobs.clear()
+            for part in slices(batch.slice(n_blobs), text):
+                yield _cut(part, known)
+
+    def _cut(part, known):
+        ids, bound, hashes = known
+        texts = part.column(part.schema.get_field_index(text))
+        mine = part.column(part.schema.get_field_index(doc_id))
+        has_id = ~mine.is_null().to_numpy(zero_copy_only=False)
+        mine = mine.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+        slot = np.searchsorted(ids, mine)
+        found = has_id & (slot < len(ids))
+        found[found] = ids[slot[found]] == mine[found]
+        words = Words(texts, SPACES)
+        counts = words.counts()
+        at, h = words.windows(k) if found.any() else (np.zeros(0, np.int64), None)
+        lo, hi = np.searchsorted(at, words.first[:-1]), np.searchsorted(at, words.first[1:])
+        kept, removed, spans = [], np.zeros(len(counts), np.int64), []
+        for r, t in enumerate(texts.to_pylist()):
+            pieces = (t or "").encode().split()
+            gone = []
+            if found[r]:
+                flags = np.isin(h[lo[r]:hi[r]], hashes[bound[slot[r]]:bound[slot[r] + 1]])
+                starts, sizes = factors(flags, k)
+                gone = [{"start": s, "words": n} for s, n in zip(starts.tolist(), sizes.tolist())]
+                for g in reversed(gone):
+                    del pieces[g["start"]:g["start"] + g["words"]]
+                removed[r] = int(sizes.sum())
+            spans.append(gone)
+            kept.append(b" ".join(pieces).decode())
+        cols = [part.column(part.schema.get_field_index(n)) for n in names]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(kept, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span)],
+                                          names=[*names, "_kept", "_n_words", "_n_removed", "_spans"])
 
     return run
 
 
-def known_windows(docs: DataFrame, k: int = WINDOW) -> DataFrame:
-    """(doc_id, known): hashes of the windows of each document that start in an earlier one too."""
-    blocks = min(partitions_for(docs), 1 << 20)
-    blobs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_send(k, max(blocks, 256)), BLOB)
+def _by_document(blobs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ascending document ids, bounds, hashes) of all blobs."""
+    if not blobs:
+        return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint64)
+    doc, h = np.concatenate([np.repeat(i, s) for i, s, _ in blobs]), np.concatenate([x for _, _, x in blobs])
+    order = np.argsort(doc, kind="stable")
+    ids, first = np.unique(doc[order], return_index=True)
+    return ids, np.r_[first, len(doc)], h[order]
+
+
+def known_windows(docs: DataFrame, homes: int, k: int = WINDOW) -> DataFrame:
+    """(home, blob): hashes of the windows of each document that start in an earlier one too."""
     # Blocks are at least 256, so that 7 of a hash's 8 bytes tell it; each partition takes a run of them.
-    per = max(blocks, 256)
-    home = F.floor(F.when(F.col("block") < 0, -1 - F.col("block")).otherwise(F.col("block")) * F.lit(blocks) / F.lit(per)).cast("int")
-    return blobs.repartitionById(blocks, home).mapInArrow(_index(per), KNOWN)
+    per = max(homes, 256)
+    blobs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_send(k, per), BLOB)
+    to = F.floor(F.when(F.col("block") < 0, -1 - F.col("block")).otherwise(F.col("block")) * F.lit(homes) / F.lit(per)).cast("int")
+    return blobs.repartitionById(homes, to).mapInArrow(_index(per, homes), ANSWER)
 
 
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = WINDOW) -> DataFrame:
@@ -224,18 +263,21 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``_n_removed`` and ``_spans`` (first word and number of words of each removed span).  Null or
     empty text: no words, ``_kept`` empty.  A null id is neither a reference nor cut.  Rows that
     share an id are one document as reference and are each cut by smaller ids only.  An empty table
-    gives no rows.  A column of ``docs`` whose name starts with ``_kept`` etc. must be renamed first
-    (it raises); other names may clash freely.
+    gives no rows.  The new columns' names must be free (it raises).
+
+    The shuffle of the documents and of the answers is one: a partition first reads its answers, then
+    streams its documents.
     """
-    clash = {"_known", "_kept", "_n_words", "_n_removed", "_spans", "_id"} & set(docs.columns)
+    clash = {"_home", "_blob", "_kept", "_n_words", "_n_removed", "_spans"} & set(docs.columns)
     if clash:
         raise ValueError(f"reserved column names in the input: {sorted(clash)}")
-    known = (known_windows(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), k)
-             .groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("known").alias("_known")))
-    # Null ids get a negative stand-in of their own, so they spread over the partitions and match nothing.
-    own = F.struct(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("id"), F.col(doc_id).isNull().alias("none"))
-    other = known.withColumn("_id", F.struct(F.col("_id").alias("id"), F.lit(False).alias("none")))
-    joined = docs.withColumn("_id", own).join(other, "_id", "left").drop("_id")
-    schema = T.StructType([*docs.schema.fields, T.StructField("_kept", T.StringType()), T.StructField("_n_words", T.LongType()),
+    homes = partitions_for(docs) | 1  # odd, so that ids in steps of a power of two spread
+    known = known_windows(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), homes, k)
+    # Null ids have no answers; their texts spread them.
+    home = home_column(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)), homes)
+    rows = docs.select("*", home.alias("_home"), F.lit(None).cast("binary").alias("_blob"))
+    answers = known.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields], F.col("home").alias("_home"), F.col("blob").alias("_blob"))
+    together = rows.unionAll(answers).repartitionById(homes, "_home").sortWithinPartitions(F.col("_blob").isNull())
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in docs.schema.fields], T.StructField("_kept", T.StringType()), T.StructField("_n_words", T.LongType()),
                            T.StructField("_n_removed", T.LongType()), T.StructField("_spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("words", T.IntegerType())])))])
-    return joined.mapInArrow(_parse(k, text, docs.columns), schema)
+    return together.drop("_home").mapInArrow(_parse(k, doc_id, text, docs.columns), schema)

@@ -152,9 +152,3 @@ def slices(batch: pa.RecordBatch, text: str, max_bytes: int = 4 << 20) -> Iterat
         yield batch.slice(at, to - at)
         at = to
 
-
-def binary_rows(lengths: np.ndarray, data: np.ndarray) -> pa.Array:
-    """A binary column whose row i takes the next lengths[i] bytes of data."""
-    offsets = np.zeros(len(lengths) + 1, dtype=np.int64)
-    np.cumsum(lengths, out=offsets[1:])
-    return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())

@@ -117,6 +117,12 @@ def test_blob_round_trip():
             assert (back == mine).all() and (i == ids).all() and (s == sizes).all()
 
 
+def test_home_is_the_same_in_spark_and_numpy(spark):
+    ids = [0, 1, -1, 2 ** 63 - 1, -2 ** 63, 50, 100, 12345678901234]
+    got = spark.createDataFrame([(i,) for i in ids], "i long").select("i", substring.home_column(F.col("i"), 51).alias("h")).collect()
+    assert [r["h"] for r in got] == substring.home_of(np.array(ids), 51).tolist()
+
+
 def brute_hits(docs, items, k=13):
     tok = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
     pats = defaultdict(set)
