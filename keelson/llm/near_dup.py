@@ -8,9 +8,10 @@
    the XOR of two odd sketches estimates their similarity; pairs that cannot reach the threshold go.
    The rest is confirmed on full sets.
 3. A bucket whose members are one component by then needs nothing more.  In the others the members
-   that the star left in different components are compared with each other by sketch, in blocks of
-   at most ``BLOCK`` members, and what passes is confirmed on full sets too.  So every two members
-   of a bucket are compared or already connected, without emitting all their pairs.
+   that the star left in different components meet in blocks of about ``BLOCK`` shingles, with their
+   full sets: sketches sift, exact intersections confirm, and a found link joins the components on
+   the spot, so a task emits fewer links than it has members.  Every two members of a bucket are
+   compared or already connected, and their pairs are never listed.
 
 A pair at similarity 0.8 shares a bucket with probability 1 - (1 - 0.8**4)**32 = 1 - 5e-8; a sketch
 rejects it only if over 62 of 128 samples differ (0.2 expected: 8 standard deviations).
@@ -32,7 +33,8 @@ ROWS = SAMPLES // BANDS
 SHINGLE = 4
 # Similarity threshold as a fraction, so that the confirmation is exact in integers.
 NUMERATOR, DENOMINATOR = 80, 100
-BLOCK = 1024
+# Shingles of the members that meet in one task, per side (8 bytes each).
+BLOCK = 500_000
 # Largest XOR population count of a pair that is confirmed (about 62 differing samples).
 MAX_XOR = 112
 
@@ -128,25 +130,43 @@ def _confirm(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
     return both.where(den * F.col("same") >= num * (F.col("n") - F.col("same"))).select("a", "b").distinct()
 
 
-def _blocks(max_xor: int):
-    """Members of one block pair of a bucket -> pairs in different components that the sketch lets through."""
+def _blocks(max_xor: int, num: int, den: int):
+    """Members of one block pair of a bucket -> links that join different components."""
     width = SKETCH_BITS // 64
 
     def run(key, table):
         i, j = key[1].as_py(), key[2].as_py()
-        blk = table["blk"].to_numpy()
-        ids, comp = table["id"].to_numpy(), table["comp"].to_numpy()
+        table = table.combine_chunks()
+        blk, ids = table["blk"].to_numpy(), table["id"].to_numpy()
+        _, label = np.unique(table["comp"].to_numpy(), return_inverse=True)
         sketch = np.stack([table[f"k{w}"].to_numpy() for w in range(width)], axis=1).view(np.uint64)
-        left, right = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
-        a_out, b_out = [], []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((ids[right] > ids[x]) | (i != j))]
-            if len(y):
-                y = y[np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1) <= max_xor]
-                a_out.append(np.minimum(ids[x], ids[y]))
-                b_out.append(np.maximum(ids[x], ids[y]))
-        a = np.concatenate(a_out) if a_out else np.zeros(0, np.int64)
-        b = np.concatenate(b_out) if b_out else np.zeros(0, np.int64)
+        lists = table["shingles"].chunk(0)
+        bound = lists.offsets.to_numpy().astype(np.int64)
+        distinct, shingle = np.unique(lists.values.to_numpy()[bound[0]:bound[-1]], return_inverse=True)
+        bound = bound - bound[0]
+        size = np.diff(bound)
+        mine = np.zeros(len(distinct), np.int64)
+        found = []
+        # Pairs inside the largest component need no look, so only the others' members are gone through.
+        for x in np.flatnonzero(label != np.bincount(label).argmax()).tolist():
+            sides = [s for s, o in ((j, i), (i, j)) if blk[x] == o]
+            y = np.flatnonzero((label != label[x]) & np.isin(blk, sides))
+            y = y[den * np.minimum(size[y], size[x]) >= num * np.maximum(size[y], size[x])]
+            y = y[np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1) <= max_xor]
+            if not len(y):
+                continue
+            own = shingle[bound[x]:bound[x + 1]]
+            mine[own] = 1
+            if size[y].sum() * 4 > len(shingle):
+                same = np.add.reduceat(mine[shingle], bound[:-1])[y]
+            else:
+                same = np.array([mine[shingle[bound[r]:bound[r + 1]]].sum() for r in y.tolist()])
+            mine[own] = 0
+            for r in y[den * same >= num * (size[x] + size[y] - same)].tolist():
+                if label[r] != label[x]:
+                    found.append((min(ids[x], ids[r]), max(ids[x], ids[r])))
+                    label[label == label[r]] = label[x]
+        a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
@@ -175,7 +195,7 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     reps = usable.join(member.where("doc_id != class_id"), "doc_id", "left_anti")
     reps = persisted(reps.select(F.col("doc_id").alias("id"), "n_shingles", "bands", *words))
 
-    bands = reps.select("id", F.explode("bands").alias("band"))
+    bands = reps.select("id", "n_shingles", F.explode("bands").alias("band"))
     buckets = persisted(bands.groupBy("band").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1"))
     inside = persisted(bands.join(buckets, "band"))
     sides = [reps.select(F.col("id").alias(s), F.col("n_shingles").alias(f"{s}_n"), *[F.col(w).alias(f"{s}_{w}") for w in words]) for s in "ab"]
@@ -188,20 +208,18 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Buckets that the star left in several components.
     so_far = persisted(components(links))
     # A bucket of two has been compared whole.
-    labelled = persisted(inside.where("members > 2").join(so_far, "id", "left").select("band", "id", "pivot", "members", F.coalesce("component", "id").alias("comp")))
-    split = persisted(labelled.where("id != pivot").groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band"))
-    left = labelled.where("id != pivot").join(split, "band", "left_semi")
-    n_blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-    blk = F.pmod(F.xxhash64("id"), n_blocks).cast("int")
-    spread = F.explode(F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda o: F.struct(F.least(o, F.col("blk")).alias("i"), F.greatest(o, F.col("blk")).alias("j"))))
-    left = left.withColumn("blk", blk).select("band", "id", "comp", "blk", spread.alias("s")).select("band", F.col("s.i").alias("i"), F.col("s.j").alias("j"), "id", "comp", "blk")
-    left = left.join(reps.select("id", *words), "id")
-    more = left.groupBy("band", "i", "j").applyInArrow(_blocks(MAX_XOR), "a long, b long").distinct()
-    more = persisted(more.join(sides[0].select("a", "a_n"), "a").join(sides[1].select("b", "b_n"), "b").where(large_enough).select("a", "b"))
-    all_links = links
+    labelled = persisted(inside.where("members > 2 and id != pivot").join(so_far, "id", "left").select("band", "id", "n_shingles", F.coalesce("component", "id").alias("comp")))
+    split = persisted(labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("n_shingles").alias("total"))
+                      .where("lo < hi").select("band", F.ceil(F.col("total") / F.lit(BLOCK)).cast("int").alias("blocks")))
+    left = labelled.join(split, "band").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    spread = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("blk")).alias("i"), F.greatest(o, F.col("blk")).alias("j"))))
+    left = persisted(left.select("band", "id", "comp", "blk", spread.alias("s")).select("band", F.col("s.i").alias("i"), F.col("s.j").alias("j"), "id", "comp", "blk"))
+    ids = left.select(F.col("id").alias("doc_id")).distinct()
+    sets = join_small(slim, ids, ["doc_id"], 8, "left_semi").mapInArrow(_sets(k), "id long, shingles array<long>")
+    sets = persisted(sets.withColumn("n_shingles", F.size("shingles")).join(reps.select("id", "n_shingles", *words), ["id", "n_shingles"]).drop("n_shingles"))
+    more = persisted(left.join(sets, "id").groupBy("band", "i", "j").applyInArrow(_blocks(MAX_XOR, num, den), "a long, b long").distinct())
     if not more.isEmpty():
-        all_links = links.unionByName(_confirm(more, slim, k, num, den))
-        so_far = persisted(components(all_links))
+        so_far = persisted(components(links.unionByName(more)))
 
     out = (feats.select("doc_id", "n_shingles").join(member.groupBy("doc_id").agg(F.min("class_id").alias("class_id")), "doc_id", "left")
            .withColumn("class_id", F.coalesce("class_id", "doc_id")))
