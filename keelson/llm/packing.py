@@ -49,13 +49,13 @@ def byte_level_encoder(path: str):
     fast = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
     slow = Tokenizer.from_file(path)
 
-    def encode(text: str) -> list[int]:
-        if any(s in text for s in special):
-            return slow.encode(text, add_special_tokens=False).ids
-        try:
-            return fast.encode_ordinary(text)
-        except (ValueError, RuntimeError):  # its regex engine gives up on very long runs
-            return slow.encode(text, add_special_tokens=False).ids
+    def encode(text: str) -> np.ndarray:
+        if not any(s in text for s in special):
+            try:
+                return fast.encode_to_numpy(text, disallowed_special=())
+            except (ValueError, RuntimeError):  # its regex engine gives up on very long runs
+                pass
+        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
     return encode
 
@@ -70,7 +70,7 @@ def _encode(path: str, kind: str):
         encode = byte_level_encoder(path)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [np.array([*encode(t or ""), END_ID], dtype=kind) for t in part.column("text").to_pylist()]
+                ids = [np.append(encode(t or ""), np.uint32(END_ID)).astype(kind) for t in part.column("text").to_pylist()]
                 rests = [x[len(x) // WINDOW * WINDOW:] for x in ids]
                 near = [int(mix(x.astype(np.uint64)).min() >> np.uint64(1)) if len(x) else 0 for x in rests]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(near, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
