@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from keelson.llm.words import NON_WORD_BYTES
+from keelson.session import ship
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
@@ -135,6 +136,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     clash = {"_n_words", "_n_hit", "_items", "_spans"} & set(names)
     if clash:
         raise ValueError(f"reserved column names in the input: {sorted(clash)}")
+    ship(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     blocks = [sc.broadcast(b) for b in benchmark_blocks(benchmark, item_id, item_text)]
     schema = T.StructType([*[docs.schema[n] for n in names], T.StructField("_n_words", T.LongType()), T.StructField("_n_hit", T.LongType()),

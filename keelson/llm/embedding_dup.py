@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from keelson.llm.common import join_small, persisted
 from keelson.llm.components import components
 from keelson.llm.words import mix
+from keelson.session import ship
 
 THRESHOLD = 0.9
 WIDTH = 2.0
@@ -218,6 +219,7 @@ def link_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     null component, no links and is kept.  Repeated rows are vectors of their own (equal vectors are
     linked); rows that share an id share a component.  An empty table gives no rows.
     """
+    ship(vectors.sparkSession)
     single = isinstance(vectors.schema[embedding].dataType.elementType, T.FloatType)
     kind = np.float32 if single else np.float64
     base = persisted(vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("e")).mapInArrow(_clean(single), "vec_id long, digest binary, v binary"))

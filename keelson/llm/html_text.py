@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from keelson.session import ship
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Text that is never shown, or is not part of an article.
 HIDDEN = frozenset("script style noscript template iframe object svg math canvas audio video head title".split())
@@ -228,6 +230,7 @@ def extract_text(pages: DataFrame, html: str = "html", keep: list[str] | None =
     Null, empty and text-free pages: empty text, no blocks.  Markup that is never closed counts as
     closed at the end.  Repeated rows are extracted each; an empty table gives no rows.
     """
+    ship(pages.sparkSession)
     names = list(keep if keep is not None else pages.columns)
     clash = {"_text", "_blocks"} & set(names)
     if clash:

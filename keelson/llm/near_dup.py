@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from keelson.llm.common import join_small, persisted
 from keelson.llm.components import components
 from keelson.llm.words import SPACES, Words, mix, slices
+from keelson.session import ship
 
 SAMPLES, BANDS, SKETCH_BITS = 128, 32, 1024
 ROWS = SAMPLES // BANDS
@@ -185,6 +186,7 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     if num * 5 < den * 4:
         raise ValueError("the bands are laid out for a similarity of 0.8 or more")
+    ship(docs.sparkSession)
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     feats = persisted(slim.mapInArrow(_features(k), FEATURES))
     words = [f"k{i}" for i in range(SKETCH_BITS // 64)]

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm.common import persisted
 from keelson.llm.words import mix, slices
+from keelson.session import ship
 
 WINDOW = 1024
 SHARD = 2048
@@ -245,6 +246,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
     Repeated rows and rows that share an id (or have a null one) are packed each.  An empty table
     gives no rows.  ``tokenizer_path`` is a byte-level BPE file that every worker can read.
     """
+    ship(docs.sparkSession)
     from tokenizers import Tokenizer
     vocabulary = Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True)
     kind = _kind(vocabulary)

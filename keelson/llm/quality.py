@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.llm.common import join_small, persisted
+from keelson.session import ship
 
 # Labelled rows that the classifier is fitted on, at most (the ones with the smallest id hashes).
 SAMPLE = 12_000
@@ -78,6 +79,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     """Fitted on at most ``sample`` labelled documents, chosen by a hash of their ids.  Rows with a
     null id, text or label are no examples; a document with several labels counts for each.  Without
     both labels the classifier is constant."""
+    ship(docs.sparkSession)
     some = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(label).cast("double").alias("_y"))
     some = persisted(some.orderBy(F.md5(F.col("_id").cast("string")), "_y").limit(sample))
     rows = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(some), "_id")  # at most ``sample`` rows
@@ -146,6 +148,7 @@ def score_quality(docs: DataFrame, model: Classifier, host: str = "source", path
     clash = {"_logit", "_host", "_path", "_site"} & set(docs.columns) | {"_evidence", "_host_post", "_path_post", "_quality", "_good"} & set(names)
     if clash:
         raise ValueError(f"reserved column names in the input: {sorted(clash)}")
+    ship(docs.sparkSession)
     wanted = list(dict.fromkeys([*names, text]))
     source = docs.select(*wanted, F.col(host).cast("string").alias("_host"), F.col(path).cast("string").alias("_path"))
     out = [*names, "_host", "_path"]

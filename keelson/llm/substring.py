@@ -27,9 +27,10 @@ from pyspark.sql import types as T
 
 from keelson.llm.common import partitions_for
 from keelson.llm.words import SPACES, Words, slices
+from keelson.session import ship
 
 WINDOW = 13
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 BLOB = "block int, blob binary"
 ANSWER = "home int, blob binary"
 
@@ -271,6 +272,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     clash = {"_home", "_blob", "_kept", "_n_words", "_n_removed", "_spans"} & set(docs.columns)
     if clash:
         raise ValueError(f"reserved column names in the input: {sorted(clash)}")
+    ship(docs.sparkSession)
     homes = partitions_for(docs) | 1  # odd, so that ids in steps of a power of two spread
     known = known_windows(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), homes, k)
     # Null ids have no answers; their texts spread them.

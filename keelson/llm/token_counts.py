@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keelson.session import ship
+
 # Entries of the broadcast table, and items that each sketch tracks.
 FREQUENT = 4096
 TRACKED = 16384
@@ -97,6 +99,7 @@ def count_tokens(docs: DataFrame, model_path: str, text: str = "text", keep: lis
     names = list(keep if keep is not None else docs.columns)
     if "_n_tokens" in names:
         raise ValueError("reserved column name in the input: _n_tokens")
+    ship(docs.sparkSession)
     model = load_model(model_path)
     frequent = {w: len(model.encode(w)) for w in frequent_words(docs, text) if "▁" not in w}
     shared = docs.sparkSession.sparkContext.broadcast(frequent)

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from keelson.llm.common import persisted
 from keelson.llm.words import BYTE_BASE, BYTE_VALUE, NON_WORD_BYTES, Words, _runs, byte_flags, mix, slices
+from keelson.session import ship
 
 WINDOW, STRIDE = 32, 16
 HIDDEN = 8
@@ -28,10 +29,11 @@ RANDOM = 3                 # random numbers of a bucket, besides its log odds
 INPUT = 2 * (1 + RANDOM)
 GRAMS = (3, 4, 5, 6, 8)
 PRIOR_ROWS = 4.0           # rows of the base rate that a bucket's log odds are shrunk by
-SAMPLE = 10_000            # labelled rows for training, at most
+SAMPLE = 8_000             # labelled rows for training, at most
 THRESHOLD = 0.3
 _SEPARATORS = byte_flags(NON_WORD_BYTES)
 _SCORE_SLICE = 2 << 20
+_TRAIN_CHUNK = 1 << 20
 
 
 def tokens(texts: pa.Array) -> tuple[Words, np.ndarray]:
@@ -183,11 +185,14 @@ class Model:
             out[lo:lo + 4096] = self.net.forward(gates[pick], mask)
         return out, row
 
-    def scores(self, texts: pa.Array) -> np.ndarray:
+    def best(self, texts: pa.Array) -> np.ndarray:
+        """Largest window logit of each row."""
         words, hashes = tokens(texts)
         logits, row = self.window_logits(words, hashes)
-        best = np.maximum.reduceat(logits, np.searchsorted(row, np.arange(len(texts)))) if len(texts) else logits
-        return sigmoid(self.scale * best.astype(np.float64) + self.shift)
+        return np.maximum.reduceat(logits, np.searchsorted(row, np.arange(len(texts)))) if len(texts) else logits
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        return sigmoid(self.scale * self.best(texts).astype(np.float64) + self.shift)
 
 
 def windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -207,32 +212,62 @@ def positions(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return start[None, :] + t, t < size[None, :]
 
 
+def _count(texts: pa.Array, y: np.ndarray, counts: dict[str, np.ndarray]) -> None:
+    """Adds the rows of each label that have a bucket."""
+    words, hashes = tokens(texts)
+    if not len(words):
+        return
+    distinct, at, index = np.unique(hashes, return_index=True, return_inverse=True)
+    seen = np.unique(words.rows() * len(distinct) + index)
+    edge = np.searchsorted(seen, np.arange(len(y) + 1) * len(distinct))
+    bucket, first = gram_buckets(words, at)
+    size = np.diff(np.r_[first, len(bucket)])
+    w_bucket = (distinct >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+    for r in range(len(y)):
+        mine = seen[edge[r]:edge[r + 1]] - r * len(distinct)
+        if len(mine):
+            n = size[mine]
+            take = np.repeat(first[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            counts["word"][int(y[r])][np.unique(w_bucket[mine])] += 1
+            counts["gram"][int(y[r])][np.unique(bucket[take])] += 1
+
+
+def _examples(texts: pa.Array, y: np.ndarray, seen_by: list[Model], rng) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs (time, window, INPUT), mask and label of each row's strongest window, and of a random one
+    of each clean row; ``seen_by``: the model as a clean and as a toxic row sees it."""
+    words, hashes = tokens(texts)
+    pair = [m.inputs(words, hashes) for m in seen_by]
+    n = len(pair[0][0])
+    x = np.concatenate([pair[0][0], pair[1][0], np.zeros((1, INPUT), np.float32)])
+    index = np.append(pair[0][1] + n * (y[words.rows()] == 1), 2 * n)
+    row, start, size = windows(words)
+    evidence = np.r_[0, (np.maximum(x[index, 0], 0) + np.maximum(x[index, INPUT // 2], 0)).cumsum()]
+    strength = evidence[start + size] - evidence[start] + rng.random(len(row)) * 1e-3
+    first = np.searchsorted(row, np.arange(len(y)))
+    top = np.lexsort((-strength, row))[first]
+    chance = first + (rng.random(len(y)) * np.diff(np.r_[first, len(row)])).astype(int)
+    use = np.r_[top, chance[y == 0]]
+    at, mask = positions(start[use], size[use])
+    return x[np.where(mask, index[np.where(mask, at, 0)], 2 * n)], mask, y[row[use]]
+
+
 def train(texts: list[str], labels: np.ndarray, epochs: int = 12, least_steps: int = 600, seed: int = 5) -> Model:
     """Tables from three quarters of the rows' label counts, the network from their strongest windows
-    (and for clean rows a random one), the calibration from the other quarter."""
+    (and for clean rows a random one), the calibration from the other quarter.  Rows are gone through
+    in chunks, so memory holds one chunk's words and the chosen windows."""
     rng = np.random.default_rng(seed)
-    words, hashes = tokens(pa.array(texts, pa.string()))
     y = np.asarray(labels, dtype=np.float32)
     held = np.arange(len(y)) % 4 == 3
     rate = float(np.clip(y[~held].mean() if (~held).any() else 0.1, 0.01, 0.99))
-    word_row = words.rows()
-    distinct, at, index = np.unique(hashes, return_index=True, return_inverse=True)
-    # Documents of each label that have a bucket: each distinct (row, bucket) counts once.
-    seen = np.unique(word_row[~held[word_row]] * len(distinct) + index[~held[word_row]]) if len(distinct) else np.zeros(0, np.int64)
-    s_row, s_word = (seen // len(distinct), seen % len(distinct)) if len(distinct) else (seen, seen)
-    counts = {"word": np.zeros((2, 1 << WORD_BITS)), "gram": np.zeros((2, 1 << GRAM_BITS))}
-    if len(seen):
-        bucket, first = gram_buckets(words, at)
-        size = np.diff(np.r_[first, len(bucket)])
-        w_bucket = (distinct >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-        edge = np.searchsorted(s_row, np.arange(len(y) + 1))
-        for r in range(len(y)):
-            mine = s_word[edge[r]:edge[r + 1]]
-            if len(mine):
-                counts["word"][int(y[r])][np.unique(w_bucket[mine])] += 1
-                n = size[mine]
-                take = np.repeat(first[mine] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-                counts["gram"][int(y[r])][np.unique(bucket[take])] += 1
+
+    def chunks(rows: np.ndarray):
+        size = np.cumsum([len(texts[r]) for r in rows])
+        for part in np.split(rows, np.flatnonzero(np.diff(size // _TRAIN_CHUNK)) + 1) if len(rows) else []:
+            yield part, pa.array([texts[r] for r in part], pa.string())
+
+    counts = {"word": np.zeros((2, 1 << WORD_BITS), np.float32), "gram": np.zeros((2, 1 << GRAM_BITS), np.float32)}
+    for part, batch in chunks(np.flatnonzero(~held)):
+        _count(batch, y[part], counts)
     noise = {n: rng.standard_normal((c.shape[1], RANDOM)).astype(np.float32) * np.float32(0.3) for n, c in counts.items()}
 
     def table(name: str, without: int | None) -> np.ndarray:
@@ -240,32 +275,22 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 12, least_steps: i
         c = [np.maximum(v - (k == without), 0) for k, v in enumerate(counts[name])]
         return np.concatenate([shrunken_odds(c[1], c[0], rate)[:, None], noise[name]], axis=1)
 
-    model = Model(table("word", None), table("gram", None), Network(seed))
+    net = Network(seed)
+    model = Model(table("word", None), table("gram", None), net)
     if not len(y) or y[~held].min(initial=1) == y[~held].max(initial=0):
         return model
-    # Inputs of the distinct words as a clean and as a toxic row sees them, then one row of padding.
-    seen_by = [Model(table("word", k), table("gram", k), model.net).inputs(words, hashes) for k in (0, 1)]
-    n_inputs, index = len(distinct), seen_by[0][1]
-    x = np.concatenate([seen_by[0][0], seen_by[1][0], np.zeros((1, INPUT), np.float32)])
-    index = np.append(index + n_inputs * (y[word_row] == 1), len(x) - 1)
-    row, start, size = windows(words)
-    evidence = np.r_[0, (np.maximum(x[index, 0], 0) + np.maximum(x[index, INPUT // 2], 0)).cumsum()]
-    strength = evidence[start + size] - evidence[start] + rng.random(len(row)) * 1e-3
-    order = np.lexsort((-strength, row))
-    first = np.searchsorted(row, np.arange(len(y)))
-    top = order[first]
-    chance = first + (rng.random(len(y)) * np.diff(np.r_[first, len(row)])).astype(int)
-    use = np.r_[top[~held], chance[~held & (y == 0)]]
-    target = y[row[use]]
+    seen_by = [Model(table("word", k), table("gram", k), net) for k in (0, 1)]
+    x, mask, target = zip(*(_examples(batch, y[part], seen_by, rng) for part, batch in chunks(np.flatnonzero(~held))))
+    x, mask, target = np.concatenate(x, axis=1), np.concatenate(mask, axis=1), np.concatenate(target)
+    del seen_by, counts, noise
     weight = np.where(target == 1, 0.5 / max(target.mean(), 1e-6), 0.5 / max(1 - target.mean(), 1e-6)).astype(np.float32)
-    moment = {n: (np.zeros_like(v), np.zeros_like(v)) for n, v in model.net.p.items()}
+    moment = {n: (np.zeros_like(v), np.zeros_like(v)) for n, v in net.p.items()}
     step = 0
-    for _ in range(max(epochs, -(-least_steps * 128 // len(use)))):
-        shuffled = rng.permutation(len(use))
-        for lo in range(0, len(use), 128):
+    for _ in range(max(epochs, -(-least_steps * 128 // len(target)))):
+        shuffled = rng.permutation(len(target))
+        for lo in range(0, len(target), 128):
             part = shuffled[lo:lo + 128]
-            at, mask = positions(start[use[part]], size[use[part]])
-            g = model.net.gradients(x[np.where(mask, index[np.where(mask, at, 0)], len(x) - 1)], mask, target[part], weight[part] / len(part))
+            g = net.gradients(x[:, part], mask[:, part], target[part], weight[part] / len(part))
             step += 1
             norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
             for n, v in g.items():
@@ -273,11 +298,10 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 12, least_steps: i
                 m, s = moment[n]
                 m += 0.1 * (v - m)
                 s += 0.001 * (v * v - s)
-                model.net.p[n] -= np.float32(0.01) * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)
-    logits, row = model.window_logits(words, hashes)
-    best = np.maximum.reduceat(logits, np.searchsorted(row, np.arange(len(y)))).astype(float)
-    fit = held if 0 < y[held].sum() < held.sum() else np.ones(len(y), bool)
-    model.scale, model.shift = calibrate(best[fit], y[fit])
+                net.p[n] -= np.float32(0.01) * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)
+    fit = np.flatnonzero(held) if 0 < y[held].sum() < held.sum() else np.arange(len(y))
+    best = np.concatenate([model.best(batch) for _, batch in chunks(fit)])
+    model.scale, model.shift = calibrate(best.astype(float), y[fit])
     return model
 
 
@@ -336,5 +360,6 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text", keep: list
     if "_score" in names:
         raise ValueError("reserved column name in the input: _score")
     schema = T.StructType([*[docs.schema[n] for n in names], T.StructField("_score", T.DoubleType())])
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(*dict.fromkeys([*names, text])).mapInArrow(_score(shared, text, names), schema)

@@ -18,7 +18,7 @@ BYTE_VALUE = _RNG.integers(1, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 # Bytes hashed at once: the tables below hold 8 bytes for each of them.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 
 def byte_flags(separators: bytes) -> np.ndarray:
