@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -63,6 +65,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/keelson-" + name + "-" + uuid.uuid4().hex[:12]
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, by Spark's own file server;
+    functions that run there then import it wherever the application was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_keelson_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="keelson-py-"), "keelson.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(out)
+    sc._keelson_shipped = True
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -72,4 +91,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "shuffle_partitions", "local_path"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "ship", "shuffle_partitions", "local_path"]
