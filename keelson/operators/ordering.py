@@ -3,11 +3,11 @@
 A window ``partitionBy(key)`` puts every row of a key into one task; when one
 key holds a third of the data that task is the whole job.  Here the rows are
 range-partitioned on (key, order) instead, so a hot key is spread over many
-partitions.  Each row gets its rank inside its partition (one sequential pass
-over the sorted partition) plus the number of rows of the same key in earlier
-partitions.  Only the first key of a partition can continue from earlier
-partitions, so that offset table has one row per partition: its size is bounded
-by the partition count and it is broadcast.
+partitions.  A row's global position is its position in the sorted partition
+plus the rows of earlier partitions (a running sum over one row per partition,
+which is broadcast), and its ordinal is that minus the key's first position (one
+row per key: broadcast when its bytes are few, else a shuffle join).  All of it
+is built from Spark expressions; no row passes through Python.
 
 Windows that need the previous T rows then run over blocks of ``block`` ordinals
 (``partitionBy(key, block)``), with the last T rows of each block copied into the
@@ -18,11 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keelson.functions.exprs import as_list
 from keelson.session import checkpoint_dir, shuffle_partitions
@@ -30,126 +27,74 @@ from keelson.session import checkpoint_dir, shuffle_partitions
 # Rows per block for block windows; every block window partition holds at most
 # BLOCK + lookback rows.
 BLOCK = 1 << 16
-# Largest derived table that is broadcast after its size has been checked.
-BROADCAST_ROWS = 2_000_000
-
-
-def _same(a, b) -> bool:
-    return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
-
-
-def _local_rank(keys: list[str]):
-    """Rank of each row among rows with the same key inside its (sorted) partition."""
-
-    def run(batches):
-        prev = None
-        carry = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                yield pdf.assign(_lr=pd.Series([], dtype="int64"))
-                continue
-            chg = np.zeros(n, dtype=bool)
-            for c in keys:
-                s = pdf[c]
-                v = s.to_numpy()
-                na = s.isna().to_numpy()
-                same = (v[1:] == v[:-1]) | (na[1:] & na[:-1])
-                chg[1:] |= ~np.asarray(same, dtype=bool)
-            if prev is None:
-                chg[0] = True
-            elif keys:
-                chg[0] = not _same(tuple(pdf[c].iloc[0] for c in keys), prev)
-            idx = np.arange(n, dtype=np.int64)
-            start = np.maximum.accumulate(np.where(chg, idx, 0))
-            lr = idx - start
-            if not chg[0]:
-                lr = np.where(start == 0, lr + carry, lr)
-            carry = int(lr[-1]) + 1
-            prev = tuple(pdf[c].iloc[-1] for c in keys) if keys else ()
-            yield pdf.assign(_lr=lr)
-
-    return run
-
-
-def _edges(keys: list[str]):
-    """One row per partition: its first key, last key and rows of the last key."""
-
-    def run(batches):
-        first = last = None
-        pid = None
-        n_last = 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            cur = [tuple(r) for r in pdf[keys].itertuples(index=False, name=None)] if keys else [()] * len(pdf)
-            if first is None:
-                first = cur[0]
-            for k in cur:
-                if last is not None and _same(k, last):
-                    n_last += 1
-                else:
-                    last, n_last = k, 1
-        if pid is not None:
-            row = {"_pid": [pid], "_nlast": [n_last]}
-            for i, c in enumerate(keys):
-                row["_f_" + c] = [first[i]]
-                row["_l_" + c] = [last[i]]
-            yield pd.DataFrame(row)
-
-    return run
+# Largest derived table that is broadcast, by its measured bytes.
+BROADCAST_BYTES = 64 << 20
 
 
 def _sort_col(o) -> Column:
     return o if isinstance(o, Column) else F.col(o)
 
 
+def _sorted_runs(df: DataFrame, sort_cols, partitions: int | None) -> DataFrame:
+    """Range-partitioned and sorted, with ``_pid`` and ``_pos`` (position inside the partition).
+
+    Written once to the shared checkpoint folder: what is computed from it must see the very same
+    partitions (a recomputed range exchange could sample other bounds), and the sorted runs survive
+    executor loss.
+    """
+    checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(partitions or shuffle_partitions(df.sparkSession), *sort_cols)
+              .sortWithinPartitions(*sort_cols).checkpoint(eager=True))
+    return ranged.withColumns({"_pid": F.spark_partition_id(),
+                               "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+
+
+def _with_offsets(runs: DataFrame, weight: Column) -> DataFrame:
+    """Adds ``_off``: the weight of all earlier partitions (one row per partition, broadcast)."""
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = runs.groupBy("_pid").agg(F.sum(weight).alias("_w"))
+    offsets = per_part.select("_pid", F.coalesce(F.sum("_w").over(w), F.lit(0)).cast("long").alias("_off"))
+    return runs.join(F.broadcast(offsets), "_pid")
+
+
+def _since_key_start(df: DataFrame, keys: list[str], position: str, name: str) -> DataFrame:
+    """Adds ``name``: ``position`` minus the smallest position of the row's key (NULL is a key)."""
+    if not keys:
+        return df.withColumn(name, F.col(position))
+    first = df.groupBy(*[F.col(k).alias("_k_" + k) for k in keys]).agg(F.min(position).alias("_first"))
+    first, is_small = checked_small(first)
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col("_k_" + k))
+    out = df.join(F.broadcast(first) if is_small else first, match)
+    return out.withColumn(name, F.col(position) - F.col("_first")).drop("_first", *["_k_" + k for k in keys])
+
+
 def keyed_ordinal(df: DataFrame, keys, order: Sequence, name: str = "ordinal",
                   partitions: int | None = None) -> DataFrame:
     """Add ``name``: 0-based position of each row inside its key, by ``order``.
 
     ``order`` must be a total order inside a key (add a unique tiebreaker).
     Project the needed columns before calling: every column passes the sort.
-    Cost: one range shuffle and one write of the projected rows, then two
-    reads (a per-partition rank pass and a one-row-per-partition edge pass).
+    Cost: one range shuffle and one write of the projected rows, then a count
+    per partition and one row per key.
     """
     keys = as_list(keys)
-    n_parts = partitions or shuffle_partitions(df.sparkSession)
-    sort_cols = [F.col(k) for k in keys] + [_sort_col(o) for o in order]
-    # Written once to the shared checkpoint folder: both passes below then read
-    # the very same partitions (a recomputed range exchange could sample other
-    # bounds), and the sorted runs survive executor loss.
-    checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(n_parts, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .checkpoint(eager=True)
-              .withColumn("_pid", F.spark_partition_id()))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    edge_schema = T.StructType(
-        [T.StructField("_pid", T.IntegerType()), T.StructField("_nlast", T.LongType())]
-        + [T.StructField("_f_" + k, types[k]) for k in keys]
-        + [T.StructField("_l_" + k, types[k]) for k in keys])
-    edges = ranged.mapInPandas(_edges(keys), schema=edge_schema)
-    first = F.struct(*[F.col("_f_" + k).alias(k) for k in keys]) if keys else F.lit(0)
-    last = F.struct(*[F.col("_l_" + k).alias(k) for k in keys]) if keys else F.lit(0)
-    per_part = edges.select("_pid", "_nlast", first.alias("_first"), last.alias("_last"))
-    earlier = per_part.select(F.col("_pid").alias("_qpid"), F.col("_last").alias("_qlast"),
-                              F.col("_nlast").alias("_qn"))
-    # one row per partition on both sides: bounded by the partition count
-    offsets = (per_part.join(F.broadcast(earlier),
-                             F.col("_qlast").eqNullSafe(F.col("_first")) & (F.col("_qpid") < F.col("_pid")),
-                             "left")
-               .groupBy("_pid", "_first")
-               .agg(F.coalesce(F.sum("_qn"), F.lit(0)).cast("long").alias("_off")))
-
-    out_schema = T.StructType(ranged.schema.fields + [T.StructField("_lr", T.LongType(), False)])
-    local = ranged.mapInPandas(_local_rank(keys), schema=out_schema)
-    kcol = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    return (local.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_lr") + F.when(kcol.eqNullSafe(F.col("_first")), F.col("_off"))
-                        .otherwise(F.lit(0)).cast("long"))
-            .drop("_pid", "_lr", "_first", "_off"))
+    runs = _sorted_runs(df, [F.col(k) for k in keys] + [_sort_col(o) for o in order], partitions)
+    placed = _with_offsets(runs, F.lit(1)).withColumn("_at", F.col("_pos") + F.col("_off")).drop("_pid", "_pos", "_off")
+    return _since_key_start(placed, keys, "_at", name).drop("_at")
+
+
+def keyed_running_total(df: DataFrame, keys, order: Sequence, weight: str, name: str,
+                        partitions: int | None = None) -> DataFrame:
+    """Add ``name``: total of the whole-number column ``weight`` over the earlier rows of the key, by
+    ``order`` (a total order inside a key).  Running sums are taken inside the balanced partitions."""
+    keys = as_list(keys)
+    runs = _sorted_runs(df, [F.col(k) for k in keys] + [_sort_col(o) for o in order], partitions)
+    inside = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    local = runs.withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    placed = _with_offsets(local, F.col(weight)).withColumn("_at", F.col("_local") + F.col("_off")).drop("_pid", "_pos", "_off", "_local")
+    return _since_key_start(placed, keys, "_at", name).drop("_at")
 
 
 def key_counts(df: DataFrame, keys, name: str = "n") -> DataFrame:
@@ -160,30 +105,31 @@ def key_counts(df: DataFrame, keys, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def checked_small(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def checked_small(small: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Materialise a derived table in the shared checkpoint folder and report
-    whether it is small enough to broadcast (size checked, not assumed)."""
+    whether its measured bytes are few enough to broadcast it."""
     checkpoint_dir(small.sparkSession)
     fixed = small.checkpoint(eager=True)
-    return fixed, fixed.limit(max_rows + 1).count() <= max_rows
+    size = fixed.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long") + 32)).first()[0] or 0
+    return fixed, size <= max_bytes
 
 
 def attach(df: DataFrame, small: DataFrame, keys, how: str = "inner",
-           max_rows: int = BROADCAST_ROWS, bound: int | None = None) -> DataFrame:
+           max_bytes: int = BROADCAST_BYTES, bound: int | None = None) -> DataFrame:
     """Join a per-key table onto ``df``.
 
     Without keys the table has one row and is broadcast.  With ``bound`` (a
-    proven row bound, such as a fixed feature list) it is broadcast directly.
-    Otherwise its size is checked after materialising it: broadcast when small,
+    proven small row bound, such as a fixed feature list) it is broadcast directly.
+    Otherwise its bytes are measured after materialising it: broadcast when few,
     else a shuffle join left to AQE (skew-join splitting for hot keys).
     """
     keys = as_list(keys)
     if not keys:
         # a one-row table (a global statistic): attached to every row by broadcast
         return df.crossJoin(F.broadcast(small))
-    if bound is not None and bound <= max_rows:
+    if bound is not None and bound <= 100_000:
         return df.join(F.broadcast(small), keys, how)
-    fixed, is_small = checked_small(small, max_rows)
+    fixed, is_small = checked_small(small, max_bytes)
     return df.join(F.broadcast(fixed) if is_small else fixed, keys, how)
 
 

@@ -11,8 +11,7 @@ from keelson.functions.exprs import as_list, field_type, FRACTIONAL_TYPES, is_mi
 from keelson.operators.ordering import attach, keyed_ordinal
 
 # The passenger titles grouped as "Rare".
-RARE_TITLES = ["Lady", "Countess", "Capt", "Col", "Don", "Dr", "Major", "Rev", "Sir", "Jonkheer", "Dona",
-               "Mlle", "Mme"]
+RARE_TITLES = ["Dr", "Rev", "Major", "Col", "Mlle", "Mme", "Ms", "Capt", "Lady", "Jonkheer", "Don", "Countess", "Sir"]
 # Title pattern (a run of letters before a dot).
 TITLE_PATTERN = r"([A-Za-z]+)\."
 
@@ -134,7 +133,8 @@ def frequency_index_table(df: DataFrame, c: str, out: str | None = None) -> Data
 
 
 def frequency_index(df: DataFrame, columns: Sequence[str], keep_invalid: bool = False) -> DataFrame:
-    """Index several categorical columns (``<c>_Index``); unseen/NULL → last index when kept."""
+    """Index several categorical columns (``<c>_Index``).  A NULL category gets the last index when
+    kept; otherwise it is an error, as no row may vanish silently."""
     out = df
     for c in as_list(columns):
         idx = frequency_index_table(df, c)
@@ -144,5 +144,5 @@ def frequency_index(df: DataFrame, columns: Sequence[str], keep_invalid: bool =
             out = attach(out, size, []).withColumn(
                 c + "_Index", F.coalesce(F.col(c + "_Index"), F.col("_size"))).drop("_size")
         else:
-            out = out.where(F.col(c + "_Index").isNotNull())
+            out = out.withColumn(c + "_Index", F.coalesce(F.col(c + "_Index"), F.raise_error(F.lit(f"no index for a NULL {c}")).cast("double")))
     return out

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import as_list, is_missing, nan_to_null, unpivot
-from keelson.operators.ordering import attach, key_counts, keyed_ordinal
+from keelson.operators.ordering import attach, keyed_running_total
 
 # Density grid size and cut (in bandwidths) of the plotted curve.
 KDE_GRID = 200
@@ -82,27 +82,33 @@ def exact_quantiles(long: DataFrame, keys, value: str, probs: Sequence[float],
                     key_bound: int | None = None) -> DataFrame:
     """(keys, p, q): exact quantiles with linear interpolation (``quantile_cont``).
 
-    pos = p·(n−1); q = v[floor] + (pos − floor)·(v[ceil] − v[floor]), values
-    picked by rank from the balanced ordinal.  NULL/NaN values are skipped.
+    pos = p·(n−1); q = v[floor] + (pos − floor)·(v[ceil] − v[floor]).  Equal
+    values are counted first (with partial aggregation), so a value that most
+    rows share is one row; a value covers the ranks from its running total on.
+    NULL/NaN values are skipped.
     """
     keys = as_list(keys)
-    vals = long.select(*keys, nan_to_null(value).alias("_v")).where(F.col("_v").isNotNull())
-    ranked = keyed_ordinal(vals, keys, ["_v"], name="_r")
-    n = key_counts(vals, keys, "_n")
+    # one representative per number: -0.0 and 0.0 group together
+    vals = long.select(*keys, (nan_to_null(value) + F.lit(0.0)).alias("_v")).where(F.col("_v").isNotNull())
+    counts = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = keyed_running_total(counts, keys, ["_v"], "_c", "_from")
+    # the totals come from the same materialised table, whatever its size
+    n = ranked.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     plist = F.array(*[F.lit(float(p)) for p in probs])
     need = (n.select(*keys, "_n", F.explode(plist).alias("p"))
             .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
             .withColumn("_lo", F.floor("_pos").cast("long"))
             .withColumn("_hi", F.ceil("_pos").cast("long"))
             .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    wanted = need.select(*keys, "p", "_frac", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r"),
-                         "_lo", "_hi")
-    bound = None if key_bound is None else key_bound * len(probs) * 2
-    picked = attach(ranked, wanted, [*keys, "_r"], bound=bound)
-    agg = picked.groupBy(*keys, "p").agg(
-        F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-        F.first("_frac").alias("_frac"))
+    # a few wanted ranks per key, in one row
+    wanted = need.groupBy(*keys).agg(F.collect_list(F.struct("p", "_frac", "_lo", "_hi")).alias("_want"))
+    picked = attach(ranked, wanted, keys, bound=key_bound)
+    inside = lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_c"))
+    hits = picked.select(*keys, "_v", "_from", "_c", F.explode(F.filter("_want", lambda w: inside(w["_lo"]) | inside(w["_hi"]))).alias("_w"))
+    agg = hits.groupBy(*keys, F.col("_w.p").alias("p")).agg(
+        F.max(F.when(inside(F.col("_w._lo")), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(inside(F.col("_w._hi")), F.col("_v"))).alias("_vhi"),
+        F.first("_w._frac").alias("_frac"))
     return agg.select(*keys, "p", (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("q"))
 
 
@@ -203,7 +209,7 @@ def tercile_label(value: Column, e1: Column, e2: Column, labels=("Low", "Medium"
 def with_terciles(df: DataFrame, target: str, name: str = "tercile") -> DataFrame:
     edges = tercile_edges(df, target)
     return (attach(df, edges.select("e1", "e2"), [])
-            .withColumn(name, tercile_label(F.col(target), F.col("e1"), F.col("e2"))).drop("e1", "e2"))
+            .withColumn(name, tercile_label(nan_to_null(target), F.col("e1"), F.col("e2"))).drop("e1", "e2"))
 
 
 def box_stats(long: DataFrame, keys, value: str = "x", key_bound: int | None = None) -> DataFrame:

@@ -25,7 +25,8 @@ def score_requests(df: DataFrame, request_col: str, names: Sequence[str] | int,
     parsed = df.withColumn("_req", F.from_json(F.col(request_col), REQUEST_SCHEMA))
     rows = parsed.select("*", F.posexplode_outer("_req.inputs").alias("input_pos", "_vec")).drop("_req")
     checks = [F.when(F.col("_vec").isNull(), F.lit("invalid request")),
-              F.when(F.size("_vec") != n, F.lit(f"expected {n} inputs"))]
+              F.when(F.size("_vec") != n, F.lit(f"expected {n} inputs")),
+              F.when(F.exists("_vec", lambda v: v.isNull() | F.isnan(v)), F.lit("missing input"))]
     for key, (lo, hi) in bounds.items():
         i = key if isinstance(key, int) else names.index(key)
         label = names[i]

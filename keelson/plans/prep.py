@@ -12,7 +12,7 @@ from keelson.plans import register
 from keelson.plans._util import rnd, table, ts_sql
 from keelson.plans.scans import NULLED_ORDERS, nulled_orders
 
-RARE_SQL = ", ".join(f"'{t}'" for t in prep.RARE_TITLES)
+RARE_SQL = "'Dr', 'Rev', 'Major', 'Col', 'Mlle', 'Mme', 'Ms', 'Capt', 'Lady', 'Jonkheer', 'Don', 'Countess', 'Sir'"
 
 
 @register("FT5", f"""

@@ -16,6 +16,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not compile methods above this size; larger generated ones run faster split up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Checkpoint files of tables that are no longer referenced are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
@@ -65,6 +69,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/keelson-" + name + "-" + uuid.uuid4().hex[:12]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True if a file or folder is there; a storage fault raises."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, by Spark's own file server;
     functions that run there then import it wherever the application was started."""
@@ -91,4 +101,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "ship", "shuffle_partitions", "local_path"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "path_exists", "ship", "shuffle_partitions", "local_path"]
