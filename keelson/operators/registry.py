@@ -11,11 +11,11 @@ import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keelson.functions.exprs import metric_map, param_map
 from keelson.operators.metrics import best_by
-from keelson.operators.ordering import keyed_ordinal
+from keelson.operators.ordering import attach, keyed_ordinal
+from keelson.session import path_exists
 
 
 def runs_table(df: DataFrame, run_id: str, parent: str, experiment: Column, cycle: str, started: str,
@@ -35,10 +35,16 @@ def promote_best(runs: DataFrame, metric: str) -> DataFrame:
             .withColumnRenamed("_metric", "best_" + metric).join(n, "parent_run_id"))
 
 
-def register_versions(regs: DataFrame, name: str, registered_at: str, tiebreak: str) -> DataFrame:
-    """New version per registration: 1, 2, ... per model name in registration order."""
+def register_versions(regs: DataFrame, name: str, registered_at: str, tiebreak: str,
+                      stored: DataFrame | None = None) -> DataFrame:
+    """New version per registration, in registration order: 1, 2, ... per model name, or on from the
+    largest version in ``stored`` (name, version).  Stored versions never change, also when a
+    registration arrives late."""
     out = keyed_ordinal(regs, [name], [registered_at, tiebreak], name="_v")
-    return out.withColumn("version", F.col("_v") + 1).drop("_v")
+    if stored is None:
+        return out.withColumn("version", F.col("_v") + 1).drop("_v")
+    last = stored.groupBy(name).agg(F.max("version").alias("_last"))
+    return attach(out, last, [name], how="left").withColumn("version", F.col("_v") + 1 + F.coalesce("_last", F.lit(0))).drop("_v", "_last")
 
 
 def current_aliases(alias_events: DataFrame, name: str = "name", alias: str = "alias",
@@ -72,18 +78,6 @@ def check_signature(df: DataFrame, sig: str) -> DataFrame:
 def append_table(df: DataFrame, path: str, key: str | None = None) -> None:
     """Append rows to a parquet table; with ``key`` rows already stored are skipped (idempotent replay)."""
     spark = df.sparkSession
-    if key is not None:
-        try:
-            old = spark.read.parquet(path).select(key)
-            df = df.join(old, key, "left_anti")
-        except Exception:  # noqa: BLE001  (first write: no table yet)
-            pass
+    if key is not None and path_exists(spark, path):
+        df = df.join(spark.read.parquet(path).select(key), key, "left_anti")
     df.write.mode("append").parquet(path)
-
-
-RUN_SCHEMA = T.StructType([
-    T.StructField("run_id", T.LongType()), T.StructField("parent_run_id", T.LongType()),
-    T.StructField("experiment", T.StringType()), T.StructField("cycle", T.LongType()),
-    T.StructField("started", T.TimestampNTZType()),
-    T.StructField("params", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType()))])

@@ -22,13 +22,34 @@ def staged_events(spark, base, copies: bool = False):
     return path
 
 
-def _cycle(spark, base):
-    src = staged_events(spark, base)
+CHUNKS = 6
+
+
+def _chunked_events(spark, base):
+    """Events as ``CHUNKS`` tick files in time order, cut at equal time spans (in the midst of hours)."""
+    path = scratch_path(spark, "tick-files")
+    ev = table(spark, base, "events")
+    sec = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = ev.agg(F.min(sec).alias("mn"), F.max(sec).alias("mx"))
+    at = F.floor((sec - F.col("mn")) * F.lit(CHUNKS) / (F.col("mx") - F.col("mn") + 1))
+    cut = ev.crossJoin(F.broadcast(span)).withColumn("chunk", at).drop("mn", "mx")
+    for k in range(CHUNKS):
+        cut.where(F.col("chunk") == k).drop("chunk").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _cycle(spark, base, max_cycles=100):
     root = scratch_path(spark, "cycle")
-    sb.run_forecast_loop(spark, src, root, scratch_path(spark, "cycle-ckpt"), max_cycles=5)
+    sb.run_forecast_loop(spark, _chunked_events(spark, base), root, scratch_path(spark, "cycle-ckpt"), max_cycles=max_cycles, files_per_trigger=1)
     return root
 
 
+RUNS_SQL = f"""
+SELECT chunk + 1 AS cycle, count(*) AS n_new_bars FROM (
+  SELECT DISTINCT CAST(floor((epoch_us(ts) - mn) * {CHUNKS} / (mx - mn + 1)) AS BIGINT) AS chunk, event_type, time_bucket(INTERVAL 1 HOUR, ts) AS b
+  FROM events, (SELECT min(epoch_us(ts)) AS mn, max(epoch_us(ts)) AS mx FROM events)) GROUP BY chunk"""
+
+
 BARS_END = "max_ts - INTERVAL 10 MINUTE"
 
 
@@ -64,7 +85,7 @@ SELECT event_type AS symbol, count(*) AS n_bars, {ts_sql('max(bar_start)')} AS l
 def stream_history(spark, base):
     """Bars appended by the forecast cycle (only bars newer than the stored ones)."""
     root = _cycle(spark, base)
-    b = spark.read.parquet(f"{root}/bars")
+    b = sb.stored_bars(spark, root)
     return b.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_bars"),
                                    ts_text(F.max("bar_start").cast("timestamp_ntz")).alias("last_bar"))
 
@@ -75,9 +96,7 @@ SELECT event_type AS symbol, min(close) AS close_min, max(close) AS close_max FR
 GROUP BY event_type""")
 def stream_stats(spark, base):
     root = _cycle(spark, base)
-    st = spark.read.parquet(f"{root}/stats")
-    last = st.groupBy("symbol").agg(F.max("batch_id").alias("batch_id"))
-    return st.join(last, ["symbol", "batch_id"]).select("symbol", "close_min", "close_max")
+    return sb.newest(spark.read.parquet(f"{root}/stats")).select("symbol", "close_min", "close_max")
 
 
 @register("STR7", f"""
@@ -90,24 +109,19 @@ SELECT symbol, {ts_sql('last_bar')} AS last_bar, last_close, round(intercept + s
 FROM t JOIN f USING (symbol)""")
 def stream_forecast(spark, base):
     root = _cycle(spark, base)
-    fc = spark.read.parquet(f"{root}/forecasts")
-    last = fc.groupBy("symbol").agg(F.max("cycle").alias("cycle"))
-    return fc.join(last, ["symbol", "cycle"]).select(
+    return sb.newest(spark.read.parquet(f"{root}/forecasts")).select(
         "symbol", ts_text(F.col("last_bar").cast("timestamp_ntz")).alias("last_bar"), "last_close", rnd("predicted_next", 6))
 
 
-@register("STR4")
+@register("STR4", f"SELECT CAST(cycle AS INT) AS cycle, n_new_bars FROM ({RUNS_SQL})")
 def stream_cycles(spark, base):
-    """Cycle log of the forecast loop (rows-only: one row per productive batch)."""
+    """Cycle log of the forecast loop: one row per productive batch."""
     root = _cycle(spark, base)
-    return spark.read.parquet(f"{root}/runs")
+    return spark.read.parquet(f"{root}/runs").select("cycle", "n_new_bars")
 
 
-@register("STR5")
+@register("STR5", f"SELECT CAST(cycle AS INT) AS cycle, n_new_bars FROM ({RUNS_SQL}) WHERE cycle <= 4")
 def stream_cycle_limit(spark, base):
-    """Ticks staged as ~30 files, one file per trigger; the loop stops after 5 productive cycles (rows-only)."""
-    path = scratch_path(spark, "ticks-files")
-    table(spark, base, "events").repartition(30, F.to_date("ts")).write.mode("overwrite").parquet(path)
-    root = scratch_path(spark, "cycle5")
-    sb.run_forecast_loop(spark, path, root, scratch_path(spark, "cycle5-ckpt"), max_cycles=5, files_per_trigger=1)
-    return spark.read.parquet(f"{root}/runs")
+    """The loop stops after 4 productive cycles; the batches behind them stay for a later run."""
+    root = _cycle(spark, base, max_cycles=4)
+    return spark.read.parquet(f"{root}/runs").select("cycle", "n_new_bars")

@@ -5,24 +5,26 @@ newest stored one, refit, forecast, stop after a number of cycles) becomes a
 file-source stream with ``foreachBatch``:
 
 * bars are a watermarked tumbling-window aggregate (append mode);
-* each productive micro-batch appends the bars strictly newer than the stored
-  maximum of their symbol, merges the running min/max statistics, refits a
-  closed-form one-lag autoregression per symbol (``regr_slope``/``regr_intercept``,
-  a partial aggregate) and writes one forecast row per symbol;
-* writes are keyed by ``batch_id`` so a replayed batch is skipped;
-* empty batches are not cycles; ``max_cycles`` and a wall-clock limit stop it.
+* each productive micro-batch takes the ticks newer than their symbol's last one,
+  extends the open bar or starts new ones, and merges a state of one row per symbol
+  (open bar, running min/max, sums of the one-lag regression), so a cycle costs as
+  much as its batch, not as the history; it writes one forecast row per symbol;
+* every table is written under ``batch_id=N`` with overwrite and only batches before N
+  are read, so a replayed batch gives the same files wherever the first run stopped;
+* empty batches are not cycles; at ``max_cycles`` the next productive batch is refused
+  without being committed, so a later run takes it up.
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.operators.ordering import attach
-from keelson.operators.series import newer_than_stored
+from keelson.session import checkpoint_dir, path_exists
 
 TICK_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -56,29 +58,28 @@ def dedupe_stream(ticks: DataFrame, keys, ts: str = "ts", delay: str = "10 minut
     return ticks.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-                 timeout: float = 300.0) -> None:
-    """Run a streaming query over everything available into a parquet table, then stop."""
+def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
+    """Run a streaming query over everything available into a parquet table; failures raise."""
     q = (df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start(path))
-    q.awaitTermination(timeout)
-    q.stop()
+    q.awaitTermination()
 
 
-def _bars_of(batch: DataFrame, duration: str) -> DataFrame:
-    order = F.struct(F.col("ts"), F.col("event_id"))
-    return (batch.groupBy(F.col("event_type").alias("symbol"), F.window("ts", duration).alias("w"))
-            .agg(F.max_by("value", order).alias("close"))
-            .select("symbol", F.col("w.start").alias("bar_start"), "close"))
+class CycleLimit(Exception):
+    """The batch is refused: the run has had its cycles."""
+
+
+STATE = ("symbol string, open_start timestamp, open_close double, last_ts timestamp, prev_close double, "
+         "close_min double, close_max double, n long, sx double, sy double, sxx double, sxy double")
 
 
 class ForecastCycle:
     """``foreachBatch`` body: one productive micro-batch = one cycle.
 
-    Tables below ``root``: ``bars`` (symbol, bar_start, close, batch_id), ``stats``
-    (symbol, close_min, close_max, batch_id: merged running min/max),
-    ``forecasts`` (cycle, symbol, last_bar, last_close, slope, intercept,
-    predicted_next, batch_id) and ``runs`` (batch_id, cycle, n_new_bars).
+    Tables below ``root``, each partitioned by batch_id: ``bars`` (symbol, bar_start, close: the
+    newest batch of a bar counts), ``state`` (one row per symbol, see STATE), ``stats`` (symbol,
+    close_min, close_max), ``forecasts`` (cycle, symbol, last_bar, last_close, slope, intercept,
+    predicted_next) and ``runs`` (cycle, n_new_bars), which is written last.
     """
 
     def __init__(self, root: str, duration: str = "1 hour", max_cycles: int = 5):
@@ -86,73 +87,126 @@ class ForecastCycle:
         self.duration = duration
         self.max_cycles = max_cycles
         self.cycles = 0
+        self.limit_reached = False
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def _read(self, spark: SparkSession, name: str) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.path(name))
-        except Exception:  # noqa: BLE001  (table not written yet)
+    def _before(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame | None:
+        path = f"{self.root}/{name}"
+        if not path_exists(spark, path):
             return None
+        return spark.read.parquet(path).where(F.col("batch_id") < batch_id)
+
+    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        runs = self._read(spark, "runs")
-        if runs is not None and runs.where(F.col("batch_id") == batch_id).limit(1).count() > 0:
-            return  # replayed batch: already applied
-        if self.cycles >= self.max_cycles or batch.isEmpty():
-            return  # empty polls are not cycles
-        new_bars = _bars_of(batch, self.duration)
-        stored = self._read(spark, "bars")
-        if stored is not None:
-            new_bars = newer_than_stored(new_bars, stored.select("symbol", "bar_start"), ["symbol"], "bar_start")
-        new_bars = new_bars.withColumn("batch_id", F.lit(batch_id)).checkpoint(eager=True)
-        n_new = new_bars.count()
-        if n_new == 0:
-            return
-        new_bars.write.mode("append").parquet(self.path("bars"))
-        # running statistics: merge the batch's min/max into the stored ones
-        part = new_bars.groupBy("symbol").agg(F.min("close").alias("close_min"), F.max("close").alias("close_max"))
-        old = self._read(spark, "stats")
+        checkpoint_dir(spark)
+        runs = self._before(spark, "runs", batch_id)
+        done = runs.count() if runs is not None else 0
+        old = self._before(spark, "state", batch_id)
         if old is not None:
-            last = old.groupBy("symbol").agg(F.max("batch_id").alias("batch_id"))
-            old = old.join(last, ["symbol", "batch_id"]).drop("batch_id")
-            part = part.unionByName(old).groupBy("symbol").agg(F.min("close_min").alias("close_min"),
-                                                               F.max("close_max").alias("close_max"))
-        part.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(self.path("stats"))
+            newest = old.agg(F.max("batch_id")).first()[0]
+            old = old.where(F.col("batch_id") == newest).drop("batch_id")
+        else:
+            old = spark.createDataFrame([], STATE)
+        old = old.checkpoint(eager=True)
+        ticks = batch.select(F.col("event_type").alias("symbol"), "ts", "event_id", "value")
+        ticks = ticks.join(old.select("symbol", "last_ts"), "symbol", "left").where(F.col("last_ts").isNull() | (F.col("ts") > F.col("last_ts")))
+        bars = (ticks.groupBy("symbol", F.window("ts", self.duration).alias("w"))
+                .agg(F.max_by("value", F.struct("ts", "event_id")).alias("close"), F.max("ts").alias("last_ts"))
+                .select("symbol", F.col("w.start").alias("bar_start"), "close", "last_ts").checkpoint(eager=True))
+        n_new = bars.count()
+        if n_new == 0:
+            return  # empty polls are not cycles
+        if done >= self.max_cycles:
+            self.limit_reached = True
+            raise CycleLimit(f"{done} cycles are done")
+        cycle = done + 1
+        self._write(bars.select("symbol", "bar_start", "close"), "bars", batch_id)
+        state = merge_state(old, bars).checkpoint(eager=True)
+        self._write(state, "state", batch_id)
+        self._write(state.select("symbol", F.least("close_min", "open_close").alias("close_min"),
+                                 F.greatest("close_max", "open_close").alias("close_max")), "stats", batch_id)
+        self._write(forecast(state).withColumn("cycle", F.lit(cycle)), "forecasts", batch_id)
+        self._write(spark.createDataFrame([(cycle, n_new)], "cycle int, n_new_bars long"), "runs", batch_id)
         self.cycles += 1
-        self._forecast(spark, batch_id)
-        spark.createDataFrame([(batch_id, self.cycles, n_new)], "batch_id long, cycle int, n_new_bars long") \
-             .write.mode("append").parquet(self.path("runs"))
-
-    def _forecast(self, spark: SparkSession, batch_id: int) -> None:
-        from keelson.operators.series import lag_features
-        bars = spark.read.parquet(self.path("bars")).select("symbol", "bar_start", "close")
-        lagged = lag_features(bars, "symbol", "bar_start", "close", 1).where(F.col("lag_1").isNotNull())
-        fit = lagged.groupBy("symbol").agg(F.regr_slope("close", "lag_1").alias("slope"),
-                                          F.regr_intercept("close", "lag_1").alias("intercept"))
-        last = bars.groupBy("symbol").agg(F.max("bar_start").alias("last_bar"),
-                                          F.max_by("close", "bar_start").alias("last_close"))
-        out = (attach(last, fit, ["symbol"], how="left")
-               .withColumn("predicted_next", F.col("intercept") + F.col("slope") * F.col("last_close"))
-               .withColumn("cycle", F.lit(self.cycles)).withColumn("batch_id", F.lit(batch_id)))
-        out.write.mode("append").parquet(self.path("forecasts"))
+
+
+def merge_state(old: DataFrame, bars: DataFrame) -> DataFrame:
+    """State after the bars of one batch.  A symbol's last bar stays open; the others, and the former
+    open bar once a later one begins, are closed: they enter min/max and the sums over
+    (previous close, close)."""
+    w = Window.partitionBy("symbol").orderBy("bar_start")  # the batch's own bars only
+    o = old.select("symbol", *[F.col(c).alias("o_" + c) for c in old.columns if c != "symbol"])
+    b = bars.join(o.select("symbol", "o_open_start", "o_open_close", "o_prev_close"), "symbol", "left")
+    before = F.when(F.col("bar_start") == F.col("o_open_start"), F.col("o_prev_close")).otherwise(F.col("o_open_close"))
+    b = b.select("symbol", "bar_start", "close", "last_ts", F.when(F.row_number().over(w) == 1, before).otherwise(F.lag("close").over(w)).alias("prev"),
+                 F.lead("bar_start").over(w).isNull().alias("is_open"))
+    x, y = F.when(~F.col("is_open"), F.col("prev")), F.when(~F.col("is_open") & F.col("prev").isNotNull(), F.col("close"))
+    at_open = lambda c: F.max(F.when(F.col("is_open"), F.col(c)))
+    closed = F.when(~F.col("is_open"), F.col("close"))
+    new = b.groupBy("symbol").agg(
+        F.min("bar_start").alias("first"), at_open("bar_start").alias("open_start"), at_open("close").alias("open_close"), at_open("prev").alias("prev_close"),
+        F.max("last_ts").alias("last_ts"), F.min(closed).alias("mn"), F.max(closed).alias("mx"),
+        F.count(x).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"), F.sum(x * y).alias("sxy"))
+    both = new.join(o, "symbol", "full")
+    closing = F.col("first") > F.col("o_open_start")
+    px, py = F.when(closing, F.col("o_prev_close")), F.when(closing & F.col("o_prev_close").isNotNull(), F.col("o_open_close"))
+    fresh = F.col("first").isNotNull()
+    pick = lambda c: F.when(fresh, F.col(c)).otherwise(F.col("o_" + c)).alias(c)
+    total = lambda c, extra: (F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col("o_" + c), F.lit(0)) + F.coalesce(extra, F.lit(0))).alias(c)
+    out = F.when(closing, F.col("o_open_close"))
+    return both.select("symbol", pick("open_start"), pick("open_close"), pick("last_ts"), pick("prev_close"),
+                       F.least("mn", "o_close_min", out).alias("close_min"), F.greatest("mx", "o_close_max", out).alias("close_max"),
+                       total("n", F.when(px.isNotNull(), F.lit(1))), total("sx", px), total("sy", py), total("sxx", px * px), total("sxy", px * py))
+
+
+def forecast(state: DataFrame) -> DataFrame:
+    """One-lag least squares per symbol, the open bar's pair included, and the next close."""
+    has = F.col("prev_close").isNotNull()
+    add = lambda c, v: F.col(c) + F.when(has, v).otherwise(F.lit(0.0))
+    x, y = F.col("prev_close"), F.col("open_close")
+    s = state.select("symbol", F.col("open_start").alias("last_bar"), y.alias("last_close"), (F.col("n") + has.cast("int")).alias("n"),
+                     add("sx", x).alias("sx"), add("sy", y).alias("sy"), add("sxx", x * x).alias("sxx"), add("sxy", x * y).alias("sxy"))
+    spread = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+    s = s.withColumn("slope", F.when(spread > 0, (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / spread))
+    s = s.withColumn("intercept", F.when(F.col("slope").isNotNull(), (F.col("sy") - F.col("slope") * F.col("sx")) / F.col("n")))
+    return s.select("symbol", "last_bar", "last_close", "slope", "intercept", (F.col("intercept") + F.col("slope") * F.col("last_close")).alias("predicted_next"))
+
+
+def stored_bars(spark: SparkSession, root: str) -> DataFrame:
+    """(symbol, bar_start, close): the newest version of every bar."""
+    b = spark.read.parquet(f"{root}/bars")
+    return b.groupBy("symbol", "bar_start").agg(F.max_by("close", "batch_id").alias("close"))
+
+
+def newest(df: DataFrame) -> DataFrame:
+    """Rows of the newest batch (a one-row maximum, broadcast)."""
+    return df.join(F.broadcast(df.agg(F.max("batch_id").alias("batch_id"))), "batch_id")
 
 
 def run_forecast_loop(spark: SparkSession, source: str, root: str, checkpoint: str, max_cycles: int = 5,
                       files_per_trigger: int | None = None, processing_time: str | None = None,
-                      time_limit: float = 600.0) -> ForecastCycle:
-    """Drive the cycle over a tick folder: ``availableNow`` for catch-up or a
-    processing-time trigger (``"60 seconds"``) for the live form; always bounded
-    by ``max_cycles`` and a wall-clock limit."""
+                      time_limit: float | None = None) -> ForecastCycle:
+    """Drive the cycle over a tick folder: ``availableNow`` for catch-up or a processing-time
+    trigger (``"60 seconds"``) for the live form.  It ends when the source is used up, when a
+    productive batch comes after ``max_cycles`` cycles (that batch stays uncommitted), or with a
+    ``TimeoutError`` after ``time_limit`` seconds; any other failure raises."""
     cycle = ForecastCycle(root, max_cycles=max_cycles)
     ticks = tick_stream(spark, source, files_per_trigger=files_per_trigger)
     w = ticks.writeStream.foreachBatch(cycle).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     q = w.start()
     start = time.time()
-    while q.isActive and time.time() - start < time_limit and cycle.cycles < max_cycles:
-        q.awaitTermination(1.0)
-    q.stop()
+    try:
+        while not q.awaitTermination(1):
+            if time_limit is not None and time.time() - start > time_limit:
+                raise TimeoutError(f"the loop was still running after {time_limit} seconds")
+        if (failure := q.exception()) is not None:  # it ended just as the wait did
+            raise failure
+    except StreamingQueryException:
+        if not cycle.limit_reached:
+            raise
+    finally:
+        q.stop()
     return cycle

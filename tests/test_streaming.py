@@ -3,6 +3,9 @@
 import datetime as dt
 import tempfile
 
+import numpy as np
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from keelson.streaming import bars as sb
@@ -25,7 +28,7 @@ def test_late_and_revised_bars_are_ignored(spark):
                    (12, t0 + dt.timedelta(hours=5), 1, "s", 5.0, "{}")], src)
     cyc2 = sb.run_forecast_loop(spark, src, root, ck, max_cycles=5)
     assert cyc2.cycles == 1
-    bars = spark.read.parquet(root + "/bars").orderBy("bar_start").collect()
+    bars = sb.stored_bars(spark, root).orderBy("bar_start").collect()
     assert [b.close for b in bars] == [0.0, 1.0, 2.0, 3.0, 5.0]
     st = spark.read.parquet(root + "/stats").orderBy(F.col("batch_id").desc()).first()
     assert st.close_min == 0.0 and st.close_max == 5.0
@@ -41,3 +44,77 @@ def test_stream_bars_closed_windows_only(spark):
     rows = spark.read.parquet(out + "/t").orderBy("bar_start").collect()
     # last tick at 03:00, watermark 02:50: bars [0,1), [1,2) closed; [2,3) still open
     assert [(r.open, r.close, r.n_ticks) for r in rows] == [(0.0, 2.0, 3), (3.0, 5.0, 3)]
+
+
+def _folders():
+    return tempfile.mkdtemp(prefix="ticks-"), tempfile.mkdtemp(prefix="cycle-"), tempfile.mkdtemp(prefix="ck-")
+
+
+def _hours(spark, src, n=12):
+    """One tick per 40 minutes, a file each, so files are cut in the midst of hours."""
+    t0 = dt.datetime(2024, 1, 1)
+    for i in range(n):
+        _ticks(spark, [(2 * i, t0 + dt.timedelta(minutes=40 * i), 1, "s", float(i * i % 7), "{}"),
+                       (2 * i + 1, t0 + dt.timedelta(minutes=40 * i + 1), 1, "r", float(i), "{}")], src)
+
+
+def _tables(spark, root):
+    out = {}
+    for name in ("bars", "state", "stats", "forecasts", "runs"):
+        rows = spark.read.parquet(f"{root}/{name}").collect()
+        out[name] = sorted(tuple(sorted((k, str(v)) for k, v in r.asDict().items())) for r in rows)
+    return out
+
+
+def test_a_bar_that_spans_batches_has_its_last_close(spark):
+    src, root, ck = _folders()
+    t0 = dt.datetime(2024, 1, 1)
+    _ticks(spark, [(1, t0 + dt.timedelta(minutes=5), 1, "s", 1.0, "{}")], src)
+    _ticks(spark, [(2, t0 + dt.timedelta(minutes=50), 1, "s", 9.0, "{}")], src)
+    sb.run_forecast_loop(spark, src, root, ck, files_per_trigger=1)
+    assert [(r.symbol, r.close) for r in sb.stored_bars(spark, root).collect()] == [("s", 9.0)]
+    assert [(r.close_min, r.close_max) for r in sb.newest(spark.read.parquet(root + "/stats")).collect()] == [(9.0, 9.0)]
+
+
+def test_nothing_is_lost_at_the_cycle_limit(spark):
+    src, root, ck = _folders()
+    _hours(spark, src, 6)
+    assert sb.run_forecast_loop(spark, src, root, ck, max_cycles=2, files_per_trigger=1).limit_reached
+    assert spark.read.parquet(root + "/runs").count() == 2
+    sb.run_forecast_loop(spark, src, root, ck, max_cycles=100, files_per_trigger=1)
+    other = _folders()
+    sb.run_forecast_loop(spark, src, other[1], other[2], max_cycles=100, files_per_trigger=1)
+    assert _tables(spark, root) == _tables(spark, other[1])
+    assert sb.stored_bars(spark, root).count() == 8
+
+
+@pytest.mark.parametrize("table", ["bars", "forecasts"])
+def test_a_crash_between_the_tables_is_replayed(spark, monkeypatch, table):
+    src, root, ck = _folders()
+    _hours(spark, src, 4)
+    write, failed = sb.ForecastCycle._write, []
+
+    def crash(self, df, name, batch_id):
+        if name == table and batch_id == 2 and not failed:
+            failed.append(name)
+            raise OSError("storage fault")
+        write(self, df, name, batch_id)
+
+    monkeypatch.setattr(sb.ForecastCycle, "_write", crash)
+    with pytest.raises(StreamingQueryException):
+        sb.run_forecast_loop(spark, src, root, ck, max_cycles=100, files_per_trigger=1)
+    sb.run_forecast_loop(spark, src, root, ck, max_cycles=100, files_per_trigger=1)
+    other = _folders()
+    sb.run_forecast_loop(spark, src, other[1], other[2], max_cycles=100, files_per_trigger=1)
+    assert failed and _tables(spark, root) == _tables(spark, other[1])
+
+
+def test_forecast_equals_a_fit_over_all_bars(spark):
+    src, root, ck = _folders()
+    _hours(spark, src)
+    sb.run_forecast_loop(spark, src, root, ck, max_cycles=100, files_per_trigger=1)
+    got = {r.symbol: r for r in sb.newest(spark.read.parquet(root + "/forecasts")).collect()}
+    for symbol in "sr":
+        c = [r.close for r in sb.stored_bars(spark, root).where(F.col("symbol") == symbol).orderBy("bar_start").collect()]
+        slope, intercept = np.polyfit(c[:-1], c[1:], 1)
+        assert got[symbol].slope == pytest.approx(slope) and got[symbol].predicted_next == pytest.approx(intercept + slope * c[-1])
