@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -106,6 +107,17 @@ def seeded_hash(seed, *parts) -> Column:
     return F.md5(F.concat(*pieces))
 
 
+def uniform_draw(seed, *parts) -> Column:
+    """Seeded uniform number in [0, 1) of a row: 52 bits of its hash, the same wherever the row lies."""
+    return F.conv(F.substring(seeded_hash(seed, *parts), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+
+
+def normal_draw(seed, *parts) -> Column:
+    """Seeded standard normal number of a row (Box-Muller on two uniform draws)."""
+    u, v = uniform_draw(f"{seed}/u", *parts), uniform_draw(f"{seed}/v", *parts)
+    return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u)) * F.cos(F.lit(2 * math.pi) * v)
+
+
 def cents(c) -> Column:
     """Whole cents of a price: exact text for hashing."""
     return F.round(col(c) * 100).cast("bigint")

@@ -45,9 +45,6 @@ def k_smallest(df: DataFrame, id_cols: Sequence, k: int, seed=42, keys=None, fla
     """
     keys = as_list(keys)
     hashed = with_hash(df, seed, id_cols)
-    if not keys and not flag and k <= 10_000:
-        # bounded top-k: per-partition top-k then one merge (TakeOrderedAndProject)
-        return hashed.orderBy("_h").limit(k).drop("_h")
     ranked = keyed_ordinal(hashed, keys, ["_h"], name="_rank")
     if flag:
         return ranked.withColumn(flag, F.col("_rank") < F.lit(k)).drop("_h", "_rank")

@@ -163,9 +163,11 @@ def resolve(spark, base):
     return registry.resolve_alias(a, v.select("name", "version", "run_id")).select("name", "alias", "version", "run_id")
 
 
-@register("REG5")
+@register("REG5", """
+SELECT count(*) AS n_checked, '{"inputs": [{"name": "l_quantity", "type": "double"}, {"name": "l_discount", "type": "double"}], '
+  || '"outputs": [{"name": "l_extendedprice", "type": "double"}]}' AS signature FROM lineitem""")
 def signature_check(spark, base):
-    """Signature from the training columns, enforced on a scoring batch (rows-only)."""
+    """Signature from the training columns, enforced on a scoring batch."""
     li = table(spark, base, "lineitem").select("l_quantity", "l_discount", "l_extendedprice")
     sig = registry.signature(li, ["l_quantity", "l_discount"], ["l_extendedprice"])
     ok = registry.check_signature(li, sig)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from keelson.functions import exprs as X
 from keelson.operators import prep
+from keelson.operators.ordering import attach, key_counts, keyed_ordinal
 from keelson.plans import register
-from keelson.plans._util import rnd, table, ts_sql
+from keelson.plans._util import md5_sql, rnd, table, ts_sql
 from keelson.plans.scans import NULLED_ORDERS, nulled_orders
 
 RARE_SQL = "'Dr', 'Rev', 'Major', 'Col', 'Mlle', 'Mme', 'Ms', 'Capt', 'Lady', 'Jonkheer', 'Don', 'Countess', 'Sir'"
@@ -208,3 +209,39 @@ def json_roundtrip(spark, base):
     req = F.to_json(F.struct(F.array(F.array(k.cast("double"))).alias("inputs")))
     dec = F.from_json(req, "inputs array<array<double>>")["inputs"]
     return ev.select("event_id", k.alias("k"), (dec[0][0] * 2).alias("first_prediction"))
+
+
+def _u_sql(seed, *parts):
+    return f"(CAST('0x' || substr({md5_sql(seed, *parts)}, 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
+
+
+def _n_sql(seed, *parts):
+    return f"(sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {_u_sql(f'{seed}/u', *parts)})) * cos(2 * pi() * {_u_sql(f'{seed}/v', *parts)}))"
+
+
+@register("FT15", f"""
+SELECT o_orderkey, round(0.8 * o_totalprice / 100000 + 0.2 * {_n_sql('c', 'o_orderkey')}, 6) AS correlated,
+  round(sin(4 * pi() * i / (n - 1)), 6) AS cyclical,
+  round(CASE WHEN r < n // 100 THEN 10 + 5 * {_u_sql('b', 'o_orderkey')} ELSE {_n_sql('o', 'o_orderkey')} END, 6) AS with_outliers
+FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, row_number() OVER (ORDER BY {md5_sql(1994, 'o_orderkey')}) - 1 AS r, count(*) OVER () AS n FROM orders)""")
+def derived_columns(spark, base):
+    """A column correlated with a given one, a cyclical one over the row order, and one with exactly
+    n // 100 outliers; all draws are seeded per row (FN16)."""
+    o = table(spark, base, "orders").select("o_orderkey", "o_totalprice")
+    n = key_counts(o, [], "_n")
+    i = keyed_ordinal(o, [], ["o_orderkey"], name="_i")
+    r = attach(keyed_ordinal(i.withColumn("_h", X.seeded_hash(1994, "o_orderkey")), [], ["_h"], name="_r"), n, [])
+    outlier = F.col("_r") < F.floor(F.col("_n") / 100)
+    return r.select("o_orderkey", rnd(0.8 * F.col("o_totalprice") / 100000 + 0.2 * X.normal_draw("c", "o_orderkey"), 6, "correlated"),
+                    rnd(F.sin(F.lit(4 * math.pi) * F.col("_i") / (F.col("_n") - 1)), 6, "cyclical"),
+                    rnd(F.when(outlier, 10 + 5 * X.uniform_draw("b", "o_orderkey")).otherwise(X.normal_draw("o", "o_orderkey")), 6, "with_outliers"))
+
+
+@register("FT16", f"""
+SELECT o_orderkey, round(o_totalprice + 0.3 * s * {_n_sql('noise', 'o_orderkey')}, 4) AS noisy
+FROM orders, (SELECT stddev_pop(o_totalprice) AS s FROM orders)""")
+def scaled_noise(spark, base):
+    """Gaussian noise of 0.3 population deviations of the target."""
+    o = table(spark, base, "orders").select("o_orderkey", "o_totalprice")
+    z = attach(o, o.agg(F.stddev_pop("o_totalprice").alias("_s")), [])
+    return z.select("o_orderkey", rnd(F.col("o_totalprice") + 0.3 * F.col("_s") * X.normal_draw("noise", "o_orderkey"), 4, "noisy"))

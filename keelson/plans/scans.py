@@ -217,3 +217,11 @@ def membership(spark, base):
     big = part.where(F.col("p_size") > 45)
     out = prep.semi_member(part, "p_brand", big, "p_brand")
     return out.select("p_partkey", "p_type", prep.is_member("p_type", ["PROMO", "STANDARD"]).cast("int").alias("in_list"))
+
+
+@register("PRJ7", "SELECT l_orderkey, l_linenumber, l_discount, l_quantity FROM lineitem")
+def wanted_columns(spark, base):
+    """Names that the table lacks are left out of a wanted list."""
+    from keelson.sources.tables import valid_names
+    li = table(spark, base, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", *valid_names(li, ["l_discount", "missing", "l_quantity", "Fare"]))

@@ -90,3 +90,11 @@ def flatten_struct(df: DataFrame, sep: str = "_") -> DataFrame:
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
+
+
+def valid_names(df: DataFrame, wanted: Sequence[str]) -> list[str]:
+    """The wanted names that are columns, in the wanted order; none of them is an error."""
+    found = [c for c in wanted if c in df.columns]
+    if not found:
+        raise ValueError("No valid features provided")
+    return found
