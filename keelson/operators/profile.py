@@ -154,8 +154,9 @@ def density(df: DataFrame, features: Sequence[str], grid: int = KDE_GRID, cut: f
     """Gaussian kernel density per feature on ``grid`` points, Scott bandwidth.
 
     bandwidth h = n^(-1/5)·stddev_samp; grid from min − cut·h to max + cut·h.
-    Pass 1 is a per-feature aggregate; pass 2 one aggregate with a sum per grid
-    point (no join of data with the grid, no pairs).
+    Pass 1 is a per-feature aggregate; pass 2 counts equal values, so repeated ones
+    cost one row; pass 3 is one aggregate with a weighted sum per grid point (no
+    join of data with the grid, no pairs).
     """
     feats = list(features)
     long = unpivot(df, [], feats).where(nan_to_null("x").isNotNull())
@@ -164,14 +165,15 @@ def density(df: DataFrame, features: Sequence[str], grid: int = KDE_GRID, cut: f
     h = F.pow(F.col("n"), F.lit(-0.2)) * F.col("sd")
     st = st.select("feature", "n", h.alias("h"), (F.col("mn") - cut * h).alias("g0"),
                    ((F.col("mx") - F.col("mn") + 2 * cut * h) / (grid - 1)).alias("step"))
-    joined = attach(long, st, ["feature"], bound=len(feats))
-    # grid points in chunks of CHUNK sums per row, so each aggregate stays within
-    # the whole-stage-codegen field limit; one scan, each row replicated per chunk
-    chunk = 50
+    counts = long.groupBy("feature", "x").agg(F.count(F.lit(1)).alias("_k"))
+    joined = attach(counts, st, ["feature"], bound=len(feats))
+    # grid points in chunks of a few sums per row, so that the generated method of the
+    # aggregate stays small enough to be compiled; each counted value is copied per chunk
+    chunk = 10
     n_chunks = (grid + chunk - 1) // chunk
     rows = joined.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
-    sums = [F.sum(F.exp(-0.5 * F.pow((F.col("g0") + (F.col("_c") * chunk + j) * F.col("step") - F.col("x"))
-                                    / F.col("h"), 2))).alias(f"d{j}") for j in range(chunk)]
+    away = lambda j: (F.col("g0") + (F.col("_c") * chunk + j) * F.col("step") - F.col("x")) / F.col("h")
+    sums = [F.sum(F.col("_k") * F.exp(-0.5 * away(j) * away(j))).alias(f"d{j}") for j in range(chunk)]
     agg = rows.groupBy("feature", "n", "h", "g0", "step", "_c").agg(*sums)
     norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
     point = lambda j: F.col("_c") * chunk + j

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.operators import ordering, prep, profile, registry, scoring
+from keelson.operators import models, ordering, prep, profile, registry, scoring
 
 
 def test_ordinal_keeps_large_nullable_integers_and_null_keys(spark):
@@ -70,3 +70,45 @@ def test_versions_go_on_from_the_stored_ones(spark):
 
 def test_titles_are_the_fixed_list():
     assert prep.RARE_TITLES == ["Dr", "Rev", "Major", "Col", "Mlle", "Mme", "Ms", "Capt", "Lady", "Jonkheer", "Don", "Countess", "Sir"]
+
+
+def _adam(w, x, y, epochs, lr):
+    """Full-batch Adam on flattened weights; returns the weights after every epoch."""
+    m = v = np.zeros_like(w)
+    out = []
+    for t in range(1, epochs + 1):
+        g, _ = models._grad(models.unflatten_net(w, x.shape[1]), x, y)
+        g = models.flatten_net(g) / len(x)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - lr * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        out.append(w)
+    return out
+
+
+def test_training_keeps_the_best_weights_and_stops(spark):
+    rng = np.random.default_rng(3)
+    x = {k: rng.normal(size=(60, 2)) for k in (1, 2)}
+    y = {1: x[1] @ [1.0, -2.0], 2: rng.normal(size=60)}
+    rows = [(k, float(a), float(b), float(t), i) for k in x for i, ((a, b), t) in enumerate(zip(x[k], y[k]))]
+    d = spark.createDataFrame(rows, "k long, a double, b double, y double, i int")
+    w, hist = models.fit_net_per_key(d.where("i < 40"), "k", ["a", "b"], "y", epochs=8, lr=0.05, val_df=d.where("i >= 40"), patience=2)
+    got, hist = {r.k: np.array(r.w) for r in w.collect()}, hist.collect()
+    for k in x:
+        steps = _adam(models.flatten_net(models.init_net(2, 42)), x[k][:40], y[k][:40], 8, 0.05)
+        loss = [models._grad(models.unflatten_net(s, 2), x[k][40:], y[k][40:])[1] / 20 for s in steps]
+        best, bad, last = 0, 0, 0
+        for e in range(8):
+            last = e
+            best, bad = (e, 0) if e == 0 or loss[e] < loss[best] else (best, bad + 1)
+            if bad == 2:
+                break
+        assert np.allclose(got[k], steps[best])
+        mine = sorted((r.epoch, r.val_loss) for r in hist if r.k == k)
+        assert [e for e, _ in mine] == list(range(last + 1)) and np.allclose([v for _, v in mine], loss[:last + 1])
+
+
+def test_search_draws_stay_in_the_space():
+    for p in models.draw_trials(200):
+        for name, (lo, hi) in models.SEARCH_SPACE.items():
+            assert lo <= p[name] <= hi
+    assert models.draw_trials(3) == models.draw_trials(3)
