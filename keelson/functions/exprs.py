@@ -30,10 +30,6 @@ def field_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
-
-
 def fractional_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, FRACTIONAL_TYPES)]
 
@@ -51,18 +47,6 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
-def nans_to_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    cols = set(columns) if columns is not None else set(fractional_columns(df))
-    return df.select(*[nan_to_null(f.name).alias(f.name)
-                       if f.name in cols and isinstance(f.dataType, FRACTIONAL_TYPES) else F.col(f.name)
-                       for f in df.schema.fields])
-
-
-def safe_div(a, b) -> Column:
-    """Division that yields NULL instead of raising on a zero divisor."""
-    return F.try_divide(col(a), col(b))
-
-
 def unit_if_zero(c) -> Column:
     """Scale of 1 for a zero spread (constant column), as the scalers do."""
     c = col(c)
@@ -95,10 +79,6 @@ def percent_text(c) -> Column:
     return F.concat(fixed2(c), F.lit("%"))
 
 
-def index_name(c: str) -> str:
-    return c + "_Index"
-
-
 def seeded_hash(seed, *parts) -> Column:
     """md5 of ``seed:part1:part2...``; equal in Spark and DuckDB, partition independent."""
     pieces = [F.lit(str(seed))]

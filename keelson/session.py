@@ -96,9 +96,4 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "path_exists", "ship", "shuffle_partitions", "local_path"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "path_exists", "ship", "shuffle_partitions"]

@@ -112,3 +112,19 @@ def test_search_draws_stay_in_the_space():
         for name, (lo, hi) in models.SEARCH_SPACE.items():
             assert lo <= p[name] <= hi
     assert models.draw_trials(3) == models.draw_trials(3)
+
+
+@pytest.mark.parametrize("limit", [ordering.BROADCAST_BYTES, 0])
+def test_each_row_is_scored_by_its_own_keys_net(spark, limit):
+    ws = {k: models.flatten_net(models.init_net(2, seed=k)) for k in (1, 2)}
+    weights = spark.createDataFrame([(k, w.tolist()) for k, w in ws.items()], "k long, w array<double>")
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(40, 2))
+    rows = [(i, 1 + i % 3, float(a), float(b)) for i, (a, b) in enumerate(x)]
+    d = spark.createDataFrame(rows, "i long, k long, a double, b double").repartition(3)
+    got = {r.i: r.prediction for r in models.score_net_per_key(d, weights, "k", ["a", "b"], max_bytes=limit).collect()}
+    for i, k, *_ in rows:
+        if k == 3:
+            assert got[i] is None
+        else:
+            assert got[i] == pytest.approx(models._forward(models.unflatten_net(ws[k], 2), x[i:i + 1])[-1][0, 0])
