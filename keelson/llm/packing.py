@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -121,16 +122,18 @@ class Shard:
             self.cursor += 1
         return self.cursor if self.cursor < self.n else None
 
-    def neighbours(self, ids: np.ndarray) -> np.ndarray:
+    def neighbours(self, ids: np.ndarray) -> Iterator[int]:
         """Unused rests, best BM25 score first (ties by position); all of the shard's unused rests
-        are ranked, those that share no term last."""
+        come in the end, those that share no term last."""
         slot = self.where[np.unique(ids)]
         slot = slot[slot >= 0]
         first, count = self.first[slot], self.last[slot] - self.first[slot]
-        at = np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum()) if len(slot) else slot
+        at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
         score = np.bincount(self.item[at], self.weight[at], self.n)
-        free = np.flatnonzero(self.unused)
-        return free[np.argsort(-score[free], kind="stable")]
+        score[~self.unused] = -1
+        while score[best := int(score.argmax())] >= 0:
+            yield best
+            score[best] = -1
 
 
 def _pack(kind: str, idf, average: float):
@@ -179,7 +182,7 @@ def _pack(kind: str, idf, average: float):
                     query = rests[seed]
                     take(seed)
                 if room:
-                    for i in shard.neighbours(query).tolist():
+                    for i in shard.neighbours(query):
                         take(i)
                         if not room:
                             break

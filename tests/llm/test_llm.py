@@ -405,7 +405,7 @@ def test_bm25_ranks_neighbours():
     idf = np.log1p((4 - df + 0.5) / (df + 0.5))
     shard = packing.Shard(rests, idf, np.mean([len(r) for r in rests]))
     shard.unused[0] = False
-    assert shard.neighbours(rests[0]).tolist() == [2, 3, 1]
+    assert list(shard.neighbours(rests[0])) == [2, 3, 1]
 
     def score(q, d):
         return sum(idf[t] * (list(d).count(t) * 2.2) / (list(d).count(t) + 1.2 * (0.25 + 0.75 * len(d) / 3.75)) for t in set(q.tolist()))
