@@ -86,12 +86,13 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """precision / recall / f1 / support per class, macro and weighted averages, accuracy."""
-    cm = confusion_matrix(df, label, pred)
-    per = cm.groupBy("label").agg(
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)).alias("tp"),
-        F.sum("count").alias("support"))
-    predicted = cm.groupBy(F.col("prediction").alias("label")).agg(F.sum("count").alias("predicted"))
-    per = per.join(predicted, "label")
+    counts = df.groupBy(F.col(label).alias("l"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    n, none = F.col("n"), F.lit(0).cast("long")
+    # each counted pair speaks once for its label and once for its prediction
+    sides = counts.select(F.inline(F.array(
+        F.struct(F.col("l").alias("label"), F.when(F.col("l") == F.col("p"), n).otherwise(none).alias("tp"), n.alias("support"), none.alias("predicted")),
+        F.struct(F.col("p").alias("label"), none.alias("tp"), none.alias("support"), n.alias("predicted")))))
+    per = sides.groupBy("label").agg(F.sum("tp").alias("tp"), F.sum("support").alias("support"), F.sum("predicted").alias("predicted"))
     precision = F.coalesce(F.try_divide(F.col("tp"), F.col("predicted")), F.lit(0.0))
     recall = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     per = per.withColumn("precision", precision.cast("double")).withColumn("recall", recall.cast("double"))

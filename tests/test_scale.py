@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.operators import models, ordering, prep, profile, registry, scoring
+from keelson.operators import metrics, models, ordering, prep, profile, registry, scoring
 
 
 def test_ordinal_keeps_large_nullable_integers_and_null_keys(spark):
@@ -85,13 +85,14 @@ def _adam(w, x, y, epochs, lr):
     return out
 
 
-def test_training_keeps_the_best_weights_and_stops(spark):
+@pytest.mark.parametrize("max_bytes", [ordering.BROADCAST_BYTES, 1])  # all keys at once; one key a wave
+def test_training_keeps_the_best_weights_and_stops(spark, max_bytes):
     rng = np.random.default_rng(3)
     x = {k: rng.normal(size=(60, 2)) for k in (1, 2)}
     y = {1: x[1] @ [1.0, -2.0], 2: rng.normal(size=60)}
     rows = [(k, float(a), float(b), float(t), i) for k in x for i, ((a, b), t) in enumerate(zip(x[k], y[k]))]
     d = spark.createDataFrame(rows, "k long, a double, b double, y double, i int")
-    w, hist = models.fit_net_per_key(d.where("i < 40"), "k", ["a", "b"], "y", epochs=8, lr=0.05, val_df=d.where("i >= 40"), patience=2)
+    w, hist = models.fit_net_per_key(d.where("i < 40"), "k", ["a", "b"], "y", epochs=8, lr=0.05, val_df=d.where("i >= 40"), patience=2, max_bytes=max_bytes)
     got, hist = {r.k: np.array(r.w) for r in w.collect()}, hist.collect()
     for k in x:
         steps = _adam(models.flatten_net(models.init_net(2, 42)), x[k][:40], y[k][:40], 8, 0.05)
@@ -107,6 +108,41 @@ def test_training_keeps_the_best_weights_and_stops(spark):
         assert [e for e, _ in mine] == list(range(last + 1)) and np.allclose([v for _, v in mine], loss[:last + 1])
 
 
+def test_training_of_a_null_key_repeated_rows_and_unseen_keys(spark):
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(30, 2)), rng.normal(size=30)
+    rows = [(None, float(a), float(b), float(t), "extra") for (a, b), t in zip(x, y)] + [("k", 1.0, 1.0, 1.0, "extra")] * 50
+    d = spark.createDataFrame(rows, "key string, net double, x double, y double, wave string").repartition(3)
+    w, hist = models.fit_net_per_key(d, "key", ["net", "x"], "y", epochs=3, lr=0.05)
+    got = {r.key: r.w for r in w.collect()}
+    w0 = models.flatten_net(models.init_net(2, 42))
+    assert set(got) == {None, "k"}
+    assert np.allclose(got[None], _adam(w0, x, y, 3, 0.05)[-1])
+    assert np.allclose(got["k"], _adam(w0, np.ones((50, 2)), np.ones(50), 3, 0.05)[-1])
+    assert hist.columns == ["key", "epoch", "train_loss"] and hist.count() == 6
+    other = spark.createDataFrame([("new", 0.0, 0.0, 0.0, "")], d.schema)  # no key of its own has validation rows
+    w, hist = models.fit_net_per_key(d.where("key = 'k'"), "key", ["net", "x"], "y", epochs=3, lr=0.05, val_df=other, patience=1)
+    assert [r.key for r in w.collect()] == ["k"] and np.allclose(w.first().w, got["k"])
+    assert [(r.epoch, r.val_loss) for r in hist.orderBy("epoch").collect()] == [(0, None), (1, None), (2, None)]
+
+
+def test_training_of_nothing_and_of_missing_values(spark):
+    d = spark.createDataFrame([], "key long, a double, y double")
+    w, hist = models.fit_net_per_key(d, "key", ["a"], "y", epochs=2)
+    assert w.columns == ["key", "w"] and w.count() == hist.count() == 0
+    bad = spark.createDataFrame([(1, 1.0, 1.0), (1, None, 1.0)], d.schema)
+    with pytest.raises(Exception, match="NULL or non-finite"):
+        models.fit_net_per_key(bad, "key", ["a"], "y", epochs=1)
+
+
+def test_report_of_labels_that_are_never_predicted(spark):
+    df = spark.createDataFrame([("a", "a")] * 3 + [("a", "c"), ("b", "a")], "y string, p string")
+    got = {r["class"]: (r.precision, r.recall, r.f1, r.support) for r in metrics.classification_report(df, "y", "p").collect()}
+    assert got["a"] == pytest.approx((0.75, 0.75, 0.75, 4))
+    assert got["b"] == (0.0, 0.0, 0.0, 1) and got["c"] == (0.0, 0.0, 0.0, 0)
+    assert got["accuracy"][2] == pytest.approx(0.6) and got["macro avg"][:3] == pytest.approx((0.25, 0.25, 0.25))
+
+
 def test_search_draws_stay_in_the_space():
     for p in models.draw_trials(200):
         for name, (lo, hi) in models.SEARCH_SPACE.items():
