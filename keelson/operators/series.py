@@ -65,9 +65,16 @@ def lag_features(df: DataFrame, keys, ts: str, value: str, steps: int, prefix: s
     return seq.select(*keys, ts, value, *lags)
 
 
+def _free(df: DataFrame, *names: str) -> None:
+    if clash := set(names) & set(df.columns):
+        raise ValueError(f"reserved column names in the input: {sorted(clash)}")
+
+
 def running_mean(df: DataFrame, keys, order: Sequence, value: str, name: str = "running_mean",
                  block: int = BLOCK) -> DataFrame:
-    """Mean of ``value`` over all rows up to the current one (per key, by order)."""
+    """Mean of ``value`` over all rows up to the current one (per key, by order), and the row's
+    position as ``epoch`` (a column of that name in the input is an error)."""
+    _free(df, "epoch", name)
     keys = as_list(keys)
     d = keyed_ordinal(df, keys, order, name="_ord")
     v = nan_to_null(value)
@@ -87,8 +94,10 @@ def early_stopping(df: DataFrame, keys, order: Sequence, loss: str, patience: in
     An epoch improves when its loss is strictly below every earlier loss (a NaN
     or NULL loss never improves); the best epoch is the earliest epoch holding
     the running minimum.  Training stops at the first epoch whose count of
-    epochs without improvement reaches ``patience``; later epochs are dropped.
+    epochs without improvement reaches ``patience``; later epochs are dropped.  The new columns' names
+    must be free (it raises).
     """
+    _free(df, "epoch", "improved", "best_loss", "best_epoch", "no_improve", "stop_epoch")
     keys = as_list(keys)
     d = keyed_ordinal(df, keys, order, name="epoch").withColumn("_l", nan_to_null(loss))
     best = F.struct(F.col("_l").alias("v"), F.col("epoch").alias("e"))

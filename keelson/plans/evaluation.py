@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions.exprs import cents
 from keelson.operators import metrics, registry, scale, series
+from keelson.operators.ordering import attach
 from keelson.plans import register
 from keelson.plans._util import rnd, table
 from keelson.plans.profile import SPLIT_CTE, supplier_split
@@ -83,7 +84,6 @@ FROM p""")
 def regressor_summary(spark, base):
     li = table(spark, base, "lineitem")
     unit = li.agg((F.sum("l_extendedprice") / F.sum("l_quantity")).alias("unit"))
-    from keelson.operators.ordering import attach
     p = attach(li, unit, []).withColumn("pred", F.col("l_quantity") * F.col("unit"))
     s = metrics.regressor_summary(p, "l_extendedprice", "pred", prefix="test_")
     digits = {"test_mean_squared_error": 2, "test_r2_score": 9, "test_sum_on_target": 2}
@@ -142,12 +142,14 @@ def model_versions(spark, base):
 
 
 ALIAS_SQL = f"""
-SELECT name, 'cheap' AS alias, arg_max(version, (ts, version)) AS version FROM ({VERSIONS_SQL}) WHERE value < 50 GROUP BY name"""
+SELECT name, 'cheap' AS alias, arg_max(version, (ts, version)) AS version FROM ({VERSIONS_SQL}) 
+WHERE value < (SELECT (min(value) + max(value)) / 2 FROM events) GROUP BY name"""
 
 
 def aliases(spark, base):
     v = versions(spark, base)
-    ev = v.where(F.col("value") < 50).select("name", F.lit("cheap").alias("alias"), "version", F.col("ts").alias("set_at"))
+    middle = v.agg(((F.min("value") + F.max("value")) / 2).alias("_middle"))
+    ev = attach(v, middle, []).where(F.col("value") < F.col("_middle")).select("name", F.lit("cheap").alias("alias"), "version", F.col("ts").alias("set_at"))
     return registry.current_aliases(ev), v
 
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from keelson.functions import exprs as X
-from keelson.operators import prep
+from keelson.operators import prep, series
 from keelson.operators.ordering import attach, key_counts, keyed_ordinal
 from keelson.plans import register
 from keelson.plans._util import md5_sql, rnd, table, ts_sql
@@ -158,15 +158,13 @@ def math_functions(spark, base):
                      F.abs(q - 25).alias("absd"), X.relu(q - 25).alias("relu"))
 
 
-@register("FN6", f"""
-SELECT event_id, round(sin(4 * pi() * (event_id / (n - 1))), 9) AS phase FROM events, (SELECT count(*) AS n FROM events)""")
+@register("FN6", """
+SELECT event_id, round(sin(4 * pi() * (i / (n - 1))), 9) AS phase
+FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events), (SELECT count(*) AS n FROM events)""")
 def evenly_spaced_phase(spark, base):
-    """Phase of an evenly spaced grid over the whole table (row id / (n − 1))."""
-    ev = table(spark, base, "events").select("event_id")
-    n = ev.agg(F.count(F.lit(1)).alias("n"))
-    from keelson.operators.ordering import attach
-    out = attach(ev, n, [])
-    return out.select("event_id", rnd(F.sin(F.lit(4 * math.pi) * (F.col("event_id") / (F.col("n") - 1))), 9, "phase"))
+    """Phase of an evenly spaced grid over the whole table (position by id / (n − 1))."""
+    ev = series.cyclical_position(table(spark, base, "events").select("event_id"), [], ["event_id"], "phase")
+    return ev.select("event_id", rnd("phase", 9))
 
 
 @register("FN11", f"""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions.exprs import ts_text
 from keelson.operators import metrics, prep, series
+from keelson.operators.ordering import attach
 from keelson.plans import register
 from keelson.plans._util import rnd, table, ts_sql
 
@@ -124,15 +125,16 @@ def last_value(spark, base):
     return out.withColumn("last_ts", ts_text("last_ts"))
 
 
-STORED = "(SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20')"
-INCOMING = "(SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15' AND event_id % 4 <> 0)"
+# The table delivered in two overlapping parts: the first 3/5 of its time, and all after the first 2/5.
+PART_SQL = """(SELECT e.* FROM events e, (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events) WHERE epoch_us(ts) {} lo + (hi - lo) * {} // 5)"""
+STORED, INCOMING = PART_SQL.format("<=", 3), PART_SQL.format(">", 2)
 
 
 def stored_incoming(spark, base):
     ev = table(spark, base, "events")
-    stored = ev.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
-    incoming = ev.where((F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")) & (F.col("event_id") % 4 != 0))
-    return stored, incoming
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    parts = attach(ev.withColumn("_at", at), ev.agg(F.min(at).alias("_lo"), F.max(at).alias("_hi")), [])
+    return parts.where("_at <= _lo + (_hi - _lo) * 3 div 5").select(*ev.columns), parts.where("_at > _lo + (_hi - _lo) * 2 div 5").select(*ev.columns)
 
 
 @register("FLT3", f"""
