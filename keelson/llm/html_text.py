@@ -3,9 +3,10 @@
 The standard library's parser emits tags and text; each block of text becomes a line with its
 characters, tags and link characters.  The text-to-tag ratio per line is smoothed with a Gaussian
 and lines above the threshold (the standard deviation of the smoothed ratios, at most their mean)
-cluster into content lines.  The content region is the article or main element that holds them, or
-without one the smallest element that holds most of their text; every line of the region that is
-not inside boilerplate (menus, headers, footers, sidebars, notices, adverts, forms, comments) is kept.
+cluster into content lines.  The content region is the smallest element that holds nearly all of
+their text, or an article or main element that holds most of it, with its sibling parts.  Every line
+of the region and every content line outside of it is kept, unless it is inside boilerplate (menus,
+headers, footers, sidebars, notices, adverts, forms, comments).
 """
 
 from __future__ import annotations
@@ -49,10 +50,10 @@ def marked(names: str) -> bool:
 CLOSED_BY = {"p": frozenset("p"), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
 _ENDS_P = BLOCKS - {"br"}
 SIGMA = 1.0
-# An article with less than this share of the largest one's content is a teaser for another page.
-TEASER = 0.3
-# Share of the content lines' text that the region must hold where no article or main is marked.
+# Share of the content lines' text that makes an article or main element the region.
 MOST = 0.7
+# Share of it that any other region must hold.
+NEARLY = 0.95
 
 
 class Line:
@@ -72,10 +73,10 @@ class Events(HTMLParser):
         self.off = 0      # open boilerplate elements
         self.link = 0     # open links
         self.article = 0  # open article or main elements
-        self.articles: set[int] = set()
-        self.mains: set[int] = set()
-        self.path: tuple = ()
-        self.lines = [Line(())]
+        self.named: set[int] = set()  # article and main elements
+        self.about: dict[int, tuple] = {0: (0, "", frozenset())}  # container -> parent, name, classes
+        self.path: tuple = (0,)
+        self.lines = [Line((0,))]
 
     def _break(self):
         if self.lines[-1].parts:
@@ -83,6 +84,9 @@ class Events(HTMLParser):
         else:
             self.lines[-1].path = self.path
 
+    def _path(self) -> tuple:
+        return (0, *(n for t, n, _ in self.open if t in CONTAINERS))
+
     def _pop(self):
         name, _, off = self.open.pop()
         self.off -= off
@@ -118,10 +122,12 @@ class Events(HTMLParser):
         self.link += tag == "a"
         self.article += tag in ("article", "main")
         if not self.off and tag in ("article", "main"):
-            (self.articles if tag == "article" else self.mains).add(self.number)
+            self.named.add(self.number)
         if tag in BLOCKS:
-            self.path = tuple(n for t, n, _ in self.open if t in CONTAINERS)
+            self.path = self._path()
             self.lines[-1].path = self.path
+        if tag in CONTAINERS:
+            self.about[self.number] = (self.path[-2], tag, frozenset((dict(attrs).get("class") or "").split()))
 
     def _close_implied(self, tag: str):
         """A block start closes an open p, an item start closes the open item, up to the nearest container."""
@@ -134,7 +140,7 @@ class Events(HTMLParser):
                 break
             if name in BLOCKS:
                 break
-        self.path = tuple(n for t, n, _ in self.open if t in CONTAINERS)
+        self.path = self._path()
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -151,7 +157,7 @@ class Events(HTMLParser):
             if last == tag:
                 break
         if tag in BLOCKS:
-            self.path = tuple(n for t, n, _ in self.open if t in CONTAINERS)
+            self.path = self._path()
             self._break()
 
     def handle_data(self, data):
@@ -178,6 +184,33 @@ def content_lines(ratios: np.ndarray) -> np.ndarray:
     return soft >= min(soft.std(), soft.mean())
 
 
+def content_region(events: Events, lines: list[Line], size: np.ndarray, own: np.ndarray, chosen: np.ndarray) -> set[int]:
+    """The elements whose lines are content (0 is the whole page)."""
+    weight = own * chosen + 1e-9 * size
+    inside: dict[int, float] = {}  # text of the content lines inside each element
+    links: dict[int, float] = {}   # link characters less the others inside each element
+    for line, w, n_all, n_own in zip(lines, weight, size, own):
+        for n in line.path:
+            inside[n] = inside.get(n, 0.0) + w
+            links[n] = links.get(n, 0.0) + n_all - 2 * n_own
+    total = weight.sum()
+    # An inner element has a larger number than the outer one.
+    whole = [n for n, w in inside.items() if w >= NEARLY * total]
+    hints = [n for n in events.named if inside.get(n, 0.0) >= MOST * total]
+    region = max(events.named.intersection(whole), default=None)
+    if region is None:
+        region = max(hints, key=lambda n: (inside[n], n)) if hints else max(whole, default=0)
+    parent, tag, classes = events.about[region]
+    # Parts of one text stand side by side in elements of the same kind.
+    parts = {region}
+    if region and (classes or tag in ("article", "section")):
+        for n, (up, name, names) in events.about.items():
+            alike = names == classes or tag in ("article", "section") and not names.isdisjoint(classes)
+            if name == tag and alike and (tag == "article" or up == parent) and links.get(n, 0.0) <= 0:
+                parts.add(n)
+    return parts
+
+
 def extract(html: str | None) -> tuple[str, list[str]]:
     """(text, its blocks) of one page."""
     if not html:
@@ -196,20 +229,9 @@ def extract(html: str | None) -> tuple[str, list[str]]:
     size = np.array([len(t) for t in texts], dtype=float)
     own = size - np.minimum(size, [line.links for line in lines])
     chosen = content_lines(own / np.array([max(1, line.tags) for line in lines]))
-    weight = own * chosen + 1e-9 * size
-    inside: dict[int, float] = {}  # text of the content lines inside each element
-    for line, w in zip(lines, weight):
-        for n in line.path:
-            inside[n] = inside.get(n, 0.0) + w
-    for named in (events.articles, events.mains):
-        best = max((inside.get(n, 0.0) for n in named), default=0.0)
-        if best > 0:
-            region = {n for n in named if inside.get(n, 0.0) >= TEASER * best}
-            break
-    else:
-        # An inner element has a larger number than the outer one.
-        region = {max((n for n, w in inside.items() if w >= MOST * weight.sum()), default=0)}
-    blocks = [t for t, line in zip(texts, lines) if not region.isdisjoint(line.path) or region == {0}]
+    region = content_region(events, lines, size, own, chosen)
+    apart = chosen & (2 * own > size)
+    blocks = [t for t, line, also in zip(texts, lines, apart) if also or not region.isdisjoint(line.path)]
     return " ".join(blocks), blocks
 
 

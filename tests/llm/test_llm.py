@@ -430,6 +430,39 @@ def test_html(tag, attr):
     assert blocks[0] == "Head & line"
 
 
+def prose(n, name="w"):
+    return " ".join(f"{name}{i}" for i in range(n)) + "."
+
+
+@pytest.mark.parametrize("tag", ["main", 'div id="content"'])
+@pytest.mark.parametrize("card", ["card", "teaser", ""])
+def test_html_card_article_beside_the_text(tag, card):
+    """A short article does not displace the text around it."""
+    text = [prose(60, "a"), prose(45, "b"), "Short.", prose(70, "c")]
+    body = "".join(f"<p>{t}</p>" for t in text)
+    side = f'<article class="{card}"><h3>Read on</h3><p>{prose(12, "t")}</p></article>'
+    for page in (f"<body><nav>x</nav><{tag}>{side}{body}</{tag.split()[0]}></body>", f"<body><{tag}>{body}</{tag.split()[0]}>{side}<footer>f</footer></body>"):
+        assert [b for b in html_text.extract(page)[1] if b in text] == text
+
+
+@pytest.mark.parametrize("kind", ["article", 'article class="part"', "section", 'div class="part"'])
+@pytest.mark.parametrize("outer", ["body", "div", "main"])
+def test_html_uneven_parts(kind, outer):
+    """Every part of the text is kept, however small beside the largest one."""
+    text = [*[prose(80, f"p{i}x") for i in range(30)], prose(40, "a"), prose(30, "b"), "End."]
+    tag = kind.split()[0]
+    parts = ["".join(f"<p>{t}</p>" for t in text[:30]), *[f"<p>{t}</p>" for t in text[30:]]]
+    body = "".join(f"<{kind}>{p}</{tag}>" for p in parts)
+    got = html_text.extract(f"<html><body><header>h</header><{outer}>{body}</{outer}><footer>f</footer></body></html>")[1]
+    assert got == text
+
+
+def test_html_content_lines_outside_the_region():
+    text = [*[prose(60, f"p{i}x") for i in range(40)], prose(50, "z")]
+    page = "<div><div>" + "".join(f"<p>{t}</p>" for t in text[:40]) + f"</div><div><p>{text[40]}</p></div></div><div><a href=/>Next page of this site</a></div>"
+    assert html_text.extract(page)[1] == text
+
+
 def test_html_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, "plain words &lt;b&gt;"), (4, "<p>unclosed <b>bold"), (5, "<div>" * 3000 + "deep" + "</div>" * 3000), (6, "<nav>only menu</nav>"), (None, "</p></div>x<!-- c -->y"), (7, "<p>" + "w " * 200_000)]
     got = {r["page_id"]: r["_text"] for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, html string")).collect()}
