@@ -6,7 +6,8 @@ and lines above the threshold (the standard deviation of the smoothed ratios, at
 cluster into content lines.  The content region is the smallest element that holds nearly all of
 their text, or an article or main element that holds most of it, with its sibling parts.  Every line
 of the region and every content line outside of it is kept, unless it is inside boilerplate (menus,
-headers, footers, sidebars, notices, adverts, forms, comments).
+headers, footers, sidebars, notices, adverts, forms, comments).  A class or id word such as "related"
+only votes inside the region: the block goes if its text-to-tag ratio or its links say so too.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ ASIDE = frozenset("nav footer aside form button select option textarea label fie
 BLOCKS = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 # Elements that can be the content region.
 CONTAINERS = frozenset("html body div section article main center td".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements that a class or id word can mark as a boilerplate block.
+BOXES = frozenset("div section ul ol dl table tbody tr td header figure center details".split())
 # Class or id words that mark boilerplate, and roles that do.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar aside nav navbar navigation menu breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup login comment comments disqus respond reply replies share sharing social related recommended widget toolbar pagination pager copyright skip".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -37,15 +41,31 @@ _SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 _ABOUT = frozenset("has with no without page layout is js".split())
 
 
-def marked(names: str) -> bool:
+# A header block inside an article holds its title.
+MARKS_INSIDE = MARKS - {"header"}
+# Readers' comments, by names made of nothing but these words.
+COMMENTS = frozenset("comment comments disqus respond reply replies".split())
+_OF_COMMENTS = COMMENTS | frozenset("list area body section form thread item wrap wrapper container content box meta author text template count".split())
+
+
+def split_words(name: str) -> list[str]:
+    return [w.lower() for w in _SPLIT.split(name) if w]
+
+
+def marked(names: str, marks: frozenset = MARKS) -> bool:
     """True if one of the class names (or the id) starts or ends with a boilerplate word."""
     for name in names.split():
-        words = [w.lower() for w in _SPLIT.split(name) if w]
-        if words and words[0] not in _ABOUT and (words[0] in MARKS or words[-1] in MARKS):
+        words = split_words(name)
+        if words and words[0] not in _ABOUT and (words[0] in marks or words[-1] in marks):
             return True
     return False
 
 
+def of_comments(names: str) -> bool:
+    """True if one of the names says nothing else than readers' comments."""
+    return any(not COMMENTS.isdisjoint(words) and _OF_COMMENTS.issuperset(words) for words in map(split_words, names.split()))
+
+
 # Elements that a start tag closes when they are still open.
 CLOSED_BY = {"p": frozenset("p"), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
 _ENDS_P = BLOCKS - {"br"}
@@ -54,17 +74,27 @@ SIGMA = 1.0
 MOST = 0.7
 # Share of it that any other region must hold.
 NEARLY = 0.95
+# A block with a boilerplate class goes if its own ratio is below this share of the threshold.
+THIN = 0.25
+
+
+class Mark:
+    """An element with a boilerplate word: its id if only that has one, and where it stands."""
+    __slots__ = ("box", "slug", "inner", "header")
+
+    def __init__(self, box: bool, slug: str | None, inner: bool, header: bool):
+        self.box, self.slug, self.inner, self.header = box, slug, inner, header
 
 
 class Line:
-    __slots__ = ("parts", "tags", "links", "path")
+    __slots__ = ("parts", "tags", "links", "path", "head")
 
     def __init__(self, path: tuple):
-        self.parts, self.tags, self.links, self.path = [], 0, 0, path
+        self.parts, self.tags, self.links, self.path, self.head = [], 0, 0, path, ""
 
 
 class Events(HTMLParser):
-    """Parser events -> lines outside of boilerplate, each with the elements it stands in."""
+    """Parser events -> lines outside of certain boilerplate, each with the elements it stands in."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -73,7 +103,8 @@ class Events(HTMLParser):
         self.off = 0      # open boilerplate elements
         self.link = 0     # open links
         self.article = 0  # open article or main elements
-        self.named: set[int] = set()  # article and main elements
+        self.named: dict[int, tuple] = {}  # article and main elements -> the elements they stand in
+        self.marks: dict[int, Mark] = {}
         self.about: dict[int, tuple] = {0: (0, "", frozenset())}  # container -> parent, name, classes
         self.path: tuple = (0,)
         self.lines = [Line((0,))]
@@ -82,10 +113,10 @@ class Events(HTMLParser):
         if self.lines[-1].parts:
             self.lines.append(Line(self.path))
         else:
-            self.lines[-1].path = self.path
+            self.lines[-1].path, self.lines[-1].head = self.path, ""
 
     def _path(self) -> tuple:
-        return (0, *(n for t, n, _ in self.open if t in CONTAINERS))
+        return (0, *(n for t, n, _ in self.open if t in CONTAINERS or n in self.marks))
 
     def _pop(self):
         name, _, off = self.open.pop()
@@ -97,16 +128,25 @@ class Events(HTMLParser):
         if tag in HIDDEN or tag in ASIDE or (tag == "header" and not self.article):
             return True
         if tag in ("article", "main", "body", "html"):
-            return any(n in ("class", "id") and v and "comment" in v.lower() for n, v in attrs)
+            return tag == "article" and any(n in ("class", "id") and v and of_comments(v) for n, v in attrs)
         for name, value in attrs:
             if name == "role" and (value or "").lower() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
-            if name in ("class", "id") and value and marked(value):
+            if name in ("class", "id") and value and tag in BOXES and of_comments(value):
                 return True
             if name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 return True
         return False
 
+    def _mark(self, tag: str, attrs: list) -> Mark | None:
+        if tag not in BLOCKS or tag in HEADINGS or tag in ("article", "main", "body", "html"):
+            return None
+        marks = MARKS_INSIDE if self.article else MARKS
+        found = {n: v for n, v in attrs if n in ("class", "id") and v and marked(v, marks)}
+        if not found:
+            return None
+        return Mark(tag in BOXES, None if "class" in found else found["id"], self.article > 0, not any(marked(v, MARKS_INSIDE) for v in found.values()))
+
     def handle_starttag(self, tag, attrs):
         self.lines[-1].tags += not self.off
         if tag in BLOCKS:
@@ -120,12 +160,16 @@ class Events(HTMLParser):
         self.open.append((tag, self.number, off))
         self.off += off
         self.link += tag == "a"
+        if not self.off and (mark := self._mark(tag, attrs)):
+            self.marks[self.number] = mark
         self.article += tag in ("article", "main")
-        if not self.off and tag in ("article", "main"):
-            self.named.add(self.number)
         if tag in BLOCKS:
             self.path = self._path()
             self.lines[-1].path = self.path
+        if not self.off and tag in ("article", "main"):
+            self.named[self.number] = self.path
+        if tag in HEADINGS:
+            self.lines[-1].head = tag
         if tag in CONTAINERS:
             self.about[self.number] = (self.path[-2], tag, frozenset((dict(attrs).get("class") or "").split()))
 
@@ -178,10 +222,83 @@ def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(np.pad(values, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
+def threshold(soft: np.ndarray) -> float:
+    return min(soft.std(), soft.mean())
+
+
 def content_lines(ratios: np.ndarray) -> np.ndarray:
     """Flags of the lines in content clusters."""
     soft = smooth(ratios)
-    return soft >= min(soft.std(), soft.mean())
+    return soft >= threshold(soft)
+
+
+class Marked:
+    """Judges the marked blocks of a page: ``gone`` are boilerplate, ``doubt`` waits for the region."""
+
+    def __init__(self, events: Events, lines: list[Line], texts: list[str], size: np.ndarray, own: np.ndarray, soft: np.ndarray):
+        self.events, self.lines, self.texts, self.size, self.own, self.soft = events, lines, texts, size, own, soft
+        self.bar = threshold(soft)
+        self.at: dict[int, list[int]] = {}
+        for i, line in enumerate(lines):
+            for n in line.path:
+                if n in events.marks:
+                    self.at.setdefault(n, []).append(i)
+        self.gone: set[int] = set()
+        self.doubt: set[int] = set()
+        for m, at in self.at.items():
+            mark = events.marks[m]
+            if mark.inner:
+                if self._voted(m):
+                    self.gone.add(m)
+            elif not (self._titled(m) and not self._linked(at) or self._wraps(m, at)):
+                self.doubt.add(m)
+
+    def _linked(self, at: list[int]) -> bool:
+        return 2 * self.own[at].sum() < self.size[at].sum()
+
+    def _titled(self, m: int) -> bool:
+        """The id is the block's own heading, so it is a link target and says nothing about its role."""
+        mark, first = self.events.marks[m], self.at[m][0]
+        if not mark.slug or not self.lines[first].head:
+            return False
+        return mark.inner or set(split_words(self.texts[first])).issuperset(split_words(mark.slug))
+
+    def _wraps(self, m: int, at: list[int]) -> bool:
+        """The block is the page's main part: it has the title or the article and most of the content."""
+        named = [m in path for path in self.events.named.values()]
+        weight = self.own * (self.soft >= self.bar)
+        return all(named) and (bool(named) or any(self.lines[i].head == "h1" for i in at)) and weight[at].sum() >= MOST * weight.sum()
+
+    def _voted(self, m: int) -> bool:
+        """The ratio or the links of a marked block say boilerplate too."""
+        mark, at = self.events.marks[m], self.at[m]
+        if not mark.box:
+            return False
+        if self._linked(at):
+            return True
+        if self._titled(m):
+            return False
+        thin = self.own[at].sum() < THIN * self.bar * max(1, sum(self.lines[i].tags for i in at))
+        return bool(np.average(self.soft[at], weights=self.size[at]) < self.bar) or not mark.slug and bool(thin)
+
+    def free(self) -> np.ndarray:
+        """Flags of the lines outside of boilerplate and of doubtful blocks."""
+        out = self.gone | self.doubt
+        return np.array([out.isdisjoint(line.path) for line in self.lines])
+
+    def settle(self, region: set[int]) -> None:
+        """Doubtful blocks outside of the region go, those inside of it are voted on."""
+        page = any(self.events.about[n][1] in ("", "html", "body") for n in region)
+        for m in self.doubt:
+            mark, at = self.events.marks[m], self.at[m]
+            if region.isdisjoint(self.lines[at[0]].path):
+                self.gone.add(m)
+            elif page:
+                if mark.box:
+                    self.gone.add(m)
+            elif not (mark.header and any(self.lines[i].head == "h1" for i in at)) and self._voted(m):
+                self.gone.add(m)
+        self.doubt = set()
 
 
 def content_region(events: Events, lines: list[Line], size: np.ndarray, own: np.ndarray, chosen: np.ndarray) -> set[int]:
@@ -195,9 +312,9 @@ def content_region(events: Events, lines: list[Line], size: np.ndarray, own: np.
             links[n] = links.get(n, 0.0) + n_all - 2 * n_own
     total = weight.sum()
     # An inner element has a larger number than the outer one.
-    whole = [n for n, w in inside.items() if w >= NEARLY * total]
+    whole = [n for n, w in inside.items() if w >= NEARLY * total and n in events.about]
     hints = [n for n in events.named if inside.get(n, 0.0) >= MOST * total]
-    region = max(events.named.intersection(whole), default=None)
+    region = max((n for n in whole if n in events.named), default=None)
     if region is None:
         region = max(hints, key=lambda n: (inside[n], n)) if hints else max(whole, default=0)
     parent, tag, classes = events.about[region]
@@ -228,10 +345,17 @@ def extract(html: str | None) -> tuple[str, list[str]]:
         return "", []
     size = np.array([len(t) for t in texts], dtype=float)
     own = size - np.minimum(size, [line.links for line in lines])
-    chosen = content_lines(own / np.array([max(1, line.tags) for line in lines]))
-    region = content_region(events, lines, size, own, chosen)
+    soft = smooth(own / np.array([max(1, line.tags) for line in lines]))
+    chosen = soft >= threshold(soft)
+    marked_blocks = Marked(events, lines, texts, size, own, soft)
+    free = marked_blocks.free()
+    if not free.any():
+        return "", []
+    region = content_region(events, [line for line, f in zip(lines, free) if f], size[free], own[free], chosen[free])
+    marked_blocks.settle(region)
+    free = marked_blocks.free()
     apart = chosen & (2 * own > size)
-    blocks = [t for t, line, also in zip(texts, lines, apart) if also or not region.isdisjoint(line.path)]
+    blocks = [t for t, line, f, also in zip(texts, lines, free, apart) if f and (also or not region.isdisjoint(line.path))]
     return " ".join(blocks), blocks
 
 

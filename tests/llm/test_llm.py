@@ -463,6 +463,36 @@ def test_html_content_lines_outside_the_region():
     assert html_text.extract(page)[1] == text
 
 
+@pytest.mark.parametrize("mark", ['<h2 id="social">H</h2>', '<h2 id="advertising">H</h2>', '<h3 class="navigation">H</h3>', '<p class="notice">H</p>', '<p><span class="ad-hoc">H</span></p>',
+                                  '<header class="article-header"><h1>H</h1></header>', '<div class="entry-header"><h1><a href=/x>H</a></h1></div>', '<ul><li id="share">H</ul>'])
+def test_html_marked_words_do_not_drop_headings_and_paragraphs(mark):
+    text = [prose(60, "a"), prose(50, "b")]
+    for tag in ("article", "main"):
+        page = f"<body><nav>n</nav><{tag}>{mark}<p>{text[0]}</p><p>{text[1]}</p></{tag}><div class=ad>{prose(9, 'ad')}</div></body>"
+        assert html_text.extract(page)[1] == ["H", *text]
+
+
+@pytest.mark.parametrize("name", ["related-work", "social", "copyright", "navigation", "advertising", "sidebar"])
+def test_html_sections_with_slug_ids(name):
+    head, text = name.replace("-", " ").title(), [prose(60, "a"), prose(9, "b"), prose(70, "c")]
+    titled = f'<p>{text[0]}</p><section id="{name}"><h2>{head}</h2><p>{text[1]}</p></section><p>{text[2]}</p>'
+    for tag in ("article", "main", "body", "div"):
+        assert html_text.extract(f"<html><{tag}>{titled}</{tag}></html>")[1] == [text[0], head, *text[1:]]
+    for attr in ("id", "class"):
+        page = f'<article><p>{text[0]}</p><section {attr}="{name}"><p>{text[2]}</p></section></article><div {attr}="{name}"><p>{text[1]}</p></div>'
+        assert html_text.extract(page)[1] == [text[0], text[2]]
+
+
+def test_html_marked_blocks_go_when_the_ratio_or_links_agree():
+    text = [prose(60, "a"), prose(50, "b")]
+    links = "".join(f"<li><a href=/{i}>{prose(6, 'l')}</a>" for i in range(6))
+    for block in (f'<ul class="related">{links}</ul>', f'<div id="related"><h3>More</h3><ul>{links}</ul></div>', '<div class="ad">Buy!</div>', f'<div class="comments"><div class="comment"><p>{prose(40, "c")}</p></div></div>'):
+        assert html_text.extract(f"<body><article><p>{text[0]}</p>{block}<p>{text[1]}</p></article></body>")[1] == text
+    assert html_text.extract(f'<body class="comments-open"><article class="has-comments"><p>{text[0]}</p></article></body>')[0] == text[0]
+    assert html_text.extract(f'<div class="page widget"><article><p>{text[0]}</p></article></div>')[0] == text[0]
+    assert html_text.extract(f'<div class="cookie-notice"><p>{text[0]}</p></div>') == ("", [])
+
+
 def test_html_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, "plain words &lt;b&gt;"), (4, "<p>unclosed <b>bold"), (5, "<div>" * 3000 + "deep" + "</div>" * 3000), (6, "<nav>only menu</nav>"), (None, "</p></div>x<!-- c -->y"), (7, "<p>" + "w " * 200_000)]
     got = {r["page_id"]: r["_text"] for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, html string")).collect()}
