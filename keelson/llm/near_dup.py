@@ -3,7 +3,8 @@
 1. One map pass hashes each document's shingles (64 bit), takes ``SAMPLES`` minima, folds them into
    an odd sketch (a bitmap in which every sample flips one bit) and ``BANDS`` band keys.  Documents
    with equal shingle sets (equal size and 128-bit set hash) become one class; only the class's
-   smallest id goes on, so copies cost one row however many there are.
+   smallest id goes on, so copies cost one row however many there are.  An id with several texts
+   links the classes they are in.
 2. Star: in each band bucket every member is paired with the smallest one.  The population count of
    the XOR of two odd sketches estimates their similarity; pairs that cannot reach the threshold go.
    The rest is confirmed on full sets.
@@ -193,9 +194,14 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     usable = feats.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     key = ["n_shingles", "s1", "s2"]
     classes = persisted(usable.groupBy(*key).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies")))
-    member = persisted(usable.select("doc_id", *key).join(classes.where("copies > 1"), key).select("doc_id", "class_id").distinct())
-    reps = usable.join(member.where("doc_id != class_id"), "doc_id", "left_anti")
+    member = persisted(usable.select("doc_id", *key).join(classes.where("copies > 1"), key).select("doc_id", *key, "class_id").distinct())
+    moved = member.where("doc_id != class_id")
+    reps = usable.join(moved, ["doc_id", *key], "left_anti")
     reps = persisted(reps.select(F.col("doc_id").alias("id"), "n_shingles", "bands", *words))
+    # Ids with several texts of which one is a copy of a smaller id's.
+    several = moved.groupBy("doc_id").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo < hi").select("doc_id")
+    several = several.unionByName(moved.select("doc_id").join(reps.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")).distinct()
+    same_id = persisted(moved.join(several, "doc_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")).distinct())
 
     bands = reps.select("id", "n_shingles", F.explode("bands").alias("band"))
     buckets = persisted(bands.groupBy("band").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1"))
@@ -205,7 +211,7 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     large_enough = den * F.least("a_n", "b_n") >= num * F.greatest("a_n", "b_n")
     star = inside.where("id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     star = persisted(star.join(sides[0], "a").join(sides[1], "b").where(large_enough & (xor <= MAX_XOR)).select("a", "b"))
-    links = persisted(_confirm(star, slim, k, num, den))
+    links = persisted(_confirm(star, slim, k, num, den).unionByName(same_id))
 
     # Buckets that the star left in several components.
     so_far = persisted(components(links))

@@ -230,6 +230,15 @@ def test_near_dup_chains_and_copies(spark, monkeypatch, block):
     same(near_dup.link_documents(df).select("doc_id", "n_shingles", "component_id", "kept").collect(), brute_near(rows))
 
 
+def test_near_dup_ids_with_several_texts(spark):
+    """An id whose texts differ links the components of all of them."""
+    x, y, z = (" ".join(f"{n}{i}" for i in range(60)) for n in "xyz")
+    for rows in ([(3, x), (5, x), (5, y), (9, y + " more")], [(3, x), (5, x), (4, z), (5, z)], [(3, x), (5, x), (5, y), (5, y), (6, y), (5, None), (7, z), (8, z + " a"), (8, y)]):
+        got = near_dup.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id", "kept").collect()
+        same(got, brute_near(rows))
+        assert len({r["component_id"] for r in got}) == 1
+
+
 def test_odd_sketch_estimates_similarity():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2 ** 63, (200, near_dup.SAMPLES), dtype=np.uint64)
