@@ -1,4 +1,9 @@
-"""Substring deduplication by relative Lempel-Ziv factors against a partitioned reference.
+"""Substring deduplication by exact lookup of word windows in a partitioned reference.
+
+This is not a relative Lempel-Ziv parse: no reference position is kept and no match is extended in a
+reference document.  A "factor" below is a run of words covered by known windows, which may come
+from different documents.  The contract asks for just these words, and lookup sends each window to
+one block, where a parse needs every document beside every block.
 
 The reference is the corpus itself, cut into blocks by window hash: block b indexes every run of
 ``k`` consecutive words whose hash falls into its range, with the smallest document id that has it.
@@ -11,10 +16,9 @@ is sent to the one block that could hold it.
    Entries leave as packed blobs, one per (slice, block).
 2. Block: sorts its windows, finds each one's smallest document, and answers every other sender, with
    one packed blob for each partition of documents.
-3. Each document parses greedily: from a word whose window is known, the factor runs on while the
-   next word's window is known too, then ends; the next factor may start at any later word, also
-   one that lies inside the last ``k - 1`` words before the boundary, so no window across a factor
-   boundary is missed.  Factors have at least ``k`` words; their words are removed.
+3. Each document takes the union of its known windows: from a word whose window is known, the factor
+   runs on while the next windows that overlap or touch it are known too.  Factors have at least
+   ``k`` words; their words are removed.
 """
 
 from __future__ import annotations
@@ -174,9 +178,9 @@ def _index(blocks: int, homes: int):
 
 
 def factors(known: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Greedy factors of one document: ``known[i]`` tells whether the window at word i is in the
-    reference.  Returns first word and number of words of each (maximal) factor; factors that
-    overlap or touch at a boundary are merged into one span."""
+    """Runs of one document that known windows cover: ``known[i]`` tells whether the window at word i is in the
+    reference.  Returns first word and number of words of each maximal run; windows that
+    overlap or touch are merged into one run, whichever documents they are known from."""
     cover = np.zeros(len(known) + k, dtype=np.int64)
     at = np.flatnonzero(known)
     np.add.at(cover, at, 1)
