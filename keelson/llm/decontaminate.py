@@ -5,14 +5,18 @@ it lacks is 0 and resets the automaton).  The patterns are every run of ``k`` co
 an item, or the whole item if it is shorter.  A text is scanned once; a match's end index gives the
 words it covers, and their byte offsets in the original text come from the same tokenisation.
 
-The benchmark is broadcast in blocks of at most ``BLOCK_BYTES`` of text, so a benchmark of any size
-works: each block has an automaton, and a worker holds one at a time unless there is only one.
+The benchmark is broadcast in blocks of about ``BLOCK_BYTES`` of text; the driver holds one block at a
+time (Spark keeps the others as files).  Each block has an automaton and a worker holds one at a time:
+with several, a task spools its input to a local file and goes through it once per block.
 """
 
 from __future__ import annotations
 
 import itertools
+import os
 import re
+import tempfile
+from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -34,17 +38,17 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().translate(_TABLE).split() if text else []
 
 
-def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, max_bytes: int = BLOCK_BYTES) -> list[list[tuple[str, str]]]:
+def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, max_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
     """The (id, text) rows in blocks of bounded size; null texts have no words and are left out."""
-    blocks, size = [[]], 0
+    block, size = [], 0
     rows = benchmark.selectExpr(f"cast(`{item_id}` as string) i", f"`{text}` t").where("t is not null").toLocalIterator()
     for row in rows:
         if size and size + len(row.t) > max_bytes:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row.i, row.t))
+            yield block
+            block, size = [], 0
+        block.append((row.i, row.t))
         size += len(row.t)
-    return blocks
+    yield block
 
 
 class Matcher:
@@ -73,6 +77,28 @@ class Matcher:
             yield end, n, owners
 
 
+def _spooled(batches, path: str, b: int, last: bool):
+    """A task's batches; they are written to a file in the first of several passes and read in the others."""
+    if b:
+        if os.path.exists(path):
+            with pa.OSFile(path) as f, pa.ipc.open_stream(f) as reader:
+                yield from reader
+        return
+    if last:
+        yield from batches
+        return
+    writer = None
+    with pa.OSFile(path, "wb") as f:
+        for batch in batches:
+            writer = writer or pa.ipc.new_stream(f, batch.schema)
+            writer.write_batch(batch)
+            yield batch
+        if writer:
+            writer.close()
+    if not writer:
+        os.remove(path)
+
+
 def _scan(blocks, k: int, text: str, names: list[str]):
     cache: dict[int, Matcher] = {}
 
@@ -85,32 +111,38 @@ def _scan(blocks, k: int, text: str, names: list[str]):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            marks = [[] for _ in texts]
-            items = [set() for _ in texts]
-            n_words = [0] * len(texts)
+        hits: dict[tuple[int, int], tuple[list, set]] = {}  # (batch, row) -> marks and items of the blocks so far
+        with tempfile.TemporaryDirectory() as folder:
             for b in range(len(blocks)):
-                m = matcher(b)
-                for r, t in enumerate(texts):
-                    w = words(t)
-                    n_words[r] = len(w)
-                    for end, n, owners in m.scan(w):
-                        marks[r].append((end - n + 1, end + 1))
-                        items[r] |= owners
-            n_hit, spans = [], []
-            for t, found in zip(texts, marks):
-                runs = []
-                for lo, hi in sorted(found):
-                    if runs and lo <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], hi)
-                    else:
-                        runs.append([lo, hi])
-                n_hit.append(sum(hi - lo for lo, hi in runs))
-                spans.append(_offsets(t, runs))
-            cols = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(i) for i in items], pa.list_(pa.string())), pa.array(spans, span)],
-                                             names=[*names, "_n_words", "_n_hit", "_items", "_spans"])
+                last = b == len(blocks) - 1
+                for i, batch in enumerate(_spooled(batches, f"{folder}/input", b, last)):
+                    m = matcher(b)
+                    texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+                    n_words = []
+                    for r, t in enumerate(texts):
+                        w = words(t)
+                        n_words.append(len(w))
+                        for end, n, owners in m.scan(w):
+                            marks, items = hits.setdefault((i, r), ([], set()))
+                            marks.append((end - n + 1, end + 1))
+                            items |= owners
+                    if last:
+                        yield result(batch, texts, n_words, [hits.pop((i, r), ((), ())) for r in range(len(texts))])
+
+    def result(batch, texts, n_words, found):
+        n_hit, spans = [], []
+        for t, (marks, _) in zip(texts, found):
+            runs = []
+            for lo, hi in sorted(marks):
+                if runs and lo <= runs[-1][1]:
+                    runs[-1][1] = max(runs[-1][1], hi)
+                else:
+                    runs.append([lo, hi])
+            n_hit.append(sum(hi - lo for lo, hi in runs))
+            spans.append(_offsets(t, runs))
+        cols = [batch.column(batch.schema.get_field_index(n)) for n in names]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(i) for _, i in found], pa.list_(pa.string())), pa.array(spans, span)],
+                                         names=[*names, "_n_words", "_n_hit", "_items", "_spans"])
 
     return run
 

@@ -164,6 +164,24 @@ def test_contamination(spark, monkeypatch, block):
             assert piece == piece.strip() and words(piece)
 
 
+def test_contamination_builds_each_block_once_a_task(spark, monkeypatch):
+    """One automaton a block and task, whatever the number of batches; the driver holds one block."""
+    class Block:
+        def __init__(self, value):
+            self.value = value
+
+    built, build = [], decontaminate.Matcher
+    monkeypatch.setattr(decontaminate, "Matcher", lambda items, k: built.append(items) or build(items, k))
+    items = [("1", "alpha beta"), ("2", "gamma delta"), ("3", "one")]
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(t, pa.string())}) for t in (["x alpha beta gamma delta", None], [], ["one one", ""], ["none"])]
+    one, three = ([r for b in decontaminate._scan(blocks, 13, "text", ["text"])(iter(batches)) for r in b.to_pylist()] for blocks in ([Block(items)], [Block([i]) for i in items]))
+    assert one == three and [r["_n_hit"] for r in one] == [4, 0, 2, 0, 0] and one[0]["_items"] == ["1", "2"]
+    assert built == [items, *[[i] for i in items]]
+    assert list(decontaminate._scan([Block([i]) for i in items], 13, "text", ["text"])(iter([]))) == []
+    rows = decontaminate.benchmark_blocks(spark.createDataFrame(ITEMS, "item_id long, text string"), "item_id", "text", 1)
+    assert next(rows) == [("1", "Alpha beta; gamma")] and len(list(rows)) == 5
+
+
 def test_contamination_edge_cases(spark, odd, none):
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_contamination(odd, items).where("_n_hit > 0").count() == 0
