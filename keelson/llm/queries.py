@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import decontaminate, embedding_dup, html_text, near_dup, packing, quality, sharding, substring, token_counts, toxicity
+from keelson.llm import decontaminate, embedding_dup, hard_negatives, html_text, langid, near_dup, packing, periodic, quality, sharding, substring, token_counts, toxicity
 from keelson.llm.common import read
 
 SHARDS = 24
@@ -74,7 +74,33 @@ def op10_token_counts(spark: SparkSession, base: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", F.col("_n_tokens").alias("n_tokens"), (F.col("_n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_decontamination, op4_toxicity, op5_packing, op6_near_dup, op7_sharding, op8_html_text, op9_embedding_dup, op10_token_counts)}
+def op11_periodic_runs(spark: SparkSession, base: str) -> DataFrame:
+    docs = read(spark, base, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", periodic.periodic_tail(F.col("doc_id"), F.col("text")))
+    found = periodic.find_runs(docs, keep=["doc_id"])
+    longest = F.array_max(F.transform("_runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    found = found.select("doc_id", "_runs", "_kept", longest.alias("best"))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    length, period = F.col("best.length"), -F.col("best.short")
+    return found.select("doc_id", F.size("_runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), length.alias("length"), period.alias("period"),
+                        F.floor(length * 1000 / period).cast("long").alias("exponent_milli"), F.sha2(F.array_join(F.transform("_runs", line), ""), 256).alias("runs_sha256"), F.sha2(F.col("_kept"), 256).alias("collapsed_sha256"))
+
+
+def op12_language(spark: SparkSession, base: str) -> DataFrame:
+    docs = read(spark, base, "documents")
+    trees = langid.fit_trees(docs.where(F.col("doc_id").isNotNull() & ~langid.is_held_out(F.col("doc_id"))))
+    found = langid.identify(docs.select("doc_id", "text"), trees, keep=["doc_id"])
+    return found.select("doc_id", langid.is_held_out(F.col("doc_id")).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+def op13_hard_negatives(spark: SparkSession, base: str) -> DataFrame:
+    vectors = read(spark, base, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.select("vec_id", "embedding", shifted.alias("label")), F.col("id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_decontamination, op4_toxicity, op5_packing, op6_near_dup, op7_sharding, op8_html_text, op9_embedding_dup, op10_token_counts,
+                                op11_periodic_runs, op12_language, op13_hard_negatives)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -147,7 +173,19 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(m, vec_
 FROM v LEFT JOIN least ON least.x = vec_id LEFT JOIN n ON n.x = vec_id
 """
 
+_SQL_HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (SELECT a.id AS anchor_id, a.label AS own, v.id, v.label, list_inner_product(a.e, v.e)::BIGINT AS score FROM v a JOIN v ON a.id <> v.id AND a.id % 50 = 0),
+pos AS (SELECT anchor_id, own, id AS positive_id, score AS p FROM pair WHERE own = label QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+neg AS (SELECT anchor_id, positive_id, id AS negative_id, p AS positive_score, score AS negative_score,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank
+        FROM pos JOIN pair USING (anchor_id, own) WHERE label <> own AND 50 * p <= 100 * score AND 100 * score <= 95 * p)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
 # The checksum of sharding has no DuckDB function, so its SQL serves the tests without that column.
 SHARDING_SQL = _SQL_SHARDING
 
-ORACLES = {"op2_substring_dedup": _SQL_SUBSTRING, "op3_decontamination": _SQL_DECONTAMINATION, "op6_near_dup": _SQL_NEAR_DUP, "op9_embedding_dup": _SQL_EMBEDDING}
+ORACLES = {"op2_substring_dedup": _SQL_SUBSTRING, "op3_decontamination": _SQL_DECONTAMINATION, "op6_near_dup": _SQL_NEAR_DUP, "op9_embedding_dup": _SQL_EMBEDDING,
+           "op13_hard_negatives": _SQL_HARD_NEGATIVES}
