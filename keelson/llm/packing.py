@@ -1,7 +1,7 @@
 """Lexical retrieval packing: documents into windows of ``WINDOW`` tokens, filled with BM25 neighbours.
 
-1. One map pass tokenises; the table of ids is written once.  Token ids are the terms of the index,
-   so document frequencies over all rows are a table of at most the vocabulary's size.
+1. One map pass tokenises, writes the ids once and counts document frequencies on the way.  Token ids
+   are the terms of the index, so those counts are a table of at most the vocabulary's size.
 2. Whole windows inside a document are sequences of their own.  Only the rest of each document (less
    than a window) is packed: the rests are range-partitioned by a locality key (MinHash of their
    tokens, then id), so similar rests meet, and copies spread over partitions by their ids.
@@ -22,9 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import persisted
 from keelson.llm.words import mix, slices
-from keelson.session import ship
+from keelson.session import scratch_path, ship
 
 WINDOW = 1024
 SHARD = 2048
@@ -34,32 +33,86 @@ K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def byte_level_encoder(path: str):
+class Encoder:
     """An encoder for a byte-level BPE tokenizers file, giving that library's ids.  Vocabulary and
-    special tokens are the file's own; a text in which the fast encoder fails goes to the library."""
-    import tiktoken
-    from tokenizers import Tokenizer
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    # The byte-level alphabet: printable bytes stand for themselves, the rest follow from 256 on.
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(shown)]
-    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
-    special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-    ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    fast = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-    slow = Tokenizer.from_file(path)
-
-    def encode(text: str) -> np.ndarray:
-        if not any(s in text for s in special):
+    special tokens are the file's own; a text in which the fast encoder fails goes to the library.
+
+    Texts are cut at single spaces: a piece that neither begins nor ends with white space is split and
+    merged alike wherever it stands, so its ids are kept (for up to ``KEPT`` pieces, then the store is
+    emptied).  Unknown pieces of many texts are encoded together.  Texts with other white space beside
+    a space, or with special strings, are encoded whole.
+    """
+
+    KEPT = 1 << 19
+    LONGEST = 200
+
+    def __init__(self, path: str, kind: str = "<u4"):
+        import tiktoken
+        from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        # The byte-level alphabet: printable bytes stand for themselves, the rest follow from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in set(shown)]
+        byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
+        self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
+        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+        self.fast = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self.special)
+        self.slow = Tokenizer.from_file(path)
+        self.size = np.zeros(max(ranks.values(), default=0) + 1, np.int64)  # bytes of each token
+        self.size[list(ranks.values())] = [len(t) for t in ranks]
+        self.kind = kind
+        self.kept: dict[str, bytes | None] = {}
+
+    def whole(self, text: str) -> np.ndarray:
+        """Ids of a text by the libraries."""
+        if not any(s in text for s in self.special):
             try:
-                return fast.encode_to_numpy(text, disallowed_special=())
+                return self.fast.encode_to_numpy(text, disallowed_special=())
             except (ValueError, RuntimeError):  # its regex engine gives up on very long runs
                 pass
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    return encode
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Keep the ids of pieces with a space before them; None for those that must not be cut off."""
+        self.kept.update(dict.fromkeys(pieces))
+        plain = [w for w in pieces if w and len(w) <= self.LONGEST and w.strip() == w]
+        if any(s in " " + " ".join(plain) for s in self.special):
+            plain = [w for w in plain if not any(s in w for s in self.special)]
+        if not plain:
+            return
+        text = " " + " ".join(plain)
+        ids = self.whole(text)
+        ends = np.cumsum([len(w.encode()) + 1 for w in plain])
+        reached = np.cumsum(self.size[ids])
+        cut = np.searchsorted(reached, ends, "right")
+        if not len(ids) or (cut == 0).any() or (reached[cut - 1] != ends).any():  # the library replaced something
+            return
+        raw, width = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
+        first = 0
+        for w, last in zip(plain, cut.tolist()):
+            self.kept[w] = raw[first * width:last * width]
+            first = last
+
+    def many(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text (null: none)."""
+        pieces = [(t or "").split(" ") for t in texts]
+        new = set().union(*(p[1:] for p in pieces)) - self.kept.keys()
+        if len(self.kept) + len(new) > self.KEPT:
+            self.kept.clear()
+            new = set().union(*(p[1:] for p in pieces))
+        self._learn(new)
+        kept = self.kept
+        for text, parts in zip(texts, pieces):
+            head = parts[0]
+            if text and len(parts) > 1 and head and not head[-1].isspace() and not any(s in head or " " in s and s in text for s in self.special):
+                try:
+                    yield np.frombuffer(self.whole(head).astype(self.kind).tobytes() + b"".join(map(kept.__getitem__, parts[1:])), self.kind)
+                    continue
+                except TypeError:  # a piece that must not be cut off
+                    pass
+            yield self.whole(text or "").astype(self.kind)
 
 
 def _kind(vocabulary: int) -> str:
@@ -67,39 +120,59 @@ def _kind(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def _encode(path: str, kind: str):
+def _encode(path: str, kind: str, vocabulary: int):
+    """doc_id, text -> tokens in whole windows and the rest; at the end of a task one row (n = -1) with
+    its number of rests, their tokens and the rests that have each token id."""
+
     def run(batches):
-        encode = byte_level_encoder(path)
+        encoder, made = Encoder(path, kind), False
+        df, rests_made, tokens = np.zeros(vocabulary, np.int64), 0, 0
+        names = ["doc_id", "near", "n", "whole", "rest"]
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [np.append(encode(t or ""), np.uint32(END_ID)).astype(kind) for t in part.column("text").to_pylist()]
-                rests = [x[len(x) // WINDOW * WINDOW:] for x in ids]
-                near = [int(mix(x.astype(np.uint64)).min() >> np.uint64(1)) if len(x) else 0 for x in rests]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(near, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
-                                                 names=["doc_id", "near", "n", "ids"])
+                made = True
+                near, sizes, whole, rests = [], [], [], []
+                for x in encoder.many(part.column("text").to_pylist()):
+                    x = np.append(x, np.array(END_ID, kind))
+                    cut = len(x) // WINDOW * WINDOW
+                    rest = x[cut:]
+                    sizes.append(len(x))
+                    whole.append(x[:cut].tobytes() if cut else None)
+                    rests.append(rest.tobytes() if len(rest) else None)
+                    if len(rest):
+                        rest = np.unique(rest)
+                        near.append(int(mix(rest.astype(np.uint64)).min() >> np.uint64(1)))
+                        df[rest] += 1
+                        rests_made, tokens = rests_made + 1, tokens + len(x) - cut
+                    else:
+                        near.append(0)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(near, pa.int64()), pa.array(sizes, pa.int64()), pa.array(whole, pa.binary()), pa.array(rests, pa.binary())], names=names)
+        if made:
+            blob = np.r_[rests_made, tokens, df].astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([0], pa.int64()), pa.array([-1], pa.int64()), pa.array([blob], pa.binary()), pa.nulls(1, pa.binary())], names=names)
 
     return run
 
 
-def _statistics(kind: str, vocabulary: int):
-    """Per task: rests (id -1), their tokens (id -2) and for each token id the rests that have it."""
+def _statistics(batches):
+    """Statistics of the tasks -> (id, n): the sums of one task of this pass (-1: rests, -2: tokens)."""
+    total = 0
+    for batch in batches:
+        for blob in batch.column(0).to_pylist():
+            total = total + np.frombuffer(blob, "<i8")
+    if np.ndim(total):
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.where(at < 2, -1 - at, at - 2), pa.int64()), pa.array(total[at], pa.int64())], names=["id", "n"])
 
-    def run(batches):
-        df, rests, tokens = np.zeros(vocabulary, np.int64), 0, 0
-        for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                x = np.frombuffer(blob, kind)
-                rests += 1
-                tokens += len(x)
-                df[np.unique(x)] += 1
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, -2, at], pa.int64()), pa.array(np.r_[rests, tokens, df[at]], pa.int64())], names=["id", "n"])
 
-    return run
+class Shard:
+    """BM25 inverted index of one shard; rests are taken from it whole or from the front.
 
+    Terms that at least one rest of ``COMMON`` has are held as rows of a matrix (a weight for every
+    rest), the others as postings; scores are the sums over both, so nothing is left out.
+    """
 
-class Shard:
-    """BM25 inverted index of one shard; rests are taken from it whole or from the front."""
+    COMMON = 24
 
     def __init__(self, rests: list[np.ndarray], idf: np.ndarray, average: float):
         n = len(rests)
@@ -107,13 +180,21 @@ class Shard:
         item = np.repeat(np.arange(n), size)
         term = np.concatenate(rests).astype(np.int64)
         pair, tf = np.unique(term * n + item, return_counts=True)
-        self.term, self.item = pair // n, pair % n
+        term, item = pair // n, pair % n
         norm = K1 * (1 - B + B * size / average)
-        self.weight = (idf[self.term] * tf * (K1 + 1) / (tf + norm[self.item])).astype(np.float32)
-        terms, self.first = np.unique(self.term, return_index=True)
-        self.last = np.r_[self.first[1:], len(pair)]
-        self.where = np.full(len(idf), -1, np.int64)
-        self.where[terms] = np.arange(len(terms))
+        weight = (idf[term] * tf * (K1 + 1) / (tf + norm[item])).astype(np.float32)
+        terms, first = np.unique(term, return_index=True)
+        count = np.diff(np.r_[first, len(pair)])
+        common = count * self.COMMON >= n
+        self.row, self.where = np.full(len(idf), -1, np.int64), np.full(len(idf), -1, np.int64)
+        self.row[terms[common]] = np.arange(common.sum())
+        dense = np.repeat(common, count)
+        self.matrix = np.zeros((int(common.sum()), n), np.float32)
+        self.matrix[self.row[term[dense]], item[dense]] = weight[dense]
+        self.item, self.weight = item[~dense], weight[~dense]
+        self.where[terms[~common]] = np.arange(len(terms) - len(self.matrix))
+        self.count = count[~common]
+        self.first = np.cumsum(self.count) - self.count
         self.unused = np.ones(n, bool)
         self.n, self.cursor = n, 0
 
@@ -122,14 +203,21 @@ class Shard:
             self.cursor += 1
         return self.cursor if self.cursor < self.n else None
 
+    def scores(self, ids: np.ndarray) -> np.ndarray:
+        """BM25 score of every rest for the different ids of a query."""
+        ids = np.unique(ids)
+        row, slot = self.row[ids], self.where[ids]
+        asked = np.zeros(len(self.matrix), np.float32)
+        asked[row[row >= 0]] = 1
+        slot = slot[slot >= 0]
+        count = self.count[slot]
+        at = np.repeat(self.first[slot] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        return asked @ self.matrix + np.bincount(self.item[at], self.weight[at], self.n)
+
     def neighbours(self, ids: np.ndarray) -> Iterator[int]:
         """Unused rests, best BM25 score first (ties by position); all of the shard's unused rests
         come in the end, those that share no term last."""
-        slot = self.where[np.unique(ids)]
-        slot = slot[slot >= 0]
-        first, count = self.first[slot], self.last[slot] - self.first[slot]
-        at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        score = np.bincount(self.item[at], self.weight[at], self.n)
+        score = self.scores(ids)
         score[~self.unused] = -1
         while score[best := int(score.argmax())] >= 0:
             yield best
@@ -230,10 +318,10 @@ def _whole(kind: str):
         base, made = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             rows = []
-            for doc, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, total, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 x = np.frombuffer(blob, kind)
-                for at in range(0, len(x) // WINDOW * WINDOW, WINDOW):
-                    rows.append((doc, at, x[at:at + WINDOW], len(x), (base + made) * 2, 0))
+                for at in range(0, len(x), WINDOW):
+                    rows.append((doc, at, x[at:at + WINDOW], total, (base + made) * 2, 0))
                     made += 1
             if rows:
                 yield _pieces(rows)
@@ -255,10 +343,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
     kind = _kind(vocabulary)
     width = 2 if kind == "<u2" else 4
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    tokens = persisted(slim.mapInArrow(_encode(tokenizer_path, kind), "doc_id long, near long, n long, ids binary"))
+    out = scratch_path(docs.sparkSession, "tokens")  # by columns: each later pass reads only its own
+    slim.mapInArrow(_encode(tokenizer_path, kind, vocabulary), "doc_id long, near long, n long, whole binary, rest binary").write.parquet(out)
+    tokens = docs.sparkSession.read.parquet(out)
     start = (F.col("n") - F.col("n") % WINDOW).alias("start")
-    rests = tokens.where(F.col("n") % WINDOW > 0).select("doc_id", "near", F.col("n").alias("doc_tokens"), start, F.expr(f"substring(ids, cast((n - n % {WINDOW}) * {width} + 1 as int))").alias("rest"))
-    counts = rests.select("rest").mapInArrow(_statistics(kind, vocabulary), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rests = tokens.where("n >= 0 and rest is not null").select("doc_id", "near", F.col("n").alias("doc_tokens"), start, "rest")
+    counts = tokens.where("n < 0").select("whole").mapInArrow(_statistics, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = {r["id"]: r["n"] for r in counts.collect()}  # at most vocabulary + 2 rows
     n, df = counts.pop(-1, 0), np.zeros(vocabulary)
     average = counts.pop(-2, 0) / max(n, 1) or 1.0
@@ -266,5 +356,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
     idf = docs.sparkSession.sparkContext.broadcast(np.log1p((n - df + 0.5) / (df + 0.5)))
     order = ["near", "doc_id", "doc_tokens"]
     packed = rests.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "start", "doc_tokens", "rest").mapInArrow(_pack(kind, idf, average), PIECES)
-    whole = tokens.where(F.col("n") >= WINDOW).select("doc_id", "ids").mapInArrow(_whole(kind), PIECES)
+    whole = tokens.where("n >= 0 and whole is not null").select("doc_id", "n", "whole").mapInArrow(_whole(kind), PIECES)
     return whole.unionByName(packed)
