@@ -6,14 +6,21 @@ and lines above the threshold (the standard deviation of the smoothed ratios, at
 cluster into content lines.  The content region is the smallest element that holds nearly all of
 their text, or an article or main element that holds most of it, with its sibling parts.  Every line
 of the region and every content line outside of it is kept, unless it is inside boilerplate (menus,
-headers, footers, sidebars, notices, adverts, forms, comments).  A class or id word such as "related"
-only votes inside the region: the block goes if its text-to-tag ratio or its links say so too.
+headers, footers, sidebars, notices, adverts, forms, comments).  A box with a class word that says so
+plainly (advert, cookie, sidebar, footer, comments) goes wherever it stands, unless it holds the title
+or half of the content.  Other class or id words such as "related" only vote inside the region: the
+block goes if its own text-to-tag ratio or its links say so too.
+
+Elements are numbered in the order they open, and each knows its range of lines, so sums over an
+element are differences of running totals: the work grows with the page, not with its depth.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -48,6 +55,13 @@ COMMENTS = frozenset("comment comments disqus respond reply replies".split())
 _OF_COMMENTS = COMMENTS | frozenset("list area body section form thread item wrap wrapper container content box meta author text template count".split())
 
 
+# Class words that say plainly what a box is.
+PLAIN = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar footer cookie cookies consent gdpr notice notices newsletter subscribe subscription signup popup modal".split())
+TALK = frozenset("comment comments disqus".split())
+# May be a part of the text or the readers' comments on it.
+EITHER = frozenset("discussion discussions".split())
+
+
 def split_words(name: str) -> list[str]:
     return [w.lower() for w in _SPLIT.split(name) if w]
 
@@ -66,6 +80,15 @@ def of_comments(names: str) -> bool:
     return any(not COMMENTS.isdisjoint(words) and _OF_COMMENTS.issuperset(words) for words in map(split_words, names.split()))
 
 
+def plain_words(names: str, sure: frozenset) -> bool:
+    """True if a name starts or ends with one of the words (or holds a word of ``TALK``, if that is asked)."""
+    for words in map(split_words, names.split()):
+        if words and words[0] not in _ABOUT and words[:2] != ["ad", "hoc"]:
+            if words[0] in sure or words[-1] in sure or sure is TALK and not TALK.isdisjoint(words):
+                return True
+    return False
+
+
 # Elements that a start tag closes when they are still open.
 CLOSED_BY = {"p": frozenset("p"), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
 _ENDS_P = BLOCKS - {"br"}
@@ -79,50 +102,66 @@ THIN = 0.25
 
 
 class Mark:
-    """An element with a boilerplate word: its id if only that has one, and where it stands."""
-    __slots__ = ("box", "slug", "inner", "header")
+    """An element with a boilerplate word: its id if only that has one, where it stands, and whether
+    its names are plain, mean readers' comments or may mean them."""
+    __slots__ = ("box", "slug", "inner", "header", "plain", "talk", "either")
 
-    def __init__(self, box: bool, slug: str | None, inner: bool, header: bool):
-        self.box, self.slug, self.inner, self.header = box, slug, inner, header
+    def __init__(self, box: bool, slug: str | None, inner: bool, header: bool, plain: bool, talk: bool, either: bool):
+        self.box, self.slug, self.inner, self.header, self.plain, self.talk, self.either = box, slug, inner, header, plain, talk, either
 
 
 class Line:
-    __slots__ = ("parts", "tags", "links", "path", "head")
+    __slots__ = ("parts", "tags", "links", "head")
 
-    def __init__(self, path: tuple):
-        self.parts, self.tags, self.links, self.path, self.head = [], 0, 0, path, ""
+    def __init__(self):
+        self.parts, self.tags, self.links, self.head = [], 0, 0, ""
 
 
 class Events(HTMLParser):
-    """Parser events -> lines outside of certain boilerplate, each with the elements it stands in."""
+    """Parser events -> lines outside of certain boilerplate, and the elements they stand in."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # name, number, boilerplate
+        self.names: Counter = Counter()  # open elements by name
+        self.blocks: list[int] = []      # places of block elements in ``open``
+        self.nodes: list[int] = [0]      # open containers and marked elements
         self.number = 0
         self.off = 0      # open boilerplate elements
         self.link = 0     # open links
         self.article = 0  # open article or main elements
-        self.named: dict[int, tuple] = {}  # article and main elements -> the elements they stand in
+        self.named: list[int] = []  # article and main elements
+        self.talk: list[int] = []   # elements of readers' comments
         self.marks: dict[int, Mark] = {}
         self.about: dict[int, tuple] = {0: (0, "", frozenset())}  # container -> parent, name, classes
-        self.path: tuple = (0,)
-        self.lines = [Line((0,))]
+        self.lines = [Line()]
+        self.span: dict[int, tuple[int, int]] = {0: (0, 0)}  # container or marked element -> its lines
+        self.last: dict[int, int] = {0: 0}  # ... -> the largest number inside of it
+
+    def close(self):
+        super().close()
+        while self.open:
+            self._pop()
+        self.span[0], self.last[0] = (0, len(self.lines)), self.number
 
     def _break(self):
         if self.lines[-1].parts:
-            self.lines.append(Line(self.path))
+            self.lines.append(Line())
         else:
-            self.lines[-1].path, self.lines[-1].head = self.path, ""
-
-    def _path(self) -> tuple:
-        return (0, *(n for t, n, _ in self.open if t in CONTAINERS or n in self.marks))
+            self.lines[-1].head = ""
 
     def _pop(self):
-        name, _, off = self.open.pop()
+        name, number, off = self.open.pop()
+        self.names[name] -= 1
         self.off -= off
         self.link -= name == "a"
         self.article -= name in ("article", "main")
+        if self.blocks and self.blocks[-1] == len(self.open):
+            self.blocks.pop()
+        if self.nodes[-1] == number:
+            self.nodes.pop()
+            self.span[number] = (self.span[number][0], len(self.lines) - (not self.lines[-1].parts))
+            self.last[number] = self.number
 
     def _boilerplate(self, tag: str, attrs: list) -> bool:
         if tag in HIDDEN or tag in ASIDE or (tag == "header" and not self.article):
@@ -142,10 +181,18 @@ class Events(HTMLParser):
         if tag not in BLOCKS or tag in HEADINGS or tag in ("article", "main", "body", "html"):
             return None
         marks = MARKS_INSIDE if self.article else MARKS
-        found = {n: v for n, v in attrs if n in ("class", "id") and v and marked(v, marks)}
-        if not found:
+        names = {n: v for n, v in attrs if n in ("class", "id") and v}
+        box = tag in BOXES
+        # An id of a section is a link target more often than a kind.
+        kinds = [v for n, v in names.items() if n == "class" or tag != "section"] if box else []
+        talk = any(plain_words(v, TALK) for v in kinds)
+        either = not talk and any(plain_words(v, EITHER) for v in kinds)
+        found = {n: v for n, v in names.items() if marked(v, marks)}
+        if not found and not talk and not either:
             return None
-        return Mark(tag in BOXES, None if "class" in found else found["id"], self.article > 0, not any(marked(v, MARKS_INSIDE) for v in found.values()))
+        plain = any(plain_words(v, PLAIN) for v in kinds)
+        header = bool(found) and not any(marked(v, MARKS_INSIDE) for v in found.values())
+        return Mark(box, None if "class" in found or not found else found["id"], self.article > 0, header, plain, talk, either)
 
     def handle_starttag(self, tag, attrs):
         self.lines[-1].tags += not self.off
@@ -157,34 +204,34 @@ class Events(HTMLParser):
             return
         off = self._boilerplate(tag, attrs)
         self.number += 1
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
         self.open.append((tag, self.number, off))
+        self.names[tag] += 1
         self.off += off
         self.link += tag == "a"
-        if not self.off and (mark := self._mark(tag, attrs)):
+        mark = None if self.off else self._mark(tag, attrs)
+        if mark:
             self.marks[self.number] = mark
+        if mark and mark.talk or off and any(n in ("class", "id") and v and of_comments(v) for n, v in attrs):
+            self.talk.append(self.number)
+        if tag in CONTAINERS:
+            self.about[self.number] = (self.nodes[-1], tag, frozenset((dict(attrs).get("class") or "").split()))
+        if mark or tag in CONTAINERS:
+            self.nodes.append(self.number)
+            self.span[self.number] = (len(self.lines) - 1, 0)
         self.article += tag in ("article", "main")
-        if tag in BLOCKS:
-            self.path = self._path()
-            self.lines[-1].path = self.path
         if not self.off and tag in ("article", "main"):
-            self.named[self.number] = self.path
+            self.named.append(self.number)
         if tag in HEADINGS:
             self.lines[-1].head = tag
-        if tag in CONTAINERS:
-            self.about[self.number] = (self.path[-2], tag, frozenset((dict(attrs).get("class") or "").split()))
 
     def _close_implied(self, tag: str):
-        """A block start closes an open p, an item start closes the open item, up to the nearest container."""
-        ends = CLOSED_BY.get(tag, frozenset()) | {"p"}
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
-            if name in ends:
-                while len(self.open) > i:
-                    self._pop()
-                break
-            if name in BLOCKS:
-                break
-        self.path = self._path()
+        """A block start closes an open p, an item start closes the open item, up to the nearest block."""
+        if self.blocks and self.open[self.blocks[-1]][0] in CLOSED_BY.get(tag, frozenset()) | {"p"}:
+            to = self.blocks[-1]
+            while len(self.open) > to:
+                self._pop()
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -193,7 +240,7 @@ class Events(HTMLParser):
 
     def handle_endtag(self, tag):
         self.lines[-1].tags += not self.off
-        if not any(t == tag for t, _, _ in self.open):
+        if not self.names[tag]:
             return
         while self.open:
             last = self.open[-1][0]
@@ -201,7 +248,6 @@ class Events(HTMLParser):
             if last == tag:
                 break
         if tag in BLOCKS:
-            self.path = self._path()
             self._break()
 
     def handle_data(self, data):
@@ -232,98 +278,160 @@ def content_lines(ratios: np.ndarray) -> np.ndarray:
     return soft >= threshold(soft)
 
 
+class Page:
+    """The lines with text of a page; sums over the lines of an element."""
+
+    def __init__(self, events: Events):
+        self.events, self.texts, self.lines = events, [], []
+        before = [0]  # lines with text before each line
+        for line in events.lines:
+            text = " ".join("".join(line.parts).split())
+            if text:
+                self.lines.append(line)
+                self.texts.append(text)
+            before.append(len(self.texts))
+        self.span = {n: (before[lo], before[max(lo, hi)]) for n, (lo, hi) in events.span.items()}
+        self.size = np.array([len(t) for t in self.texts], dtype=float)
+        self.own = self.size - np.minimum(self.size, [line.links for line in self.lines])
+        self.tags = np.array([line.tags for line in self.lines], dtype=float)
+        if len(self.texts):
+            self.soft = smooth(self.own / np.maximum(1, self.tags))
+            self.bar = threshold(self.soft)
+            self.chosen = self.soft >= self.bar
+            self.title = self.totals(np.array([line.head == "h1" for line in self.lines], dtype=float))
+            self.of_size, self.of_own, self.of_tags = self.totals(self.size), self.totals(self.own), self.totals(self.tags)
+            self.of_weight = self.totals(self.own * self.chosen)
+
+    @staticmethod
+    def totals(values: np.ndarray) -> np.ndarray:
+        return np.r_[0, np.cumsum(values)]
+
+    def sum(self, totals: np.ndarray, n: int) -> float:
+        lo, hi = self.span[n]
+        return float(totals[hi] - totals[lo])
+
+    def within(self, elements) -> np.ndarray:
+        """Flags of the lines in any of the elements."""
+        edge = np.zeros(len(self.lines) + 1, np.int64)
+        for n in elements:
+            lo, hi = self.span[n]
+            edge[lo] += 1
+            edge[hi] -= 1
+        return np.cumsum(edge[:-1]) > 0
+
+
 class Marked:
     """Judges the marked blocks of a page: ``gone`` are boilerplate, ``doubt`` waits for the region."""
 
-    def __init__(self, events: Events, lines: list[Line], texts: list[str], size: np.ndarray, own: np.ndarray, soft: np.ndarray):
-        self.events, self.lines, self.texts, self.size, self.own, self.soft = events, lines, texts, size, own, soft
-        self.bar = threshold(soft)
-        self.at: dict[int, list[int]] = {}
-        for i, line in enumerate(lines):
-            for n in line.path:
-                if n in events.marks:
-                    self.at.setdefault(n, []).append(i)
+    def __init__(self, page: Page):
+        self.page, self.events = page, page.events
         self.gone: set[int] = set()
         self.doubt: set[int] = set()
-        for m, at in self.at.items():
-            mark = events.marks[m]
-            if mark.inner:
+        for m, mark in self.events.marks.items():
+            if page.span[m][0] == page.span[m][1]:
+                continue
+            if self._plainly(m):
+                self.gone.add(m)
+            elif not (mark.plain or self.words(m)):
+                continue  # may be comments, but is not
+            elif mark.inner:
                 if self._voted(m):
                     self.gone.add(m)
-            elif not (self._titled(m) and not self._linked(at) or self._wraps(m, at)):
+            elif not (self._titled(m) and not self._linked(m) or self._wraps(m)):
                 self.doubt.add(m)
 
-    def _linked(self, at: list[int]) -> bool:
-        return 2 * self.own[at].sum() < self.size[at].sum()
+    def words(self, m: int) -> bool:
+        """There is more to the block than a name that may mean comments."""
+        return not self.events.marks[m].either
+
+    def _inside(self, numbers: list[int], m: int) -> int:
+        """How many of the (ascending) element numbers are inside of the block."""
+        return bisect_right(numbers, self.events.last[m]) - bisect_left(numbers, m + 1)
+
+    def _plainly(self, m: int) -> bool:
+        """The block is what its names say: it is not the title's place, nor half of the content (for
+        comments: half of it, with an article among them)."""
+        mark, page = self.events.marks[m], self.page
+        talk = mark.talk or mark.either and not self._chapter(m)
+        if not mark.box or not (mark.plain or talk) or page.sum(page.title, m) or mark.plain and not talk and self._titled(m) and not self._linked(m):
+            return False
+        most = 2 * page.sum(page.of_weight, m) >= page.of_weight[-1] > 0
+        return not most or talk and not self._inside(self.events.named, m)
+
+    def _chapter(self, m: int) -> bool:
+        """A part of the text under a heading of its own, without anything marked as a comment."""
+        first = self.page.span[m][0]
+        return bool(self.page.lines[first].head) and not EITHER.isdisjoint(split_words(self.page.texts[first])) and not self._inside(self.events.talk, m)
+
+    def _linked(self, m: int) -> bool:
+        return 2 * self.page.sum(self.page.of_own, m) < self.page.sum(self.page.of_size, m)
 
     def _titled(self, m: int) -> bool:
         """The id is the block's own heading, so it is a link target and says nothing about its role."""
-        mark, first = self.events.marks[m], self.at[m][0]
-        if not mark.slug or not self.lines[first].head:
+        mark, first = self.events.marks[m], self.page.span[m][0]
+        if not mark.slug or not self.page.lines[first].head:
             return False
-        return mark.inner or set(split_words(self.texts[first])).issuperset(split_words(mark.slug))
+        return mark.inner or set(split_words(self.page.texts[first])).issuperset(split_words(mark.slug))
 
-    def _wraps(self, m: int, at: list[int]) -> bool:
+    def _wraps(self, m: int) -> bool:
         """The block is the page's main part: it has the title or the article and most of the content."""
-        named = [m in path for path in self.events.named.values()]
-        weight = self.own * (self.soft >= self.bar)
-        return all(named) and (bool(named) or any(self.lines[i].head == "h1" for i in at)) and weight[at].sum() >= MOST * weight.sum()
+        named, page = self.events.named, self.page
+        if self._inside(named, m) < len(named) or not named and not page.sum(page.title, m):
+            return False
+        return page.sum(page.of_weight, m) >= MOST * page.of_weight[-1]
 
     def _voted(self, m: int) -> bool:
-        """The ratio or the links of a marked block say boilerplate too."""
-        mark, at = self.events.marks[m], self.at[m]
+        """The block's own ratio or its links say boilerplate too."""
+        mark, page = self.events.marks[m], self.page
         if not mark.box:
             return False
-        if self._linked(at):
+        if self._linked(m):
             return True
         if self._titled(m):
             return False
-        thin = self.own[at].sum() < THIN * self.bar * max(1, sum(self.lines[i].tags for i in at))
-        return bool(np.average(self.soft[at], weights=self.size[at]) < self.bar) or not mark.slug and bool(thin)
+        ratio = page.sum(page.of_own, m) / max(1, page.sum(page.of_tags, m))
+        return ratio < (THIN if mark.slug else 1) * page.bar
 
     def free(self) -> np.ndarray:
         """Flags of the lines outside of boilerplate and of doubtful blocks."""
-        out = self.gone | self.doubt
-        return np.array([out.isdisjoint(line.path) for line in self.lines])
+        return ~self.page.within(self.gone | self.doubt)
 
     def settle(self, region: set[int]) -> None:
         """Doubtful blocks outside of the region go, those inside of it are voted on."""
-        page = any(self.events.about[n][1] in ("", "html", "body") for n in region)
+        whole = any(self.events.about[n][1] in ("", "html", "body") for n in region)
+        inside = self.page.within(region)
         for m in self.doubt:
-            mark, at = self.events.marks[m], self.at[m]
-            if region.isdisjoint(self.lines[at[0]].path):
+            mark = self.events.marks[m]
+            if not inside[self.page.span[m][0]]:
                 self.gone.add(m)
-            elif page:
+            elif whole:
                 if mark.box:
                     self.gone.add(m)
-            elif not (mark.header and any(self.lines[i].head == "h1" for i in at)) and self._voted(m):
+            elif not (mark.header and self.page.sum(self.page.title, m)) and self._voted(m):
                 self.gone.add(m)
         self.doubt = set()
 
 
-def content_region(events: Events, lines: list[Line], size: np.ndarray, own: np.ndarray, chosen: np.ndarray) -> set[int]:
-    """The elements whose lines are content (0 is the whole page)."""
-    weight = own * chosen + 1e-9 * size
-    inside: dict[int, float] = {}  # text of the content lines inside each element
-    links: dict[int, float] = {}   # link characters less the others inside each element
-    for line, w, n_all, n_own in zip(lines, weight, size, own):
-        for n in line.path:
-            inside[n] = inside.get(n, 0.0) + w
-            links[n] = links.get(n, 0.0) + n_all - 2 * n_own
-    total = weight.sum()
+def content_region(page: Page, free: np.ndarray) -> set[int]:
+    """The elements whose free lines are content (0 is the whole page)."""
+    events = page.events
+    inside = page.totals((page.own * page.chosen + 1e-9 * page.size) * free)
+    links = page.totals((page.size - 2 * page.own) * free)  # link characters less the others
+    some = page.totals(free.astype(float))
+    total, named = inside[-1], set(events.named)
     # An inner element has a larger number than the outer one.
-    whole = [n for n, w in inside.items() if w >= NEARLY * total and n in events.about]
-    hints = [n for n in events.named if inside.get(n, 0.0) >= MOST * total]
-    region = max((n for n in whole if n in events.named), default=None)
+    whole = [n for n in events.about if page.sum(some, n) and page.sum(inside, n) >= NEARLY * total]
+    hints = [n for n in events.named if page.sum(inside, n) >= MOST * total]
+    region = max((n for n in whole if events.about[n][1] in ("article", "main") and n in named), default=None)
     if region is None:
-        region = max(hints, key=lambda n: (inside[n], n)) if hints else max(whole, default=0)
+        region = max(hints, key=lambda n: (page.sum(inside, n), n)) if hints else max(whole, default=0)
     parent, tag, classes = events.about[region]
     # Parts of one text stand side by side in elements of the same kind.
     parts = {region}
     if region and (classes or tag in ("article", "section")):
         for n, (up, name, names) in events.about.items():
             alike = names == classes or tag in ("article", "section") and not names.isdisjoint(classes)
-            if name == tag and alike and (tag == "article" or up == parent) and links.get(n, 0.0) <= 0:
+            if name == tag and alike and (tag == "article" or up == parent) and page.sum(links, n) <= 1e-6:
                 parts.add(n)
     return parts
 
@@ -335,27 +443,18 @@ def extract(html: str | None) -> tuple[str, list[str]]:
     events = Events()
     events.feed(html)
     events.close()
-    lines, texts = [], []
-    for line in events.lines:
-        text = " ".join("".join(line.parts).split())
-        if text:
-            lines.append(line)
-            texts.append(text)
-    if not lines:
+    page = Page(events)
+    if not page.texts:
         return "", []
-    size = np.array([len(t) for t in texts], dtype=float)
-    own = size - np.minimum(size, [line.links for line in lines])
-    soft = smooth(own / np.array([max(1, line.tags) for line in lines]))
-    chosen = soft >= threshold(soft)
-    marked_blocks = Marked(events, lines, texts, size, own, soft)
+    marked_blocks = Marked(page)
     free = marked_blocks.free()
     if not free.any():
         return "", []
-    region = content_region(events, [line for line, f in zip(lines, free) if f], size[free], own[free], chosen[free])
+    region = content_region(page, free)
     marked_blocks.settle(region)
     free = marked_blocks.free()
-    apart = chosen & (2 * own > size)
-    blocks = [t for t, line, f, also in zip(texts, lines, free, apart) if f and (also or not region.isdisjoint(line.path))]
+    wanted = free & (page.chosen & (2 * page.own > page.size) | page.within(region))
+    blocks = [t for t, w in zip(page.texts, wanted) if w]
     return " ".join(blocks), blocks
 
 

@@ -417,13 +417,28 @@ def test_packing_edge_cases(spark, odd, none):
     _, _, want = check_packing(rows, texts, path)
     assert sum(r["length"] for r in rows) == sum(map(len, want))
     assert packing.pack_documents(none, path).count() == 0
-    encode = packing.byte_level_encoder(path)
+    encode = packing.Encoder(path).whole
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(path)
     for t in [x or "" for x in TRICKY] + ["don't we'll I'M ①² ͏a", "  x"]:
         assert encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("kept", [1 << 19, 40])
+def test_encoder_by_pieces_gives_the_library_ids(monkeypatch, kept):
+    from tokenizers import Tokenizer
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    monkeypatch.setattr(packing.Encoder, "KEPT", kept)
+    tok, encoder = Tokenizer.from_file(path), packing.Encoder(path, "<u2")
+    rng = np.random.default_rng(6)
+    parts = [" ", " ", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85", "a", "don't", "'s", "word", "Ünï", "漢字", "12", "...", "é", "\u0301", "\u200d", "\x00", "<|endoftext|>", "<|end", "oftext|>", "x" * 300]
+    for _ in range(60):
+        texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(40)] + [None]
+        for t, ids in zip(texts, encoder.many(texts)):
+            assert ids.tolist() == tok.encode(t or "", add_special_tokens=False).ids, t
+        assert len(encoder.kept) <= kept + 400
+
+
 def test_bm25_ranks_neighbours():
     rests = [np.array(x, "<u2") for x in ([1, 2, 3, 4], [9, 9, 9], [1, 2, 3, 8], [4, 7, 7, 7])]
     df = np.zeros(16)
@@ -437,11 +452,11 @@ def test_bm25_ranks_neighbours():
     def score(q, d):
         return sum(idf[t] * (list(d).count(t) * 2.2) / (list(d).count(t) + 1.2 * (0.25 + 0.75 * len(d) / 3.75)) for t in set(q.tolist()))
 
-    slot = shard.where[np.unique(rests[0])]
-    got = np.zeros(4)
-    for s in slot:
-        got[shard.item[shard.first[s]:shard.last[s]]] += shard.weight[shard.first[s]:shard.last[s]]
-    assert np.allclose(got, [score(rests[0], d) for d in rests], rtol=1e-5)
+    for common in (1, 2, 24):
+        packing.Shard.COMMON = common
+        got = packing.Shard(rests, idf, np.mean([len(r) for r in rests])).scores(rests[0])
+        assert np.allclose(got, [score(rests[0], d) for d in rests], rtol=1e-5)
+    packing.Shard.COMMON = 24
 
 
 PAGE = """<html><head><title>T</title><style>x</style></head><body class="has-sidebar"><header><h2>Site</h2></header><nav><a href=/>Home</a></nav>
@@ -520,6 +535,41 @@ def test_html_marked_blocks_go_when_the_ratio_or_links_agree():
     assert html_text.extract(f'<div class="cookie-notice"><p>{text[0]}</p></div>') == ("", [])
 
 
+@pytest.mark.parametrize("outer", ["article", "main", 'div class="content"'])
+def test_html_plainly_marked_boxes_go_wherever_they_stand(outer):
+    text = [prose(60, "a"), prose(55, "b"), prose(70, "c")]
+    boxes = ["div class='ad'", "div class='advert'", "section class='sponsored'", "div class='notice'", "div class='cookie-banner'", "div class='newsletter-signup'", "div class='sidebar'", "div class='article-footer'",
+             "section class='discussion'", "div class='user-comments-section'", "div id='sidebar'", "ul class='post-comments'"]
+    for box in boxes:
+        other = f"<{box}><p>{prose(40, 'x')}</p></{box.split()[0]}>"
+        page = f"<body><nav>n</nav><{outer}><h1>H</h1><p>{text[0]}</p><p>{text[1]}</p>{other}<p>{text[2]}</p></{outer.split()[0]}></body>"
+        assert html_text.extract(page)[1] == ["H", *text], box
+        assert html_text.extract(f"<{box}><h1>H</h1><p>{text[0]}</p></{box.split()[0]}><{outer}><p>{text[1]}</p></{outer.split()[0]}>")[1][0] in ("H", text[1])
+
+
+def test_html_comments_that_outweigh_the_article():
+    text, many = prose(60, "a"), "".join(f"<div class='comment'><p>{prose(90, f'x{i}')}</p></div>" for i in range(9))
+    for name in ("user-comments-section", "discussion", "reader-comments"):
+        for inside in (True, False):
+            block = f"<div class='{name}'><h2>Discussion</h2>{many}</div>"
+            page = f"<article><h1>H</h1><p>{text}</p>{block if inside else ''}</article>{'' if inside else block}"
+            assert html_text.extract(f"<body>{page}</body>")[1] == ["H", text]
+    part = f"<article><p>{text}</p><section class='discussion'><h2>Discussion</h2><p>{prose(30, 'd')}</p></section></article>"
+    assert html_text.extract(part)[1] == [text, "Discussion", prose(30, "d")]
+    assert html_text.extract(f"<div class='comments-open'><article><h1>H</h1><p>{text}</p></article></div>")[1] == ["H", text]
+
+
+@pytest.mark.parametrize("piece", ["<div>x y z ", "<b>x ", "<div class=ad>x ", "<li><b>x<div>y</div>", "<p><span>q ", "<ul><li>z ", "<article>a "])
+def test_html_depth_costs_no_more_than_length(piece):
+    import time
+    times = []
+    for n in (5_000, 50_000):
+        start = time.process_time()
+        html_text.extract(piece * n)
+        times.append(time.process_time() - start)
+    assert times[1] < 30 * max(times[0], 0.05)
+
+
 def test_html_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, "plain words &lt;b&gt;"), (4, "<p>unclosed <b>bold"), (5, "<div>" * 3000 + "deep" + "</div>" * 3000), (6, "<nav>only menu</nav>"), (None, "</p></div>x<!-- c -->y"), (7, "<p>" + "w " * 200_000)]
     got = {r["page_id"]: r["_text"] for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, html string")).collect()}
