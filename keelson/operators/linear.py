@@ -36,7 +36,7 @@ def keyed_fit_eval(df: DataFrame, key: str, feature: str, target: str, id_cols,
     over scaled training rows is needed.
     """
     base = drop_missing(df.select(*dict.fromkeys([key, *id_cols, feature, target])), [feature, target])
-    split = exact_split(base, id_cols, ratio, seed, keys=[key], key_bound=key_bound)
+    split = exact_split(base, id_cols, ratio, seed, keys=[key])
     stats = (split.where(~F.col("is_test")).groupBy(key).agg(
         F.count(F.lit(1)).alias("n_train"),
         F.avg(feature).alias("mx"), F.stddev_pop(feature).alias("sx"),

@@ -42,16 +42,26 @@ def sliding_sequences(df: DataFrame, keys, ts: str, value: str, steps: int, bloc
             .select(*keys, ts, F.col(value + "_seq").alias("sequence"), F.col(value).alias("label")))
 
 
+# Groups that the rows of a key are dealt to before its newest ones meet.
+SALTS = 32
+
+
 def latest_window(df: DataFrame, keys, ts: str, value: str, steps: int, key_bound: int | None = None) -> DataFrame:
-    """The last ``steps`` values per key, newest included (the scoring input)."""
+    """The last ``steps`` values per key, newest included (the scoring input).
+
+    Each task, then each of ``SALTS`` groups of a key, then the key keeps its newest ``steps`` rows
+    (Spark turns the rank filters into group limits before the shuffles), so history is never ordered.
+    """
     keys = as_list(keys)
     d = df.select(*keys, ts, value).where(nan_to_null(value).isNotNull())
-    d = keyed_ordinal(d, keys, [ts], name="_ord")
-    n = key_counts(d, keys, "_n")
-    tail = attach(d, n, keys, bound=key_bound).where(F.col("_ord") >= F.col("_n") - steps)
-    return (tail.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_ord", value))).alias("_s"),
-                                    F.max(ts).alias("last_ts"), F.first("_n").alias("n"))
-            .select(*keys, "last_ts", F.transform("_s", lambda s: s[value]).alias("window"), "n")
+    n = key_counts(d, keys, "n")
+    top = d.withColumn("_salt", F.pmod(F.xxhash64(ts), F.lit(SALTS)))
+    for group in ([*keys, "_salt"], keys or [F.lit(0)]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.col(ts).desc()))
+        top = top.withColumn("_rank", rank).where(F.col("_rank") <= steps)
+    tail = top.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(value).alias("v")))).alias("_s"), F.max(ts).alias("last_ts"))
+    return (attach(tail, n, keys, bound=key_bound)
+            .select(*keys, "last_ts", F.transform("_s", lambda s: s["v"]).alias("window"), "n")
             .where(F.size("window") == steps))
 
 

@@ -2,8 +2,9 @@
 
 Rows are ordered by ``md5(seed:id parts)``: the same value in Spark and in SQL,
 independent of partitioning and executor loss.  A split then takes the first
-``floor(n·r)`` (or ``ceil``) rows of each key in hash order, with ranks from the
-balanced ordinal, never from a window over a whole key.
+``floor(n·r)`` (or ``ceil``) rows of each key in hash order: the hash of the last of
+them is found by counting (``selection``), and every row is compared with it, so the
+table is neither sorted nor written.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 
 from keelson.functions.exprs import as_list, seeded_hash
 from keelson.operators.ordering import attach, key_counts, keyed_ordinal
+from keelson.operators.selection import mark_smallest
+
+# Largest sample that is taken by a sorted limit (its rows meet in one task).
+SMALL_SAMPLE = 10_000
 
 
 def with_hash(df: DataFrame, seed, id_cols: Sequence, name: str = "_h") -> DataFrame:
@@ -22,20 +27,15 @@ def with_hash(df: DataFrame, seed, id_cols: Sequence, name: str = "_h") -> DataF
 
 
 def exact_split(df: DataFrame, id_cols: Sequence, ratio: float, seed=42, keys=None,
-                rounding: str = "floor", flag: str = "is_test", key_bound: int | None = None) -> DataFrame:
+                rounding: str = "floor", flag: str = "is_test") -> DataFrame:
     """Mark ``floor(n·ratio)`` (or ``ceil``) rows per key as test rows.
 
-    ``id_cols`` must identify a row uniquely: they feed the seeded hash.
+    ``id_cols`` must identify a row uniquely: they feed the seeded hash.  NULL is a key.
     """
     keys = as_list(keys)
+    size = F.floor if rounding == "floor" else F.ceil
     hashed = with_hash(df, seed, id_cols)
-    ranked = keyed_ordinal(hashed, keys, ["_h"], name="_rank")
-    n = key_counts(df, keys, "_n")
-    k = F.floor(F.col("_n") * F.lit(ratio)) if rounding == "floor" else F.ceil(F.col("_n") * F.lit(ratio))
-    n = n.withColumn("_k", k.cast("long")).drop("_n")
-    return (attach(ranked, n, keys, bound=key_bound)
-            .withColumn(flag, F.col("_rank") < F.col("_k"))
-            .drop("_h", "_rank", "_k"))
+    return mark_smallest(hashed, keys, "_h", lambda n: size(n * F.lit(ratio)), flag).drop("_h")
 
 
 def k_smallest(df: DataFrame, id_cols: Sequence, k: int, seed=42, keys=None, flag: str | None = None) -> DataFrame:
@@ -45,10 +45,10 @@ def k_smallest(df: DataFrame, id_cols: Sequence, k: int, seed=42, keys=None, fla
     """
     keys = as_list(keys)
     hashed = with_hash(df, seed, id_cols)
-    ranked = keyed_ordinal(hashed, keys, ["_h"], name="_rank")
-    if flag:
-        return ranked.withColumn(flag, F.col("_rank") < F.lit(k)).drop("_h", "_rank")
-    return ranked.where(F.col("_rank") < F.lit(k)).drop("_h", "_rank")
+    if not flag and not keys and k <= SMALL_SAMPLE:
+        return hashed.orderBy("_h").limit(k).drop("_h")
+    marked = mark_smallest(hashed, keys, "_h", lambda n: F.lit(k), flag or "_in")
+    return (marked if flag else marked.where("_in").drop("_in")).drop("_h")
 
 
 def one_random_row(df: DataFrame, id_cols: Sequence, seed=42) -> DataFrame:
