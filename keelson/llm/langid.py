@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from keelson.llm.common import persisted
 from keelson.llm.words import mix, slices
+from keelson.operators.selection import mark_smallest
 from keelson.session import ship
 
 ORDER = 4
@@ -172,22 +173,25 @@ def _count(order: int):
 def sample_texts(docs: DataFrame, rows: int, max_bytes: int) -> tuple[list[str], DataFrame]:
     """Of rows (id, lang, text) without nulls: the languages, and (language number, text) of the
     sample: for each language the texts with the smallest hashes, up to its share of rows and bytes."""
-    marks = docs.select("id", "lang", F.md5(F.col("id").cast("string")).alias("h"), F.xxhash64("text").alias("x"), F.octet_length("text").alias("size"))
+    marks = docs.select("id", "lang", F.xxhash64("text").alias("x"), F.octet_length("text").alias("size")).dropDuplicates(["id", "lang", "x"])
+    marks = marks.withColumn("h", F.md5(F.concat_ws(":", "id", "x")))
     langs = [r[0] for r in marks.select("lang").distinct().orderBy("lang").collect()]  # a handful
     share = max(1, len(langs))
-    order = Window.partitionBy("lang").orderBy("h", "x")
-    first = marks.withColumn("at", F.row_number().over(order)).where(F.col("at") <= max(1, rows // share))
-    first = first.withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    # The smallest hashes are found by counting, so no task sees a frequent language's rows.
+    first = mark_smallest(marks, ["lang"], "h", lambda n: F.lit(max(1, rows // share)), "first").where("first")
+    before = Window.partitionBy("lang").orderBy("h", "x").rowsBetween(Window.unboundedPreceding, -1)  # over the language's share of rows
+    first = first.withColumn("before", F.sum("size").over(before))
     first = persisted(first.where(F.coalesce("before", F.lit(0)) < max_bytes // share).select("id", "lang", "x").distinct())
     number = F.element_at(F.create_map(*[F.lit(v) for i, lang in enumerate(langs) for v in (lang, i)]), F.col("lang")) if langs else F.lit(0)
     picked = docs.withColumn("x", F.xxhash64("text")).join(F.broadcast(first), ["id", "lang", "x"], "left_semi")  # at most ``rows`` rows
+    picked = picked.dropDuplicates(["id", "lang", "x"])
     return langs, picked.select(number.cast("int").alias("lang"), "text")
 
 
 def fit_trees(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES, order: int = ORDER) -> Trees:
     """Context trees from a bounded sample of the rows whose id, text and language are not null.
-    The sample goes by a hash of the id (and the text, where ids repeat), so it does not depend on the
-    order of the rows.  Without such rows there are no languages."""
+    The sample goes by a hash of id and text, so it does not depend on the order of the rows; rows that
+    are equal in both count once.  Without such rows there are no languages."""
     ship(docs.sparkSession)
     good = docs.select(F.col(doc_id).alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).dropna()
     langs, picked = sample_texts(good, rows, max_bytes)
