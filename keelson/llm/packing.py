@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,20 +34,20 @@ K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|"
+_TWO_SPACES = re.compile(r"\s\s")
+
+
 class Encoder:
     """An encoder for a byte-level BPE tokenizers file, giving that library's ids.  Vocabulary and
     special tokens are the file's own; a text in which the fast encoder fails goes to the library.
 
-    Texts are cut at single spaces: a piece that neither begins nor ends with white space is split and
-    merged alike wherever it stands, so its ids are kept (for up to ``KEPT`` pieces, then the store is
-    emptied).  Unknown pieces of many texts are encoded together.  Texts with other white space beside
-    a space, or with special strings, are encoded whole.
+    The file's rule for white space looks ahead, which its regex engine can't do at full speed.  Where no
+    two white-space characters meet (most texts), a single one is a piece of its own in any case, so a
+    pattern without that rule cuts alike.
     """
 
-    KEPT = 1 << 19
-    LONGEST = 200
-
-    def __init__(self, path: str, kind: str = "<u4"):
+    def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
@@ -57,63 +58,19 @@ class Encoder:
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.fast = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self.special)
+        made = [tiktoken.Encoding("byte-level", pat_str=_PIECES + space, mergeable_ranks=ranks, special_tokens=self.special) for space in (r"\s", r"\s+(?!\S)|\s+")]
+        self.single, self.any = made
         self.slow = Tokenizer.from_file(path)
-        self.size = np.zeros(max(ranks.values(), default=0) + 1, np.int64)  # bytes of each token
-        self.size[list(ranks.values())] = [len(t) for t in ranks]
-        self.kind = kind
-        self.kept: dict[str, bytes | None] = {}
 
-    def whole(self, text: str) -> np.ndarray:
-        """Ids of a text by the libraries."""
+    def __call__(self, text: str) -> np.ndarray:
         if not any(s in text for s in self.special):
             try:
-                return self.fast.encode_to_numpy(text, disallowed_special=())
+                fast = self.any if _TWO_SPACES.search(text) else self.single
+                return fast.encode_to_numpy(text, disallowed_special=())
             except (ValueError, RuntimeError):  # its regex engine gives up on very long runs
                 pass
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Keep the ids of pieces with a space before them; None for those that must not be cut off."""
-        self.kept.update(dict.fromkeys(pieces))
-        plain = [w for w in pieces if w and len(w) <= self.LONGEST and w.strip() == w]
-        if any(s in " " + " ".join(plain) for s in self.special):
-            plain = [w for w in plain if not any(s in w for s in self.special)]
-        if not plain:
-            return
-        text = " " + " ".join(plain)
-        ids = self.whole(text)
-        ends = np.cumsum([len(w.encode()) + 1 for w in plain])
-        reached = np.cumsum(self.size[ids])
-        cut = np.searchsorted(reached, ends, "right")
-        if not len(ids) or (cut == 0).any() or (reached[cut - 1] != ends).any():  # the library replaced something
-            return
-        raw, width = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
-        first = 0
-        for w, last in zip(plain, cut.tolist()):
-            self.kept[w] = raw[first * width:last * width]
-            first = last
-
-    def many(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text (null: none)."""
-        pieces = [(t or "").split(" ") for t in texts]
-        new = set().union(*(p[1:] for p in pieces)) - self.kept.keys()
-        if len(self.kept) + len(new) > self.KEPT:
-            self.kept.clear()
-            new = set().union(*(p[1:] for p in pieces))
-        self._learn(new)
-        kept = self.kept
-        for text, parts in zip(texts, pieces):
-            head = parts[0]
-            if text and len(parts) > 1 and head and not head[-1].isspace() and not any(s in head or " " in s and s in text for s in self.special):
-                try:
-                    yield np.frombuffer(self.whole(head).astype(self.kind).tobytes() + b"".join(map(kept.__getitem__, parts[1:])), self.kind)
-                    continue
-                except TypeError:  # a piece that must not be cut off
-                    pass
-            yield self.whole(text or "").astype(self.kind)
-
 
 def _kind(vocabulary: int) -> str:
     """Narrowest type that holds an id."""
@@ -125,15 +82,15 @@ def _encode(path: str, kind: str, vocabulary: int):
     its number of rests, their tokens and the rests that have each token id."""
 
     def run(batches):
-        encoder, made = Encoder(path, kind), False
+        encode, made = Encoder(path), False
         df, rests_made, tokens = np.zeros(vocabulary, np.int64), 0, 0
         names = ["doc_id", "near", "n", "whole", "rest"]
         for batch in batches:
             for part in slices(batch, "text"):
                 made = True
                 near, sizes, whole, rests = [], [], [], []
-                for x in encoder.many(part.column("text").to_pylist()):
-                    x = np.append(x, np.array(END_ID, kind))
+                for text in part.column("text").to_pylist():
+                    x = np.append(encode(text or ""), np.uint32(END_ID)).astype(kind)
                     cut = len(x) // WINDOW * WINDOW
                     rest = x[cut:]
                     sizes.append(len(x))
