@@ -1,12 +1,17 @@
-"""Request-log scoring (MOD9, FN15, FLT5, FLT6): JSON in, checks, score, JSON out."""
+"""Scoring of requests (MOD9, FN15, FLT5, FLT6: JSON in, checks, score, JSON out) and models as SQL
+functions over named columns (UDF1)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson.session import ship
+
 REQUEST_SCHEMA = "inputs array<array<double>>"
 
 
@@ -42,3 +47,36 @@ def score_requests(df: DataFrame, request_col: str, names: Sequence[str] | int,
     out = rows.withColumn("error", error).withColumn("prediction", F.when(F.col("error").isNull(), score))
     return out.withColumn("response", F.when(F.col("error").isNull(), F.to_json(
         F.struct(F.array(F.array(F.col("prediction"))).alias("predictions"))))).drop("_vec")
+
+
+def save_linear(fitted: DataFrame, features: Sequence[str], path: str) -> str:
+    """One row of ``gram.fit`` (shift, coef) and its features' names, as a table under ``path``."""
+    names = F.array(*[F.lit(f) for f in features]).alias("features")
+    fitted.select("shift", "coef", names).coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
+def register_model(spark: SparkSession, name: str, path: str) -> None:
+    """Register the linear model saved under ``path`` as the SQL function ``name(struct(...))``.
+
+    The struct's fields are found by name, in any order; other fields are ignored, a missing one is an
+    error.  A NULL or NaN feature gives NULL.  The model is sent to a worker once and read once for all
+    batches of a task (iterator of Arrow arrays).
+    """
+    ship(spark)
+    rows = spark.read.parquet(path).collect()
+    if len(rows) != 1 or rows[0]["coef"] is None:
+        raise ValueError(f"no fitted model under {path}")
+    shared = spark.sparkContext.broadcast((list(rows[0]["features"]), np.array(rows[0]["coef"]), np.array(rows[0]["shift"])))
+
+    def score(structs: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        features, coef, shift = shared.value
+        for s in structs:
+            have = [f.name for f in s.type]
+            if gone := [f for f in features if f not in have]:
+                raise ValueError(f"the model needs the columns {gone}")
+            x = np.column_stack([s.field(have.index(f)).cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False) for f in features])
+            y = shift[-1] + coef[0] + (x - shift[:-1]) @ coef[1:]
+            yield pa.array(y, mask=np.isnan(y) | ~s.is_valid().to_numpy(zero_copy_only=False))
+
+    spark.udf.register(name, F.arrow_udf(score, "double"))

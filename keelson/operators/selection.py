@@ -31,8 +31,8 @@ def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return match
 
 
-def _join(left: DataFrame, right: DataFrame, names: list[str], how: str, small: bool) -> DataFrame:
-    """Join on names that may be NULL."""
+def join_null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str, small: bool) -> DataFrame:
+    """Join on names that may be NULL (none: every row of ``right``, which then has one)."""
     right = right.withColumnsRenamed({n: "r" + n for n in names})
     right = F.broadcast(right) if small or not names else right
     return left.join(right, _same(left, right, names), how).drop(*["r" + n for n in names])
@@ -63,18 +63,18 @@ def hash_thresholds(df: DataFrame, keys: list[str], hash_col: str, wanted: Calla
         deep = bounds.where(crowded)
         if deep.limit(1).count() == 0:
             break
-        rows = _join(base, deep.select(*names, F.col("prefix").alias("p"), F.col("r").alias("k0")), names, "inner", small)
+        rows = join_null_safe(base, deep.select(*names, F.col("prefix").alias("p"), F.col("r").alias("k0")), names, "inner", small)
         rows = rows.where(F.col("h").startswith(F.col("p")))
         counts = rows.groupBy(*names, "k0", F.expr(f"substring(h, 1, length(p) + {DIGITS})").alias("prefix")).agg(F.count(F.lit(1)).alias("c"))
         finer = _boundary(counts.groupBy(*names, "prefix").agg(F.max("k0").alias("k0"), F.sum("c").alias("c")), names, F.col("k0"))
         totals = deep.select(*names, F.col("n").alias("all"))
-        finer = _join(finer, totals, names, "inner", small).select(*names, F.col("all").alias("n"), "prefix", "r", "m")
+        finer = join_null_safe(finer, totals, names, "inner", small).select(*names, F.col("all").alias("n"), "prefix", "r", "m")
         bounds, small = checked_small(bounds.where(F.coalesce(~crowded, F.lit(True))).unionByName(finer), BROADCAST_BYTES)
-    rows = _join(base, bounds.where("r is not null").select(*names, "prefix", "r"), names, "inner", small)
+    rows = join_null_safe(base, bounds.where("r is not null").select(*names, "prefix", "r"), names, "inner", small)
     rows = rows.where(F.col("h").startswith(F.col("prefix")))
     order = Window.partitionBy(*(names or [F.lit(0)])).orderBy("h")
     last = rows.withColumn("i", F.row_number().over(order)).where(F.col("i") == F.col("r")).select(*names, F.col("h").alias("t"))
-    return _join(bounds.select(*names, "n"), last, names, "left", small), names
+    return join_null_safe(bounds.select(*names, "n"), last, names, "left", small), names
 
 
 def mark_smallest(df: DataFrame, keys: list[str], hash_col: str, wanted: Callable[[Column], Column], flag: str) -> DataFrame:

@@ -28,3 +28,16 @@ def cents_sql(c: str) -> str:
 
 def ts_sql(c: str) -> str:
     return f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
+
+
+def least_squares_sql(rows: str, keys: str, width: int) -> str:
+    """CTEs ``prod``, ``mat``, ``gj`` and ``coef`` (keys, beta): least squares of z[width] on z[1..width - 1]
+    for each key of ``rows`` (keys, z), by elimination on the sums of products (WITH RECURSIVE)."""
+    n = width - 1
+    return f"""
+prod AS (SELECT {keys}, i, j, sum(z[i] * z[j]) AS s FROM {rows}, range(1, {width}) t(i), range(1, {width + 1}) u(j) GROUP BY ALL),
+mat AS (SELECT {keys}, list(r ORDER BY i) AS m FROM (SELECT {keys}, i, list(s ORDER BY j) AS r FROM prod GROUP BY ALL) GROUP BY ALL),
+gj AS (SELECT {keys}, 0 AS k, m FROM mat UNION ALL
+  SELECT {keys}, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda x: x / m[k + 1][k + 1])
+    ELSE list_transform(r, lambda x, j: x - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END) FROM gj WHERE k < {n}),
+coef AS (SELECT {keys}, list_transform(m, lambda r: r[{width}]) AS beta FROM gj WHERE k = {n})"""
