@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import as_list, is_missing, nan_to_null, unpivot
-from keelson.operators.ordering import attach, keyed_running_total
+from keelson.operators.ordering import attach, checked_small, keyed_running_total
 
 # Density grid size and cut (in bandwidths) of the plotted curve.
 KDE_GRID = 200
@@ -78,20 +78,58 @@ def top_correlated(df: DataFrame, features: Sequence[str], target: str, k: int)
     return ranked.orderBy(F.col("abs_r").desc_nulls_last(), "feature").limit(k)
 
 
+# Rank error of the bracketing sketch is at most one in this many rows.
+SKETCH = 10_000
+
+
+def _bracketed(vals: DataFrame, keys: list[str], probs: Sequence[float], key_bound: int | None) -> DataFrame:
+    """Counts (keys, _v, _gap, _c) of equal values that may hold a wanted rank.
+
+    A mergeable sketch gives each rank a bracket of values, wide enough for the sketch's error.  Values in a
+    bracket are counted one by one; all others between two brackets are one row (``_gap``), named by the
+    end of the bracket below.
+    """
+    off = 2.0 / SKETCH
+    ends = [F.lit(max(0.0, p - off)) for p in probs] + [F.lit(min(1.0, p + off)) for p in probs]
+    found = vals.groupBy(*keys).agg(F.percentile_approx("_v", F.array(*ends), F.lit(SKETCH)).alias("_e"))
+    m = len(probs)
+    # The outermost ranks are open to their side.
+    low = [F.lit(float("-inf")) if p <= off else F.col("_e")[j] for j, p in enumerate(probs)]
+    high = [F.lit(float("inf")) if p >= 1 - off else F.col("_e")[m + j] for j, p in enumerate(probs)]
+    found = found.select(*keys, *[c.alias(f"_l{j}") for j, c in enumerate(low)], *[c.alias(f"_h{j}") for j, c in enumerate(high)])
+    rows = attach(vals, found, keys, bound=key_bound)
+    inside, below = F.lit(False), [F.lit(float("-inf"))]
+    for j in range(m):
+        inside = inside | F.col("_v").between(F.col(f"_l{j}"), F.col(f"_h{j}"))
+        below.append(F.when(F.col(f"_h{j}") < F.col("_v"), F.col(f"_h{j}")))
+    at = F.when(inside, F.col("_v")).otherwise(F.greatest(*below, F.lit(float("-inf"))))
+    return rows.select(*keys, at.alias("_v"), (~inside).alias("_gap")).groupBy(*keys, "_v", "_gap").agg(F.count(F.lit(1)).alias("_c"))
+
+
 def exact_quantiles(long: DataFrame, keys, value: str, probs: Sequence[float],
                     key_bound: int | None = None) -> DataFrame:
     """(keys, p, q): exact quantiles with linear interpolation (``quantile_cont``).
 
-    pos = p·(n−1); q = v[floor] + (pos − floor)·(v[ceil] − v[floor]).  Equal
+    pos = p·(n−1); q = v[floor] + (pos − floor)·(v[ceil] − v[floor]).  A sketch brackets each rank, one
+    counting pass makes it exact, and only the brackets' values are ordered.  Equal
     values are counted first (with partial aggregation), so a value that most
     rows share is one row; a value covers the ranks from its running total on.
+    Should a rank lie outside of its bracket, all values are counted and ordered.
     NULL/NaN values are skipped.
     """
     keys = as_list(keys)
     # one representative per number: -0.0 and 0.0 group together
     vals = long.select(*keys, (nan_to_null(value) + F.lit(0.0)).alias("_v")).where(F.col("_v").isNotNull())
-    counts = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = keyed_running_total(counts, keys, ["_v"], "_c", "_from")
+    out, missed = _ranked_quantiles(_bracketed(vals, keys, probs, key_bound), keys, probs, key_bound)
+    if missed:
+        counts = vals.groupBy(*keys, "_v", F.lit(False).alias("_gap")).agg(F.count(F.lit(1)).alias("_c"))
+        out, _ = _ranked_quantiles(counts, keys, probs, key_bound)
+    return out
+
+
+def _ranked_quantiles(counts: DataFrame, keys: list[str], probs: Sequence[float], key_bound: int | None) -> tuple[DataFrame, bool]:
+    """The quantiles, and whether a wanted rank lay in a gap."""
+    ranked = keyed_running_total(counts, keys, ["_v", "_gap"], "_c", "_from")
     # the totals come from the same materialised table, whatever its size
     n = ranked.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     plist = F.array(*[F.lit(float(p)) for p in probs])
@@ -104,12 +142,14 @@ def exact_quantiles(long: DataFrame, keys, value: str, probs: Sequence[float],
     wanted = need.groupBy(*keys).agg(F.collect_list(F.struct("p", "_frac", "_lo", "_hi")).alias("_want"))
     picked = attach(ranked, wanted, keys, bound=key_bound)
     inside = lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_c"))
-    hits = picked.select(*keys, "_v", "_from", "_c", F.explode(F.filter("_want", lambda w: inside(w["_lo"]) | inside(w["_hi"]))).alias("_w"))
+    hits = picked.select(*keys, "_v", "_gap", "_from", "_c", F.explode(F.filter("_want", lambda w: inside(w["_lo"]) | inside(w["_hi"]))).alias("_w"))
     agg = hits.groupBy(*keys, F.col("_w.p").alias("p")).agg(
         F.max(F.when(inside(F.col("_w._lo")), F.col("_v"))).alias("_vlo"),
         F.max(F.when(inside(F.col("_w._hi")), F.col("_v"))).alias("_vhi"),
-        F.first("_w._frac").alias("_frac"))
-    return agg.select(*keys, "p", (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("q"))
+        F.first("_w._frac").alias("_frac"), F.max("_gap").alias("_gap"))
+    agg, _ = checked_small(agg)  # a row per key and rank
+    missed = agg.where("_gap").limit(1).count() > 0
+    return agg.select(*keys, "p", (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("q")), missed
 
 
 def quantile_table(long: DataFrame, keys, value: str, probs: dict[str, float],

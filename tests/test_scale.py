@@ -42,6 +42,29 @@ def test_quantiles_of_a_column_that_is_mostly_zero(spark):
     assert ordering.keyed_running_total(counts, [], ["x"], "count", "t").count() < 4000
 
 
+@pytest.mark.parametrize("sketch", [10_000, 40])
+def test_quantiles_order_only_the_brackets(spark, monkeypatch, sketch):
+    monkeypatch.setattr(profile, "SKETCH", sketch)
+    rng = np.random.default_rng(7)
+    x = {"u": rng.normal(size=30000), "v": rng.integers(0, 5, 20000) * 1.0, "w": np.array([2.5, -1.0])}
+    df = spark.createDataFrame(pd.DataFrame({"k": np.repeat(list(x), [len(v) for v in x.values()]), "x": np.concatenate(list(x.values()))})).repartition(4)
+    probs = [0.0, 0.25, 1 / 3, 0.5, 0.999, 1.0]
+    ordered, total = [], ordering.keyed_running_total
+    monkeypatch.setattr(profile, "keyed_running_total", lambda df, *a: ordered.append(df.count()) or total(df, *a))
+    got = {(r.k, r.p): r.q for r in profile.exact_quantiles(df, ["k"], "x", probs).collect()}
+    assert got == {(k, p): pytest.approx(np.quantile(v, p), abs=1e-12) for k, v in x.items() for p in probs}
+    if sketch == 10_000:
+        assert len(ordered) == 1 and ordered[0] < 500
+
+
+def test_quantiles_outside_of_their_brackets_are_found(spark, monkeypatch):
+    monkeypatch.setattr(profile, "SKETCH", 10_000)
+    monkeypatch.setattr(profile.F, "percentile_approx", lambda c, e, n: F.transform(e, lambda p: p))  # brackets that hold nothing
+    df = spark.range(1000).select(F.lit("k").alias("k"), (F.col("id") + 10.0).alias("x"))
+    got = {r.p: r.q for r in profile.exact_quantiles(df.groupBy("k", "x").agg(F.count("*").alias("c")), ["k"], "x", [0.5]).collect()}
+    assert got == {0.5: 509.5}
+
+
 def test_terciles_of_nan_are_null(spark):
     df = spark.createDataFrame([(float(i),) for i in range(9)] + [(float("nan"),), (None,)], "x double")
     got = profile.with_terciles(df, "x").groupBy("tercile").count().collect()
