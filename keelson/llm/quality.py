@@ -2,9 +2,11 @@
 
 Evidence of a document is a logistic classifier on the frequencies of its bytes and a few shape
 features, fitted on a bounded sample of labelled rows.  Its mean over all documents is the global
-rate; hosts shrink towards it and paths towards their host, each by a beta prior whose strength is
-the empirical-Bayes estimate from all sites, so a sparse site says little.  The posterior odds of a
-document are the classifier's odds times the path's odds relative to the global ones.
+rate; hosts shrink towards it and paths towards their host.  The weight of each prior, in documents, is
+the variance inside sites over the variance between them, estimated by moments from all sites: what
+sites of that size would differ by chance is subtracted, so where sites do not differ they say nothing,
+and a sparse site always says little.  The posterior odds of a document are the classifier's odds times
+the odds of its path without the document itself, relative to the global ones.
 
 Site sums are grouped aggregates with map-side combination, so a host with a third of the rows
 sends one partial sum per task.
@@ -111,41 +113,62 @@ def _logit(p):
     return F.log(p / (1 - p))
 
 
-def strength(mean, n, between: str):
-    """Beta prior strength from the variance of site means around their parent's mean, weighted by
-    the sites' sizes: m (1 - m) / variance - 1, held between 1 and 10,000."""
-    variance = F.sum(n * F.pow(F.col(between) - mean, 2)) / F.sum(n)
-    inside = F.avg(mean * (1 - mean))
-    return F.greatest(F.lit(1.0), F.least(F.lit(1e4), F.coalesce(F.try_divide(inside, variance) - 1, F.lit(1e4))))
+# Bounds of a prior's weight, in documents.
+WEAKEST, STRONGEST = 1.0, 1e4
+
+
+def strength(inside, free_inside, between, free_between, spread):
+    """Weight of the prior: variance inside sites over variance between sites (analysis of variance of
+    unequal groups).  ``inside`` and ``between`` are sums of squares with their degrees of freedom;
+    ``spread`` is n - sum(n_site^2 / n_parent).  Without repeated sites, or if sites differ no more than
+    chance, the prior has its greatest weight."""
+    within = F.try_divide(inside, free_inside)
+    across = F.try_divide(between - free_between * within, spread)
+    found = F.when(across > 0, within / across).otherwise(F.lit(STRONGEST))
+    return F.greatest(F.lit(WEAKEST), F.least(F.lit(STRONGEST), F.coalesce(found, F.lit(STRONGEST))))
 
 
 def posteriors(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Scored rows (_host, _path, _logit) -> one row of global parameters, and one row per path with
-    the posteriors of its host and itself."""
+    """Scored rows (_host, _path, _logit) -> one row (m0, k0, k1): the global rate and the weights of
+    the priors; and one row per path: sums of its probabilities and documents (s, n) and its host's
+    (hs, hn), m0, k0, k1, and the posteriors host_post and path_post."""
     p = 1 / (1 + F.exp(-F.col("_logit")))
-    paths = persisted(scored.groupBy("_host", "_path").agg(F.sum(p).alias("s"), F.count(F.lit(1)).alias("n")))
-    hosts = paths.groupBy("_host").agg(F.sum("s").alias("hs"), F.sum("n").alias("hn"))
-    base = paths.agg(((F.sum("s") + 1) / (F.sum("n") + 2)).alias("m0"))
+    paths = persisted(scored.groupBy("_host", "_path").agg(F.sum(p).alias("s"), F.sum(p * p).alias("q"), F.count(F.lit(1)).cast("double").alias("n")))
+    square = lambda s, n: F.col(s) * F.col(s) / F.col(n)
+    hosts = paths.groupBy("_host").agg(F.sum("s").alias("hs"), F.sum("q").alias("hq"), F.sum("n").alias("hn"), F.count(F.lit(1)).alias("paths"),
+                                       F.sum(square("s", "n")).alias("path_squares"), F.sum(F.col("n") * F.col("n")).alias("path_sizes"))
     hosts = persisted(hosts)
-    base = hosts.withColumn("h", F.col("hs") / F.col("hn")).crossJoin(F.broadcast(base))  # one row
-    k0 = base.groupBy("m0").agg(strength(F.col("m0"), F.col("hn"), "h").alias("k0"))
-    hosts = hosts.crossJoin(F.broadcast(k0)).withColumn("host_post", (F.col("hs") + F.col("k0") * F.col("m0")) / (F.col("hn") + F.col("k0")))
-    hosts = persisted(hosts.select(F.col("_host").alias("_h"), "m0", "host_post"))
-    joined = persisted(paths.join(hosts, F.col("_host").eqNullSafe(F.col("_h"))).drop("_h"))
-    k1 = joined.withColumn("q", F.col("s") / F.col("n")).agg(strength(F.col("host_post"), F.col("n"), "q").alias("k1"))
-    both = joined.crossJoin(F.broadcast(k1)).withColumn("path_post", (F.col("s") + F.col("k1") * F.col("host_post")) / (F.col("n") + F.col("k1")))
-    return k0, both.select("_host", "_path", "m0", "host_post", "path_post")
+    total = hosts.agg(F.sum("hs").alias("s"), F.sum("hq").alias("q"), F.sum("hn").alias("n"), F.count(F.lit(1)).alias("hosts"), F.sum("paths").alias("paths"),
+                      F.sum(square("hs", "hn")).alias("host_squares"), F.sum(F.col("hn") * F.col("hn")).alias("host_sizes"),
+                      F.sum("path_squares").alias("path_squares"), F.sum(F.col("path_sizes") / F.col("hn")).alias("path_sizes"))
+    k0 = strength(F.col("q") - F.col("host_squares"), F.col("n") - F.col("hosts"), F.col("host_squares") - square("s", "n"), F.col("hosts") - 1,
+                  F.col("n") - F.col("host_sizes") / F.col("n"))
+    k1 = strength(F.col("q") - F.col("path_squares"), F.col("n") - F.col("paths"), F.col("path_squares") - F.col("host_squares"), F.col("paths") - F.col("hosts"),
+                  F.col("n") - F.col("path_sizes"))
+    rates = total.select(((F.coalesce("s", F.lit(0.0)) + 1) / (F.coalesce("n", F.lit(0.0)) + 2)).alias("m0"), k0.alias("k0"), k1.alias("k1"))
+    rates = persisted(rates)  # one row
+    sites = paths.join(hosts.select(F.col("_host").alias("_h"), "hs", "hn"), F.col("_host").eqNullSafe(F.col("_h"))).drop("_h", "q").crossJoin(F.broadcast(rates))
+    sites = sites.withColumn("host_post", (F.col("hs") + F.col("k0") * F.col("m0")) / (F.col("hn") + F.col("k0")))
+    return rates, sites.withColumn("path_post", (F.col("s") + F.col("k1") * F.col("host_post")) / (F.col("n") + F.col("k1")))
 
 
 def score_quality(docs: DataFrame, model: Classifier, host: str = "source", path: str = "lang", text: str = "text", keep: list[str] | None = None, threshold: float = REJECT) -> DataFrame:
     """Adds to the columns ``keep`` (default: all) ``_evidence`` (classifier probability),
     ``_host_post``, ``_path_post``, ``_quality`` (posterior probability) and ``_good``.
 
+    ``_host_post`` and ``_path_post`` are the sites' posteriors from all of their documents; a document's
+    ``_quality`` leaves its own evidence out of them, so a document alone on its site is judged by
+    itself and its parents.
+
     Null and empty texts have the evidence of a text without bytes and count for their sites.  Null
     hosts and paths are sites of their own.  Repeated rows count each.  An empty table gives no rows.
+    The new columns' names must be free (it raises).
+
+    Texts are featurised once and the scores written, if the texts are not among ``keep``; otherwise
+    writing them would cost more than a second pass.
     """
     names = list(keep if keep is not None else docs.columns)
-    clash = {"_logit", "_host", "_path", "_site"} & set(docs.columns) | {"_evidence", "_host_post", "_path_post", "_quality", "_good"} & set(names)
+    clash = {"_logit", "_host", "_path", "_site", "_sums"} & set(docs.columns) | {"_evidence", "_host_post", "_path_post", "_quality", "_good"} & set(names)
     if clash:
         raise ValueError(f"reserved column names in the input: {sorted(clash)}")
     ship(docs.sparkSession)
@@ -154,13 +177,22 @@ def score_quality(docs: DataFrame, model: Classifier, host: str = "source", path
     out = [*names, "_host", "_path"]
     schema = T.StructType([*[source.schema[n] for n in out], T.StructField("_logit", T.DoubleType())])
     scored = source.mapInArrow(_score(model, text, out), schema)
-    slim = source.select(F.col(text), "_host", "_path")
-    slim = slim.mapInArrow(_score(model, text, ["_host", "_path"]), "_host string, _path string, _logit double")
+    if text in names:
+        slim = source.select(F.col(text), "_host", "_path")
+        slim = slim.mapInArrow(_score(model, text, ["_host", "_path"]), "_host string, _path string, _logit double")
+    else:
+        scored = persisted(scored)
+        slim = scored.select("_host", "_path", "_logit")
     _, sites = posteriors(slim)
     # A key without nulls, so that sites join by plain equality.
     site = F.to_json(F.struct("_host", "_path")).alias("_site")
-    sites = sites.select(site, "m0", F.col("host_post").alias("_host_post"), F.col("path_post").alias("_path_post"))
-    joined = join_small(scored.select("*", site), sites, ["_site"], F.octet_length("_site") + 24, "left")
-    odds = F.col("_logit") + _logit(F.col("_path_post")) - _logit(F.col("m0"))
+    sites = sites.select(site, "m0", "k0", "k1", "s", "n", "hs", "hn", F.col("host_post").alias("_host_post"), F.col("path_post").alias("_path_post"))
+    sites = sites.select("_site", "_host_post", "_path_post", F.struct("m0", "k0", "k1", "s", "n", "hs", "hn").alias("_sums"))
+    joined = join_small(scored.select("*", site), sites, ["_site"], F.octet_length("_site") + 80, "left")
+    own = 1 / (1 + F.exp(-F.col("_logit")))
+    at = lambda c: F.col("_sums")[c]
+    host = (at("hs") - own + at("k0") * at("m0")) / (at("hn") - 1 + at("k0"))
+    path_rate = (at("s") - own + at("k1") * host) / (at("n") - 1 + at("k1"))
+    odds = F.col("_logit") + _logit(path_rate) - _logit(at("m0"))
     quality = 1 / (1 + F.exp(-odds))
-    return joined.select(*names, (1 / (1 + F.exp(-F.col("_logit")))).alias("_evidence"), "_host_post", "_path_post", quality.alias("_quality"), (quality >= F.lit(threshold)).alias("_good"))
+    return joined.select(*names, own.alias("_evidence"), "_host_post", "_path_post", quality.alias("_quality"), (quality >= F.lit(threshold)).alias("_good"))
