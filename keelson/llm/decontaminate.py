@@ -6,16 +6,15 @@ an item, or the whole item if it is shorter.  A text is scanned once; a match's
 words it covers, and their byte offsets in the original text come from the same tokenisation.
 
 The benchmark is broadcast in blocks of about ``BLOCK_BYTES`` of text; the driver holds one block at a
-time (Spark keeps the others as files).  Each block has an automaton and a worker holds one at a time:
-with several, a task spools its input to a local file and goes through it once per block.
+time (Spark keeps the others as files).  Each block has an automaton and a task holds one at a time:
+with several, it gathers ``HOLD_BYTES`` of text in memory and goes through it once per block, so the
+automata are built once for that much text and nothing is written.
 """
 
 from __future__ import annotations
 
 import itertools
-import os
 import re
-import tempfile
 from collections.abc import Iterator
 
 import ahocorasick
@@ -28,6 +27,7 @@ from keelson.session import ship
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
+HOLD_BYTES = 64 << 20
 # One byte table does both: A-Z to lower case, separators to a space.
 _TABLE = bytes(32 if c in NON_WORD_BYTES else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -77,26 +77,17 @@ class Matcher:
             yield end, n, owners
 
 
-def _spooled(batches, path: str, b: int, last: bool):
-    """A task's batches; they are written to a file in the first of several passes and read in the others."""
-    if b:
-        if os.path.exists(path):
-            with pa.OSFile(path) as f, pa.ipc.open_stream(f) as reader:
-                yield from reader
-        return
-    if last:
-        yield from batches
-        return
-    writer = None
-    with pa.OSFile(path, "wb") as f:
-        for batch in batches:
-            writer = writer or pa.ipc.new_stream(f, batch.schema)
-            writer.write_batch(batch)
-            yield batch
-        if writer:
-            writer.close()
-    if not writer:
-        os.remove(path)
+def _held(batches, text: str, several: bool) -> Iterator[list[pa.RecordBatch]]:
+    """A task's batches in lists of about ``HOLD_BYTES`` of text; one by one if one pass is enough."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(batch.schema.get_field_index(text)).nbytes
+        if not several or size >= HOLD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def _scan(blocks, k: int, text: str, names: list[str]):
@@ -111,12 +102,11 @@ def _scan(blocks, k: int, text: str, names: list[str]):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        hits: dict[tuple[int, int], tuple[list, set]] = {}  # (batch, row) -> marks and items of the blocks so far
-        with tempfile.TemporaryDirectory() as folder:
+        for held in _held(batches, text, len(blocks) > 1):
+            hits: dict[tuple[int, int], tuple[list, set]] = {}  # (batch, row) -> marks and items of the blocks so far
             for b in range(len(blocks)):
-                last = b == len(blocks) - 1
-                for i, batch in enumerate(_spooled(batches, f"{folder}/input", b, last)):
-                    m = matcher(b)
+                m, last = matcher(b), b == len(blocks) - 1
+                for i, batch in enumerate(held):
                     texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
                     n_words = []
                     for r, t in enumerate(texts):
@@ -162,7 +152,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     an occurring window) and ``_spans`` (byte ranges of the hits in the original text).
 
     Null text: no words.  Items that are null or without words match nothing; repeated items count
-    by their ids; the windows of an item without id hit, but there is no id to list.  Empty tables give no rows or no hits.  No shuffle.
+    by their ids; the windows of an item without id hit, but there is no id to list.  Repeated rows are scanned each.  Empty tables give no rows or no hits.
+    The new columns' names must be free (it raises).  No shuffle.
     """
     names = list(keep if keep is not None else docs.columns)
     clash = {"_n_words", "_n_hit", "_items", "_spans"} & set(names)

@@ -177,6 +177,9 @@ def test_contamination_builds_each_block_once_a_task(spark, monkeypatch):
     one, three = ([r for b in decontaminate._scan(blocks, 13, "text", ["text"])(iter(batches)) for r in b.to_pylist()] for blocks in ([Block(items)], [Block([i]) for i in items]))
     assert one == three and [r["_n_hit"] for r in one] == [4, 0, 2, 0, 0] and one[0]["_items"] == ["1", "2"]
     assert built == [items, *[[i] for i in items]]
+    monkeypatch.setattr(decontaminate, "HOLD_BYTES", 1)  # every batch alone
+    again = [r for b in decontaminate._scan([Block([i]) for i in items], 13, "text", ["text"])(iter(batches)) for r in b.to_pylist()]
+    assert again == one
     assert list(decontaminate._scan([Block([i]) for i in items], 13, "text", ["text"])(iter([]))) == []
     rows = decontaminate.benchmark_blocks(spark.createDataFrame(ITEMS, "item_id long, text string"), "item_id", "text", 1)
     assert next(rows) == [("1", "Alpha beta; gamma")] and len(list(rows)) == 5
@@ -639,18 +642,74 @@ def test_quality_held_out_and_posteriors(spark, odd, none):
     assert quality.fit_classifier(none, labels).weights[1:].any() == False  # noqa: E712
 
 
-def test_posteriors_shrink_sparse_sites(spark):
-    rows = [("a", "x", 3.0)] * 500 + [("b", "x", -3.0)] * 500 + [("c", "x", -3.0)] + [("a", "y", -3.0)] + [(None, None, 0.0)]
-    k0, sites = quality.posteriors(spark.createDataFrame(rows, "_host string, _path string, _logit double"))
-    got = {(r["_host"], r["_path"]): r for r in sites.collect()}
-    p = 1 / (1 + np.exp(-3.0))
-    n, s = np.array([501, 500, 1, 1]), np.array([500 * p + 1 - p, 500 * (1 - p), 1 - p, 0.5])
-    m0 = (s.sum() + 1) / (n.sum() + 2)
-    strength = max(1.0, m0 * (1 - m0) / ((n * (s / n - m0) ** 2).sum() / n.sum()) - 1)
-    assert abs(k0.first()["k0"] - strength) < 1e-9
-    assert abs(got["c", "x"]["host_post"] - (s[2] + strength * m0) / (1 + strength)) < 1e-9
-    assert got["b", "x"]["path_post"] < 0.06 < got["c", "x"]["host_post"] < m0
-    assert got["a", "y"]["path_post"] > 0.4  # one bad page of a good host
+def brute_quality(rows):
+    """Priors and leave-one-out posteriors by plain loops over (host, path, logit)."""
+    p = np.array([1 / (1 + np.exp(-r[2])) for r in rows])
+    host, path = [r[0] for r in rows], [r[:2] for r in rows]
+    n, m0 = len(p), (p.sum() + 1) / (len(p) + 2)
+    groups = lambda keys: {k: np.array([i for i, x in enumerate(keys) if x == k]) for k in set(keys)}
+    hosts, paths = groups(host), groups(path)
+
+    def weight(sites, parents, k_parents):
+        inside = sum(((p[i] - p[i].mean()) ** 2).sum() for i in sites.values())
+        between = sum(len(i) * (p[i].mean() - p[parents(k)].mean()) ** 2 for k, i in sites.items())
+        spread = n - sum(len(i) ** 2 / len(parents(k)) for k, i in sites.items())
+        if n == len(sites) or spread < 1e-9:
+            return 1e4
+        within = inside / (n - len(sites))
+        across = (between - (len(sites) - k_parents) * within) / spread
+        return min(1e4, max(1.0, within / across)) if across > 0 else 1e4
+
+    k0 = weight(hosts, lambda k: np.arange(n), 1)
+    k1 = weight(paths, lambda k: hosts[k[0]], len(hosts))
+    out = []
+    logit = lambda q: np.log(q / (1 - q))
+    for i, r in enumerate(rows):
+        h, s = hosts[r[0]], paths[r[:2]]
+        up = (p[h].sum() - p[i] + k0 * m0) / (len(h) - 1 + k0)
+        rate = (p[s].sum() - p[i] + k1 * up) / (len(s) - 1 + k1)
+        out.append(1 / (1 + np.exp(-(r[2] + logit(rate) - logit(m0)))))
+    return m0, k0, k1, out
+
+
+def test_posteriors_are_those_of_plain_loops(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [("a", "x", float(v)) for v in rng.normal(0.4, 1, 200)] + [("b", "x", float(v)) for v in rng.normal(-0.4, 1, 200)] + [("c", "x", -3.0), ("a", "y", -3.0), (None, None, 0.0)]
+    rows += [(f"h{h}", f"p{h % 3 if i % 2 else 9}", float(rng.normal(h % 4 / 4, 1))) for h in range(20) for i in range(rng.integers(1, 9))]
+    monkeypatch.setattr(quality, "_score", lambda model, text, names: lambda batches: (pa.RecordBatch.from_arrays(
+        [*(b.column(b.schema.get_field_index(n)) for n in names), pa.array([float(t) for t in b.column(b.schema.get_field_index(text)).to_pylist()], pa.float64())], names=[*names, "_logit"]) for b in batches))
+    docs = spark.createDataFrame([(i, str(r[2]), r[0], r[1]) for i, r in enumerate(rows)], "doc_id long, text string, source string, lang string").repartition(3)
+    m0, k0, k1, want = brute_quality(rows)
+    rates = quality.posteriors(spark.createDataFrame(rows, "_host string, _path string, _logit double"))[0].first()
+    assert (rates["m0"], rates["k0"], rates["k1"]) == (pytest.approx(m0), pytest.approx(k0), pytest.approx(k1)) and 1 < k0 < 1e4
+    for keep in (["doc_id"], None):
+        got = {r["doc_id"]: r for r in quality.score_quality(docs, None, keep=keep).collect()}
+        assert len(got) == len(rows) and all(got[i]["_quality"] == pytest.approx(w, abs=1e-9) for i, w in enumerate(want))
+
+
+def test_sites_that_do_not_differ_say_nothing(spark):
+    """Without a site effect the prior has its greatest weight and a lone document keeps its own logit."""
+    rng = np.random.default_rng(5)
+    for per_site in (1, 4):
+        logits = np.where(rng.random(2000) < 0.8, 3.0, -1.5)
+        rows = [(f"s{i // per_site}", "x", float(v)) for i, v in enumerate(logits)]
+        rates = quality.posteriors(spark.createDataFrame(rows, "_host string, _path string, _logit double"))[0].first()
+        assert rates["k0"] > 100 and rates["k1"] == 1e4
+    m0, k0, k1, want = brute_quality(rows[:1] + [("alone", "x", -1.5)] + [(f"t{i}", "x", r[2]) for i, r in enumerate(rows[:500])])
+    assert k0 == 1e4 and np.log(want[1] / (1 - want[1])) == pytest.approx(-1.5, abs=0.05)
+
+
+def test_new_names_must_be_free(spark, odd):
+    """Every operator that adds columns refuses an input that has them."""
+    trees = __import__("keelson.llm.langid", fromlist=["Trees"])
+    model = quality.Classifier(np.zeros(261), np.zeros(260))
+    items = odd.select(F.col("doc_id").alias("item_id"), "text")
+    cases = [(lambda d: quality.score_quality(d, model), "_quality"), (lambda d: decontaminate.find_contamination(d, items), "_items"),
+             (lambda d: toxicity.score_toxicity(d, None), "_score"), (lambda d: html_text.extract_text(d, html="text"), "_blocks"),
+             (lambda d: token_counts.count_tokens(d, queries.tokenizer_file("piece_bpe_32k.model")), "_n_tokens"), (lambda d: trees.identify(d, None), "_lang")]
+    for run, name in cases:
+        with pytest.raises(ValueError, match="reserved"):
+            run(odd.withColumn(name, F.lit(1)))
 
 
 def test_queries_match_their_sql(spark):
