@@ -98,6 +98,17 @@ def normal_draw(seed, *parts) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u)) * F.cos(F.lit(2 * math.pi) * v)
 
 
+def integer_draw(lo: int, hi: int, seed, *parts) -> Column:
+    """Seeded whole number from lo to hi, both included."""
+    return (F.lit(lo) + F.floor(uniform_draw(seed, *parts) * F.lit(hi - lo + 1))).cast("int")
+
+
+def log_uniform_draw(lo: float, hi: float, seed, *parts) -> Column:
+    """Seeded number whose logarithm is uniform between those of lo and hi."""
+    a, b = math.log(lo), math.log(hi)
+    return F.exp(F.lit(a) + uniform_draw(seed, *parts) * F.lit(b - a))
+
+
 def cents(c) -> Column:
     """Whole cents of a price: exact text for hashing."""
     return F.round(col(c) * 100).cast("bigint")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import as_list, seeded_hash
@@ -77,3 +77,21 @@ def pair_sample(df: DataFrame, id_col: str, features: Sequence[str], m: int, see
             pairs.append(F.struct(F.lit(fs[i]).alias("feature_x"), F.lit(fs[j]).alias("feature_y"),
                                   F.col(fs[i]).cast("double").alias("x"), F.col(fs[j]).cast("double").alias("y")))
     return sample.select(id_col, F.explode(F.array(*pairs)).alias("_p")).select(id_col, "_p.*")
+
+
+def tree_rows(df: DataFrame, id_cols: Sequence, trees: int, ratio: float, seed=42) -> DataFrame:
+    """The rows that each of ``trees`` trees is grown on: an exact sample of ``ceil(n·ratio)`` rows of its
+    own (without replacement, seeded), with the tree's number in ``tree``."""
+    every = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    hashed = with_hash(every, seed, ["tree", *id_cols])
+    return mark_smallest(hashed, ["tree"], "_h", lambda n: F.ceil(n * F.lit(ratio)), "_in").where("_in").drop("_h", "_in")
+
+
+def tree_columns(spark: SparkSession, features: Sequence[str], trees: int, ratio: float, seed=42) -> DataFrame:
+    """(tree, features): the columns of each tree, ``floor(m·ratio)`` of the m features but at least one,
+    seeded, in alphabetical order."""
+    names = F.array(*[F.lit(f) for f in features])
+    pairs = spark.range(trees).select(F.col("id").cast("int").alias("tree"), F.explode(names).alias("feature"))
+    ranked = F.array_sort(F.collect_list(F.struct(seeded_hash(seed, "tree", "feature").alias("h"), "feature")))
+    take = max(1, int(len(features) * ratio))
+    return pairs.groupBy("tree").agg(F.array_sort(F.transform(F.slice(ranked, 1, take), lambda e: e["feature"])).alias("features"))

@@ -243,3 +243,14 @@ def scaled_noise(spark, base):
     o = table(spark, base, "orders").select("o_orderkey", "o_totalprice")
     z = attach(o, o.agg(F.stddev_pop("o_totalprice").alias("_s")), [])
     return z.select("o_orderkey", rnd(F.col("o_totalprice") + 0.3 * F.col("_s") * X.normal_draw("noise", "o_orderkey"), 4, "noisy"))
+
+
+@register("FN17", f"""
+SELECT p_partkey, CAST(3 + floor({_u_sql('depth', 'p_partkey')} * 8) AS INT) AS depth, CAST(50 + floor({_u_sql('rounds', 'p_partkey')} * 451) AS INT) AS rounds,
+  round(exp(ln(0.01::DOUBLE) + {_u_sql('eta', 'p_partkey')} * (ln(0.3::DOUBLE) - ln(0.01::DOUBLE))), 9) AS eta
+FROM part""")
+def search_draws(spark, base):
+    """One seeded point of the search space per part: whole numbers of a range, a log-uniform number."""
+    p = table(spark, base, "part").select("p_partkey")
+    return p.select("p_partkey", X.integer_draw(3, 10, "depth", "p_partkey").alias("depth"), X.integer_draw(50, 500, "rounds", "p_partkey").alias("rounds"),
+                    rnd(X.log_uniform_draw(0.01, 0.3, "eta", "p_partkey"), 9, "eta"))

@@ -269,13 +269,16 @@ def keyed_standardize(spark, base):
     return z.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", rnd("l_extendedprice", 9, "z"))
 
 
-@register("FT2", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice, 6) AS l_extendedprice FROM lineitem")
+@register("FT2", f"""
+WITH st AS (SELECT l_suppkey, avg(l_extendedprice) AS m, stddev_pop(l_extendedprice) AS s FROM lineitem GROUP BY l_suppkey)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round((l_extendedprice - m) / {unit_sql('s')}, 9) AS z, round(l_extendedprice, 6) AS l_extendedprice
+FROM lineitem JOIN st USING (l_suppkey)""")
 def inverse_standardize(spark, base):
     li = table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     st = scale.standard_fit(li, ["l_extendedprice"], keys=["l_suppkey"])
-    z = scale.standardize(li, st, ["l_extendedprice"], keys=["l_suppkey"])
+    z = scale.standardize(li, st, ["l_extendedprice"], keys=["l_suppkey"]).withColumn("z", F.col("l_extendedprice"))
     back = scale.unstandardize(z, st, ["l_extendedprice"], keys=["l_suppkey"])
-    return back.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", rnd("l_extendedprice", 6))
+    return back.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", rnd("z", 9), rnd("l_extendedprice", 6))
 
 
 @register("FT3", f"""
@@ -287,12 +290,14 @@ def minmax(spark, base):
     return scale.minmax_scale(ev, st, ["value"], keys=["event_type"]).select("event_id", "event_type", rnd("value", 9))
 
 
-@register("FT4", "SELECT event_id, event_type, round(value, 6) AS value FROM events")
+@register("FT4", f"""
+WITH st AS (SELECT event_type, min(value) AS lo, max(value) AS hi FROM events GROUP BY event_type)
+SELECT event_id, event_type, round((value - lo) / {unit_sql('(hi - lo)')}, 9) AS scaled, round(value, 6) AS value FROM events JOIN st USING (event_type)""")
 def inverse_minmax(spark, base):
     ev = table(spark, base, "events").select("event_id", "event_type", "value")
     st = scale.minmax_fit(ev, ["value"], keys=["event_type"])
-    z = scale.minmax_scale(ev, st, ["value"], keys=["event_type"])
-    return scale.minmax_unscale(z, st, ["value"], keys=["event_type"]).select("event_id", "event_type", rnd("value", 6))
+    z = scale.minmax_scale(ev, st, ["value"], keys=["event_type"]).withColumn("scaled", F.col("value"))
+    return scale.minmax_unscale(z, st, ["value"], keys=["event_type"]).select("event_id", "event_type", rnd("scaled", 9), rnd("value", 6))
 
 
 @register("SRT1", "SELECT p_partkey, row_number() OVER (ORDER BY p_retailprice, p_partkey) - 1 AS position FROM part")
@@ -353,6 +358,21 @@ def k_without_replacement(spark, base):
     return split.k_smallest(o, ["o_orderkey"], k, 1994).select("o_orderkey")
 
 
+@register("SMP5", f"""
+WITH t AS (SELECT CAST(i AS INT) AS tree FROM range(10) r(i)),
+r AS (SELECT tree, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY tree ORDER BY {md5_sql(42, 'tree', 'l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey', cents_sql('l_extendedprice'))}) AS rk, count(*) OVER (PARTITION BY tree) AS n
+  FROM lineitem, t),
+f AS (SELECT tree, feature, row_number() OVER (PARTITION BY tree ORDER BY {md5_sql(42, 'tree', 'feature')}) AS rk FROM t, (VALUES ('l_discount'), ('l_partkey'), ('l_quantity'), ('l_suppkey'), ('l_tax')) v(feature)),
+cols AS (SELECT tree, string_agg(feature, ',' ORDER BY feature) AS features FROM f WHERE rk <= 4 GROUP BY tree)
+SELECT tree, count(*) AS n_rows, CAST(sum(l_orderkey * 7 + l_linenumber) AS BIGINT) AS checksum, features FROM r JOIN cols USING (tree) WHERE rk <= ceil(n * 0.8) GROUP BY tree, features""")
+def tree_samples(spark, base):
+    """Rows (0.8, exact) and columns (0.8) of each of ten trees."""
+    li = table(spark, base, "lineitem").withColumn("_cents", cents("l_extendedprice")).select(*LINE_IDS)
+    rows = split.tree_rows(li, LINE_IDS, 10, 0.8).groupBy("tree").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("l_orderkey") * 7 + F.col("l_linenumber")).cast("long").alias("checksum"))
+    cols = split.tree_columns(spark, ["l_quantity", "l_discount", "l_tax", "l_partkey", "l_suppkey"], 10, 0.8)
+    return rows.join(F.broadcast(cols.select("tree", F.concat_ws(",", "features").alias("features"))), "tree")
+
+
 @register("SMP6", f"""
 WITH s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_tax + 0.0 AS l_tax, l_extendedprice FROM lineitem
            ORDER BY {md5_sql(5, 'l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey', cents_sql('l_extendedprice'))} LIMIT 50)

@@ -96,5 +96,5 @@ def valid_names(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     """The wanted names that are columns, in the wanted order; none of them is an error."""
     found = [c for c in wanted if c in df.columns]
     if not found:
-        raise ValueError("No valid features provided")
+        raise ValueError(f"none of the wanted columns is there: {list(wanted)}")
     return found

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.operators import gram, models, scoring
+from keelson.operators import gram, models, scoring, split
 
 
 def table(spark, rng, n=400):
@@ -132,3 +132,31 @@ def test_a_registered_model_reads_columns_by_name(spark, tmp_path):
         spark.sql("SELECT predict_test(named_struct('a', 1.0)) AS p").collect()
     with pytest.raises(ValueError, match="no fitted model"):
         scoring.register_model(spark, "nothing", scoring.save_linear(gram.fit(df.limit(1), [], ["a"], "y"), ["a"], f"{tmp_path}/n"))
+
+
+def test_fitted_models_beat_the_mean(spark):
+    """Boosting and a forest predict held-out rows clearly better than the label's mean or majority."""
+    df, m = boosted(spark, 20)
+    test = m.transform(models.assemble(df, ["a", "b", "noise"]))
+    mse, var = test.agg(F.avg((F.col("prediction") - F.col("y")) ** 2), F.var_pop("y")).first()
+    assert mse < 0.1 * var
+    hist = models.round_history(m, df, df, ["a", "b", "noise"], "y").orderBy("round").collect()
+    assert len(hist) == 20 and hist[-1].train_rmse < hist[0].train_rmse and hist[-1].test_rmse == pytest.approx(mse ** 0.5)
+    labelled = df.withColumn("label", (F.col("a") > 0.3).cast("double"))
+    train, held = labelled.where("noise < 0.7"), labelled.where("noise >= 0.7")
+    forest = models.random_forest(train, ["a", "b", "noise"], "label", trees=20)
+    right = forest.transform(models.assemble(held, ["a", "b", "noise"])).agg(F.avg((F.col("prediction") == F.col("label")).cast("int")), F.avg("label")).first()
+    assert right[0] > 0.9 > right[1]
+
+
+def test_trees_have_their_shares_of_rows_and_columns(spark):
+    df = spark.range(1003).select("id")
+    got = split.tree_rows(df, ["id"], 6, 0.8).collect()
+    sets = [{r.id for r in got if r.tree == t} for t in range(6)]
+    assert all(len(s) == 803 for s in sets) and len(got) == 6 * 803 and len({frozenset(s) for s in sets}) == 6
+    assert {r.id for r in split.tree_rows(df.repartition(7), ["id"], 6, 0.8).where("tree = 3").collect()} == sets[3]
+    shared = len(sets[0] & sets[1]) / 1003
+    assert 0.6 < shared < 0.68  # independent samples
+    cols = {r.tree: r.features for r in split.tree_columns(spark, list("abcdefghij"), 40, 0.35).collect()}
+    assert len(cols) == 40 and all(len(set(c)) == 3 and c == sorted(c) for c in cols.values()) and len({tuple(c) for c in cols.values()}) > 10
+    assert {len(r.features) for r in split.tree_columns(spark, ["x"], 3, 0.1).collect()} == {1}
