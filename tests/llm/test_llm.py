@@ -746,4 +746,32 @@ def test_pipeline(spark):
     n = docs.count()
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
     assert len({r["doc_id"] for r in out}) == n
+    _, pieces, want = check_packing(out, [r["text"] for r in docs.collect()], queries.tokenizer_file("byte_bpe_50k.json"))
+    assert sorted([i for _, ids in sorted(parts) for i in ids] for parts in pieces.values()) == want
     assert hashlib.sha256(b"").hexdigest() == queries.op3_decontamination(spark, SMALL).where("n_items = 0").first()["items_sha256"]
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd, none, tmp_path):
+    """Nulls, empty texts, repeated rows and ids, further columns, clashing names, empty tables."""
+    import corpus_pipeline
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SMALL}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    rows = {name: sorted(map(tuple, stage(spark, odd, SMALL).select(odd.columns).collect()), key=key) for name, stage in corpus_pipeline.STAGES[:-1]}
+    assert rows["benchmark decontamination"] == sorted(ODD, key=key)
+    by = defaultdict(list)
+    for r in brute_substring([(r[0], r[1]) for r in ODD]):
+        by[r[0]].append(r[3] if r[2] else None)
+    assert len(rows["substring dedup"]) == len(ODD) and all(r[1] in by[r[0]] or None in by[r[0]] for r in rows["substring dedup"])
+    kept = {r[0] for r in rows["MinHash near-dedup"]}
+    assert kept == {r[0] for r in brute_near([(r[0], r[1]) for r in ODD]) if r[3]} and set(rows["quality classifier"]) <= set(ODD)
+    packed = stages["packing"](spark, odd, SMALL).collect()
+    _, _, want = check_packing(packed, [r[1] for r in ODD], queries.tokenizer_file("byte_bpe_50k.json"))
+    assert sum(r["length"] for r in packed) == sum(map(len, want))
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SMALL).count() == 0, name
+    for name, column in (("quality classifier", "_quality"), ("substring dedup", "_kept"), ("benchmark decontamination", "_n_hit")):
+        with pytest.raises(ValueError, match="reserved"):
+            stages[name](spark, odd.withColumn(column, F.lit(1)), SMALL)
+    spark.read.parquet(f"{SMALL}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
