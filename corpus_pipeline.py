@@ -1,5 +1,10 @@
 """From raw documents to packed training sequences: quality filter, near-duplicate removal, substring
-removal, benchmark decontamination, packing.  Each stage is written as Parquet and read again."""
+removal, benchmark decontamination, packing.  Each stage is written as Parquet and read again.
+
+In every stage: a null text is an empty one; rows that share an id are judged by their own texts, but for
+near duplicates, where an id is one node and all its rows stay or go; a row with a null id stays unless its
+own text makes it go; repeated rows count each; an empty table gives an empty one; further columns of
+the documents pass through, but names that begin with an underscore and that a stage needs raise."""
 
 from __future__ import annotations
 
@@ -42,9 +47,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences."""
+    """Pieces of training sequences with their token ids (little-endian 32-bit) and the ids' checksum."""
     pieces = packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pieces.select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [("quality classifier", quality_filter), ("MinHash near-dedup", near_dedup), ("substring dedup", substring_removal),
