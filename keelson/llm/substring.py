@@ -1,24 +1,25 @@
-"""Substring deduplication by exact lookup of word windows in a partitioned reference.
+"""Substring deduplication by relative Lempel-Ziv parsing against a partitioned reference.
 
-This is not a relative Lempel-Ziv parse: no reference position is kept and no match is extended in a
-reference document.  A "factor" below is a run of words covered by known windows, which may come
-from different documents.  The contract asks for just these words, and lookup sends each window to
-one block, where a parse needs every document beside every block.
-
-The reference is the corpus itself, cut into blocks by window hash: block b indexes every run of
-``k`` consecutive words whose hash falls into its range, with the smallest document id that has it.
-A document is factored against *every* block, but none is scanned needlessly: each of its windows
-is sent to the one block that could hold it.
+The reference is the corpus itself.  Its index is cut into blocks by window hash: block b knows every run
+of ``k`` consecutive words whose hash falls into its range, and where it occurs first (smallest document
+id, then smallest position, among the entries it gets).  A document is factored against *every* block, but none is scanned
+needlessly: each of its windows is sent to the one block that could hold it.
 
 1. Map side, per slice of a task's input: windows are hashed (64 bit).  Inside the slice only the
-   smallest document keeps a window; for the others the window is already known to repeat.  So a
+   smallest document keeps a window; for the others that document is the reference already.  So a
    passage that a third of all documents share costs one entry per slice, not one per document.
    Entries leave as packed blobs, one per (slice, block).
-2. Block: sorts its windows, finds each one's smallest document, and answers every other sender, with
-   one packed blob for each partition of documents.
-3. Each document takes the union of its known windows: from a word whose window is known, the factor
-   runs on while the next windows that overlap or touch it are known too.  Factors have at least
-   ``k`` words; their words are removed.
+2. Block: sorts its windows, finds each one's first occurrence, and answers every other sender with the
+   reference document and position, in one packed blob for each partition of documents.
+3. Each document is parsed from left to right: from a word whose window has an earlier occurrence, the
+   factor is extended word by word as long as the reference goes on at the next position.  Where it
+   ends, the windows across its boundary are checked: if one of them has an earlier occurrence
+   elsewhere, the next factor starts with it and overlaps the last one, else at the next such word.
+   Factors have at least ``k`` words; those that overlap or touch make one span, whose words go.
+
+A window has one reference position, not all of its occurrences, so a factor may end where a longer one
+in a later copy would go on; the check at the boundary then goes on in the other reference, and the
+spans are the same.  Hashes stand for the words of a window; the words are not compared again.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.llm.common import partitions_for
+from keelson.llm.common import join_small, partitions_for
 from keelson.llm.words import SPACES, Words, slices
 from keelson.session import ship
 
@@ -55,38 +56,83 @@ def home_column(doc_id, homes: int):
 
 
 def _narrow(values: np.ndarray) -> bytes:
-    """Non-negative integers in the fewest bytes each, after a byte that tells how many."""
+    """Unsigned integers in the fewest bytes each, after a byte that tells how many; all first bytes, then
+    all second ones, and so on, since the higher ones are mostly equal and pack well."""
+    values = values.astype("<i8").view("<u8")
     width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(values) or int(values.max()) < 1 << (8 * w))
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+    return bytes([width]) + values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def _widen(blob, at: int, n: int) -> tuple[np.ndarray, int]:
     width = blob[at]
-    return np.frombuffer(blob, f"<u{width}", n, at + 1).astype(np.int64), at + 1 + n * width
+    full = np.zeros((n, 8), np.uint8)
+    full[:, :width] = np.frombuffer(blob, np.uint8, n * width, at + 1).reshape(width, n).T
+    return full.view("<i8").ravel(), at + 1 + n * width
+
+
+def _steps(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Differences inside each group; a group's first value stays."""
+    out = np.diff(values, prepend=0)
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    out[first] = values[first]
+    return out
+
 
+def _sums(steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The values of ``_steps``."""
+    total = np.cumsum(steps)
+    some = sizes[sizes > 0]
+    first = np.cumsum(some) - some
+    return total - np.repeat(total[first] - steps[first], some)
 
-def _pack(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, width: int = 7) -> bytes:
+
+def _pack_ids(ids: np.ndarray, sizes: np.ndarray) -> bytes:
     """ids ascend: they are kept as the first one and the steps."""
-    head = np.array([len(ids), ids[0]], "<i8").tobytes()
-    return head + _narrow(np.diff(ids, prepend=ids[0])) + _narrow(sizes) + hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    return np.array([len(ids), ids[0]], "<i8").tobytes() + _narrow(np.diff(ids, prepend=ids[0])) + _narrow(sizes)
 
 
-def _unpack(blob, block: int, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document ids, entries of each, hashes).  A block >= 0 spans at most 2**56 hashes, so a
-    hash's top byte is that of the block's start or one more; other blobs have whole hashes."""
-    blob = memoryview(blob)
+def _unpack_ids(blob) -> tuple[np.ndarray, np.ndarray, int]:
     n, start = np.frombuffer(blob, "<i8", 2).tolist()
     steps, at = _widen(blob, 16, n)
     sizes, at = _widen(blob, at, n)
-    ids = start + np.cumsum(steps)
-    if block < 0:
-        return ids, sizes, np.frombuffer(blob, "<u8", -1, at)
+    return start + np.cumsum(steps), sizes, at
+
+
+def _pack(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, place: np.ndarray) -> bytes:
+    """Windows of one block: documents, number of windows of each, places (ascending in a document), hashes."""
+    return _pack_ids(ids, sizes) + _narrow(_steps(place, sizes)) + hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def _unpack(blob, block: int, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document ids, windows of each, hashes, places).  A block spans at most 2**56 hashes, so a
+    hash's top byte is that of the block's start or one more."""
+    blob = memoryview(blob)
+    ids, sizes, at = _unpack_ids(blob)
+    steps, at = _widen(blob, at, int(sizes.sum()))
     low = np.frombuffer(blob, np.uint8, -1, at).reshape(-1, 7)
     full = np.zeros((len(low), 8), np.uint8)
     full[:, :7] = low
     full[:, 7] = (block << 64) // blocks >> 56
     h = full.view("<u8").ravel()
-    return ids, sizes, np.where(block_of(h, blocks) == block, h, h + np.uint64(1 << 56))
+    return ids, sizes, np.where(block_of(h, blocks) == block, h, h + np.uint64(1 << 56)), _sums(steps, sizes)
+
+
+def _pack_known(doc: np.ndarray, place: np.ndarray, source: np.ndarray, source_place: np.ndarray) -> bytes:
+    """Windows with an earlier occurrence, ordered by (document, place)."""
+    cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    sizes = np.diff(np.r_[cut, len(doc)])
+    least = source.min()
+    return _pack_ids(doc[cut], sizes) + least.astype("<i8").tobytes() + _narrow(_steps(place, sizes)) + _narrow(source - least) + _narrow(source_place)
+
+
+def _unpack_known(blob) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, place, source document, source place) of each window."""
+    blob = memoryview(blob)
+    ids, sizes, at = _unpack_ids(blob)
+    n, least = int(sizes.sum()), np.frombuffer(blob, "<i8", 1, at)[0]
+    steps, at = _widen(blob, at + 8, n)
+    source, at = _widen(blob, at, n)
+    return np.repeat(ids, sizes), _sums(steps, sizes), source + least, _widen(blob, at, n)[0]
 
 
 def _send(k: int, blocks: int):
@@ -101,105 +147,124 @@ def _send(k: int, blocks: int):
                 has_id = ~ids.is_null().to_numpy(zero_copy_only=False)
                 row = words.rows()[at]
                 keep = has_id[row]
-                h, row = h[keep], row[keep]
+                at, h, row = at[keep], h[keep], row[keep]
                 if not len(h):
                     continue
                 doc = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)[row]
-                order = np.lexsort((doc, h))
-                h, doc = h[order], doc[order]
+                turn = part.column("turn").to_numpy(zero_copy_only=False)[row]
+                place = turn + at - words.first[row]
+                order = np.lexsort((turn, doc, h) if turn.any() else (doc, h))
+                h, doc, turn, place = h[order], doc[order], turn[order], place[order]
                 new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                h, doc = h[new], doc[new]
-                lead = np.ones(len(h), bool)
-                lead[1:] = h[1:] != h[:-1]
+                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (turn[1:] != turn[:-1])
+                h, doc, place = h[new], doc[new], place[new]
+                start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+                size = np.diff(np.r_[start, len(h)])
+                source, source_place = np.repeat(doc[start], size), np.repeat(place[start], size)
+                lead = doc == source
                 out_block, out_blob = [], []
-                rest = np.argsort(doc[~lead], kind="stable")
+                rest = np.flatnonzero(~lead)
                 if len(rest):  # repeats inside the slice: passed on as they are, spread over the blocks
-                    d, x = doc[~lead][rest], h[~lead][rest]
-                    cut = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-                    sizes = np.diff(np.r_[cut, len(d)])
-                    out_block.append(-1 - int(d[0]) % blocks)
-                    out_blob.append(_pack(d[cut], sizes, x, 8))
-                h, doc = h[lead], doc[lead]
+                    rest = rest[np.lexsort((place[rest], doc[rest]))]
+                    out_block.append(-1 - int(doc[rest[0]]) % blocks)
+                    out_blob.append(_pack_known(doc[rest], place[rest], source[rest], source_place[rest]))
+                h, doc, place = h[lead], doc[lead], place[lead]
                 b = block_of(h, blocks)
-                order = np.lexsort((doc, b))
-                h, doc, b = h[order], doc[order], b[order]
+                order = np.lexsort((place, doc, b))
+                h, doc, place, b = h[order], doc[order], place[order], b[order]
                 cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (b[1:] != b[:-1])])
                 sizes = np.diff(np.r_[cut, len(h)])
                 edge = np.flatnonzero(np.r_[True, b[cut][1:] != b[cut][:-1], True])
                 for i, j in zip(edge[:-1], edge[1:]):
                     lo, hi = cut[i], cut[j] if j < len(cut) else len(h)
                     out_block.append(int(b[lo]))
-                    out_blob.append(_pack(doc[cut[i:j]], sizes[i:j], h[lo:hi]))
+                    out_blob.append(_pack(doc[cut[i:j]], sizes[i:j], h[lo:hi], place[lo:hi]))
                 yield pa.RecordBatch.from_arrays([pa.array(out_block, pa.int32()), pa.array(out_blob, pa.binary())], names=["block", "blob"])
 
     return run
 
 
-def _answers(doc: np.ndarray, h: np.ndarray, homes: int) -> pa.RecordBatch:
-    """One blob per home: its documents with their known windows' hashes."""
-    home = home_of(doc, homes)
-    order = np.lexsort((doc, home))
-    doc, h, home = doc[order], h[order], home[order]
-    cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (home[1:] != home[:-1])])
-    sizes = np.diff(np.r_[cut, len(doc)])
-    edge = np.flatnonzero(np.r_[True, home[cut][1:] != home[cut][:-1], True])
-    blobs = [_pack(doc[cut[i:j]], sizes[i:j], h[cut[i]:cut[j] if j < len(cut) else len(h)], 8) for i, j in zip(edge[:-1], edge[1:])]
-    return pa.RecordBatch.from_arrays([pa.array(home[cut][edge[:-1]], pa.int32()), pa.array(blobs, pa.binary())], names=["home", "blob"])
+def _answers(known: list[np.ndarray], homes: int) -> pa.RecordBatch:
+    """One blob per home: its documents' windows with their reference positions."""
+    home = home_of(known[0], homes)
+    order = np.lexsort((known[1], known[0], home))
+    known, home = [x[order] for x in known], home[order]
+    edge = np.flatnonzero(np.r_[True, home[1:] != home[:-1], True])
+    blobs = [_pack_known(*[x[i:j] for x in known]) for i, j in zip(edge[:-1], edge[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(home[edge[:-1]], pa.int32()), pa.array(blobs, pa.binary())], names=["home", "blob"])
 
 
 def _index(blocks: int, homes: int):
     """One task: the blobs of its blocks -> for each home the windows that an earlier document has."""
 
     def run(batches):
-        docs, hashes, known = [], [], []
+        parts, known = [], []
         for batch in batches:
             for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids, sizes, h = _unpack(blob.as_buffer(), block, blocks)
                 if block < 0:  # a slice's own repeats
-                    known.append((np.repeat(ids, sizes), h))
+                    known.append(_unpack_known(blob.as_buffer()))
                     continue
-                docs.append(np.repeat(ids, sizes))
-                hashes.append(h)
-        if docs:
-            doc, h = np.concatenate(docs), np.concatenate(hashes)
-            docs.clear()
-            hashes.clear()
+                ids, sizes, h, place = _unpack(blob.as_buffer(), block, blocks)
+                parts.append((np.repeat(ids, sizes), h, place))
+        if parts:
+            doc, h, place = (np.concatenate(x) for x in zip(*parts))
+            parts.clear()
             order = np.argsort(h, kind="stable")
-            doc, h = doc[order], h[order]
+            doc, h, place = doc[order], h[order], place[order]
             start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            late = doc > np.repeat(np.minimum.reduceat(doc, start), np.diff(np.r_[start, len(h)]))
-            known.append((doc[late], h[late]))
-        doc, h = (np.concatenate(x) for x in zip(*known)) if known else (np.zeros(0, np.int64),) * 2
-        if len(doc):
-            yield _answers(doc, h, homes)
+            size = np.diff(np.r_[start, len(h)])
+            source = np.repeat(np.minimum.reduceat(doc, start), size)
+            late = doc > source
+            first = np.repeat(np.minimum.reduceat(np.where(late, np.iinfo(np.int64).max, place), start), size)
+            known.append((doc[late], place[late], source[late], first[late]))
+        known = [np.concatenate(x) for x in zip(*known)]
+        if known and len(known[0]):
+            yield _answers(known, homes)
 
     return run
 
 
-def factors(known: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of one document that known windows cover: ``known[i]`` tells whether the window at word i is in the
-    reference.  Returns first word and number of words of each maximal run; windows that
-    overlap or touch are merged into one run, whichever documents they are known from."""
-    cover = np.zeros(len(known) + k, dtype=np.int64)
-    at = np.flatnonzero(known)
-    np.add.at(cover, at, 1)
-    np.add.at(cover, at + k, -1)
-    inside = np.r_[False, np.cumsum(cover) > 0, False]
-    edge = np.flatnonzero(inside[1:] != inside[:-1])
-    return edge[::2], edge[1::2] - edge[::2]
+def factors(at: np.ndarray, source: np.ndarray, source_place: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The parse of one document.  ``at`` ascends: words whose window has an earlier occurrence, at
+    ``source_place`` in the document ``source``.  Returns the number in ``at`` of each factor's first window, and its
+    number of words: a factor goes on while the next word's window follows in the reference, and
+    the first known window behind its last one starts the next, whether across its boundary or beyond."""
+    goes_on = (np.diff(at) == 1) & (source[1:] == source[:-1]) & (np.diff(source_place) == 1)
+    first = np.flatnonzero(np.r_[True, ~goes_on])[:len(at)]
+    last = np.r_[first[1:], len(at)][:len(first)] - 1
+    return first, at[last] - at[first] + k
+
+
+def spans(start: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Factors, by ascending start, that overlap or touch become one: first word and number of words."""
+    reach = np.maximum.accumulate(start + words)
+    first = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])[:len(start)]
+    last = np.r_[first[1:], len(start)][:len(first)] - 1
+    return start[first], reach[last] - start[first]
+
+
+FACTOR = pa.struct([("start", pa.int32()), ("words", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())])
+SPAN = pa.struct([("start", pa.int32()), ("words", pa.int32())])
+
+
+def _lists(rows: list, fields: pa.StructType) -> pa.Array:
+    """One list of structs a row, from tuples of arrays (None: empty)."""
+    offsets = np.cumsum([0] + [0 if r is None else len(r[0]) for r in rows])
+    some = [r for r in rows if r is not None]
+    columns = [np.concatenate([r[i] for r in some]) if some else np.zeros(0, np.int64) for i in range(fields.num_fields)]
+    values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], fields=list(fields))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
 def _parse(k: int, doc_id: str, text: str, names: list[str]):
-    """A home's blobs, then its rows -> rows with kept text, word counts and removed spans."""
-    span = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32())]))
+    """A home's blobs, then its rows -> rows with kept text, word counts, removed spans and factors."""
 
     def run(batches):
         blobs, known = [], None
         for batch in batches:
             blob = batch.column(batch.schema.get_field_index("_blob"))
             n_blobs = len(blob) - blob.null_count  # blobs are sorted before rows
-            blobs += [_unpack(b.as_buffer(), -1, 0) for b in blob.slice(0, n_blobs)]
+            blobs += [_unpack_known(b.as_buffer()) for b in blob.slice(0, n_blobs)]
             if n_blobs == batch.num_rows:
                 continue
             if known is None:
@@ -209,9 +274,10 @@ def _parse(k: int, doc_id: str, text: str, names: list[str]):
                 yield _cut(part, known)
 
     def _cut(part, known):
-        ids, bound, hashes = known
+        ids, bound, place, source, source_place = known
         texts = part.column(part.schema.get_field_index(text))
         mine = part.column(part.schema.get_field_index(doc_id))
+        turn = part.column(part.schema.get_field_index("_turn")).to_numpy(zero_copy_only=False)
         has_id = ~mine.is_null().to_numpy(zero_copy_only=False)
         mine = mine.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
         slot = np.searchsorted(ids, mine)
@@ -221,69 +287,92 @@ def _parse(k: int, doc_id: str, text: str, names: list[str]):
         counts = words.counts()
         at, h = words.windows(k) if found.any() else (np.zeros(0, np.int64), None)
         lo, hi = np.searchsorted(at, words.first[:-1]), np.searchsorted(at, words.first[1:])
-        kept, removed, spans = [], np.zeros(len(counts), np.int64), []
+        kept, removed, gone, parsed = [], np.zeros(len(counts), np.int64), [], []
         for r, t in enumerate(texts.to_pylist()):
             pieces = (t or "").encode().split()
-            gone = []
+            gone.append(None)
+            parsed.append(None)
             if found[r]:
-                flags = np.isin(h[lo[r]:hi[r]], hashes[bound[slot[r]]:bound[slot[r] + 1]])
-                starts, sizes = factors(flags, k)
-                gone = [{"start": s, "words": n} for s, n in zip(starts.tolist(), sizes.tolist())]
-                for g in reversed(gone):
-                    del pieces[g["start"]:g["start"] + g["words"]]
-                removed[r] = int(sizes.sum())
-            spans.append(gone)
+                here = slice(*(bound[slot[r]] + np.searchsorted(place[bound[slot[r]]:bound[slot[r] + 1]], [turn[r], turn[r] + hi[r] - lo[r]])))
+                mine_h = h[lo[r]:hi[r]]
+                # A window that occurs again in the document was sent once: its hash finds the others.
+                has, one = np.unique(mine_h[place[here] - turn[r]], return_index=True)
+                hit = np.minimum(np.searchsorted(has, mine_h), len(has) - 1) if len(has) else np.zeros(0, np.int64)
+                where = np.flatnonzero(has[hit] == mine_h) if len(has) else hit
+                if len(where):
+                    entry = here.start + one[hit[where]]
+                    first, size = factors(where, source[entry], source_place[entry], k)
+                    parsed[-1] = (where[first], size, source[entry][first], source_place[entry][first] & 0xFFFFFFFF)
+                    gone[-1] = spans(where[first], size)
+                    for start, n in zip(*[x.tolist()[::-1] for x in gone[-1]]):
+                        del pieces[start:start + n]
+                    removed[r] = int(gone[-1][1].sum())
             kept.append(b" ".join(pieces).decode())
         cols = [part.column(part.schema.get_field_index(n)) for n in names]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(kept, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span)],
-                                          names=[*names, "_kept", "_n_words", "_n_removed", "_spans"])
+        return pa.RecordBatch.from_arrays([*cols, pa.array(kept, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), _lists(gone, SPAN), _lists(parsed, FACTOR)],
+                                          names=[*names, "_kept", "_n_words", "_n_removed", "_spans", "_factors"])
 
     return run
 
 
-def _by_document(blobs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ascending document ids, bounds, hashes) of all blobs."""
+def _by_document(blobs: list) -> tuple[np.ndarray, ...]:
+    """(ascending document ids, bounds, places, sources, source places) of all blobs."""
     if not blobs:
-        return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint64)
-    doc, h = np.concatenate([np.repeat(i, s) for i, s, _ in blobs]), np.concatenate([x for _, _, x in blobs])
-    order = np.argsort(doc, kind="stable")
+        return np.zeros(0, np.int64), np.zeros(1, np.int64), *[np.zeros(0, np.int64)] * 3
+    doc, place, source, source_place = (np.concatenate(x) for x in zip(*blobs))
+    order = np.lexsort((place, doc))
     ids, first = np.unique(doc[order], return_index=True)
-    return ids, np.r_[first, len(doc)], h[order]
+    return ids, np.r_[first, len(doc)], place[order], source[order], source_place[order]
 
 
 def known_windows(docs: DataFrame, homes: int, k: int = WINDOW) -> DataFrame:
-    """(home, blob): hashes of the windows of each document that start in an earlier one too."""
+    """(home, blob): the windows of each document (doc_id, text, turn) that start in an earlier one too, with their
+    place (turn + word number) and the first occurrence's document and place."""
     # Blocks are at least 256, so that 7 of a hash's 8 bytes tell it; each partition takes a run of them.
     per = max(homes, 256)
-    blobs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_send(k, per), BLOB)
+    blobs = docs.mapInArrow(_send(k, per), BLOB)
     to = F.floor(F.when(F.col("block") < 0, -1 - F.col("block")).otherwise(F.col("block")) * F.lit(homes) / F.lit(per)).cast("int")
     return blobs.repartitionById(homes, to).mapInArrow(_index(per, homes), ANSWER)
 
 
+def _with_turn(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Adds ``_turn``: 0 for an id that occurs once; rows that share an id get places of their own by 31 bits of their text's
+    hash (equal texts the same)."""
+    many = docs.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id)).agg(F.count(F.lit(1)).alias("_turn")).where("_turn > 1")
+    own = F.shiftleft(F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)), 32)
+    return join_small(docs, many, [doc_id], 16, "left").withColumn("_turn", F.when(F.col("_turn").isNull(), F.lit(0).cast("long")).otherwise(own))
+
+
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = WINDOW) -> DataFrame:
     """Remove every word covered by a ``k``-word window that also starts in a document with a
     smaller id (judged on the input).
 
     Returns all columns of ``docs`` plus ``_kept`` (kept words joined by one space), ``_n_words``,
-    ``_n_removed`` and ``_spans`` (first word and number of words of each removed span).  Null or
-    empty text: no words, ``_kept`` empty.  A null id is neither a reference nor cut.  Rows that
-    share an id are one document as reference and are each cut by smaller ids only.  An empty table
-    gives no rows.  The new columns' names must be free (it raises).
+    ``_n_removed``, ``_spans`` (first word and number of words of each removed span) and ``_factors`` (first word,
+    number of words, document and first word of the reference).  Null or empty text: no words, ``_kept`` empty.  A
+    null id is neither a reference nor cut.  Rows that share an id are one document as reference and are each
+    cut by smaller ids only.  An empty table gives no rows.  The new columns' names must be free (it raises).
 
     The shuffle of the documents and of the answers is one: a partition first reads its answers, then
     streams its documents.
     """
-    clash = {"_home", "_blob", "_kept", "_n_words", "_n_removed", "_spans"} & set(docs.columns)
+    clash = {"_home", "_blob", "_turn", "_kept", "_n_words", "_n_removed", "_spans", "_factors"} & set(docs.columns)
     if clash:
         raise ValueError(f"reserved column names in the input: {sorted(clash)}")
     ship(docs.sparkSession)
     homes = partitions_for(docs) | 1  # odd, so that ids in steps of a power of two spread
-    known = known_windows(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), homes, k)
+    names = docs.columns
+    docs = _with_turn(docs, doc_id, text)
+    known = known_windows(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col("_turn").alias("turn")), homes, k)
     # Null ids have no answers; their texts spread them.
     home = home_column(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)), homes)
-    rows = docs.select("*", home.alias("_home"), F.lit(None).cast("binary").alias("_blob"))
-    answers = known.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields], F.col("home").alias("_home"), F.col("blob").alias("_blob"))
+    rows = docs.select(*names, "_turn", home.alias("_home"), F.lit(None).cast("binary").alias("_blob"))
+    fields = [docs.schema[n] for n in names]
+    answers = known.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields], F.lit(None).cast("long").alias("_turn"), F.col("home").alias("_home"), F.col("blob").alias("_blob"))
     together = rows.unionAll(answers).repartitionById(homes, "_home").sortWithinPartitions(F.col("_blob").isNull())
-    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in docs.schema.fields], T.StructField("_kept", T.StringType()), T.StructField("_n_words", T.LongType()),
-                           T.StructField("_n_removed", T.LongType()), T.StructField("_spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("words", T.IntegerType())])))])
-    return together.drop("_home").mapInArrow(_parse(k, doc_id, text, docs.columns), schema)
+    whole = {n: T.IntegerType() for n in ("start", "words")}
+    parsed = {**whole, "source": T.LongType(), "source_start": T.IntegerType()}
+    lists = {n: T.ArrayType(T.StructType([T.StructField(*f) for f in t.items()])) for n, t in (("_spans", whole), ("_factors", parsed))}
+    new = {"_kept": T.StringType(), "_n_words": T.LongType(), "_n_removed": T.LongType(), **lists}
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField(*f) for f in new.items()])
+    return together.drop("_home").mapInArrow(_parse(k, doc_id, text, names), schema)

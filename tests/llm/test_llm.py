@@ -105,6 +105,55 @@ def test_substring_against_brute_force(spark):
     assert all(sum(s["words"] for s in r["_spans"]) == r["_n_removed"] and all(s["words"] >= 13 for s in r["_spans"]) for r in span)
 
 
+def test_factors_name_the_words_of_their_reference(spark):
+    rng = np.random.default_rng(8)
+    source = [f"w{i}" for i in rng.integers(0, 400, 900).tolist()]
+    rows = []
+    for d in range(120):
+        parts = []
+        for _ in range(rng.integers(0, 5)):
+            lo, n = rng.integers(0, 880), rng.integers(5, 60)
+            parts += source[lo:lo + n] + [f"own{d}" for _ in range(rng.integers(0, 3))]
+        rows.append((d, " ".join(parts + parts[:rng.integers(0, 40)])))
+    docs = dict(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = substring.substring_dedup(df).collect()
+    same([(r["doc_id"], r["_n_words"], r["_n_removed"], r["_kept"]) for r in got], brute_substring(rows))
+    seen = 0
+    for r in got:
+        mine, covered, before = words(docs[r["doc_id"]]), set(), -1
+        for f in r["_factors"]:
+            assert f["source"] < r["doc_id"] and f["words"] >= 13 and f["start"] > before
+            assert words(docs[f["source"]])[f["source_start"]:f["source_start"] + f["words"]] == mine[f["start"]:f["start"] + f["words"]]
+            covered.update(range(f["start"], f["start"] + f["words"]))
+            before, seen = f["start"], seen + (f["words"] > 13)
+        assert covered == {i for s in r["_spans"] for i in range(s["start"], s["start"] + s["words"])}
+    assert seen > 50
+
+
+def test_substring_of_ids_with_several_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, a), (1, b), (1, a), (2, b + " x " + a), (2, a), (2, "y " + b), (2, "y " + b), (3, a[20:] + " " + b), (-2 ** 63, "z " + b), (2 ** 63 - 1, "q " + a), (None, a)]
+    for parts in (1, 6):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = substring.substring_dedup(df)
+        same(got.select("doc_id", "_n_words", "_n_removed", "_kept").collect(), brute_substring(rows))
+        assert all(f["source"] < r["doc_id"] for r in got.where("doc_id is not null").collect() for f in r["_factors"])
+
+
+def test_parse_by_hand():
+    """Reference A at 5.. for three windows, then another one across the boundary, then one beyond it that touches."""
+    at = np.array([2, 3, 4, 6, 20, 40])
+    first, size = substring.factors(at, np.array([1, 1, 1, 1, 0, 0]), np.array([5, 6, 7, 9, 0, 20]), 13)
+    assert at[first].tolist() == [2, 6, 20, 40] and size.tolist() == [15, 13, 13, 13]
+    start, n = substring.spans(np.array([2, 6, 19, 40]), size)
+    assert start.tolist() == [2, 40] and n.tolist() == [30, 13]
+    assert [x.tolist() for x in substring.spans(np.zeros(0, int), np.zeros(0, int))] == [[], []]
+    # A jump in the reference ends a factor though the document goes on.
+    first, size = substring.factors(np.array([0, 1, 2]), np.array([4, 4, 4]), np.array([7, 8, 30]), 13)
+    assert first.tolist() == [0, 2] and size.tolist() == [14, 13]
+
+
 def test_blob_round_trip():
     rng = np.random.default_rng(1)
     for blocks in (256, 300, 70_001):
@@ -112,9 +161,12 @@ def test_blob_round_trip():
         b = substring.block_of(h, blocks)
         for block in np.unique(b)[:20]:
             mine = h[b == block]
-            ids, sizes = np.array([-5, 7, 10 ** 15]), np.array([len(mine), 0, 0])
-            i, s, back = substring._unpack(substring._pack(ids, sizes, mine), int(block), blocks)
-            assert (back == mine).all() and (i == ids).all() and (s == sizes).all()
+            place = np.sort(rng.integers(0, 2 ** 40, len(mine)))
+            ids, sizes = np.array([-5, 7, 10 ** 15]), np.array([len(mine) - 1, 0, 1])
+            i, s, back, at = substring._unpack(substring._pack(ids, sizes, mine, place), int(block), blocks)
+            assert (back == mine).all() and (i == ids).all() and (s == sizes).all() and (at == place).all()
+    known = [np.array(x) for x in ([-2 ** 63, -2 ** 63, 4, 2 ** 63 - 1], [0, 70_000, 3, 9], [-2 ** 63, 2 ** 63 - 1, 0, 3], [1, 2 ** 62, 0, 5])]
+    assert all((x == y).all() for x, y in zip(known, substring._unpack_known(substring._pack_known(*known))))
 
 
 def test_home_is_the_same_in_spark_and_numpy(spark):
