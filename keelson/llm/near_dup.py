@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import join_small, persisted
+from keelson.llm.common import join_hot, join_small, persisted
 from keelson.llm.components import components
 from keelson.llm.words import SPACES, Words, mix, slices
 from keelson.session import ship
@@ -194,7 +194,9 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     usable = feats.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     key = ["n_shingles", "s1", "s2"]
     classes = persisted(usable.groupBy(*key).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies")))
-    member = persisted(usable.select("doc_id", *key).join(classes.where("copies > 1"), key).select("doc_id", *key, "class_id").distinct())
+    repeated = classes.where("copies > 1")
+    member = join_hot(usable.select("doc_id", *key), repeated, key, "copies", "class_id", "doc_id").where(F.col("class_id").isNotNull())
+    member = persisted(member.select("doc_id", *key, "class_id").distinct())
     moved = member.where("doc_id != class_id")
     reps = usable.join(moved, ["doc_id", *key], "left_anti")
     reps = persisted(reps.select(F.col("doc_id").alias("id"), "n_shingles", "bands", *words))
@@ -231,6 +233,8 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     out = (feats.select("doc_id", "n_shingles").join(member.groupBy("doc_id").agg(F.min("class_id").alias("class_id")), "doc_id", "left")
            .withColumn("class_id", F.coalesce("class_id", "doc_id")))
-    out = out.join(so_far.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
+    copies = repeated.groupBy("class_id").agg(F.sum("copies").alias("copies"))
+    linked = persisted(so_far.select(F.col("id").alias("class_id"), "component").join(copies, "class_id", "left").fillna(1, ["copies"]))
+    out = join_hot(out, linked, ["class_id"], "copies", "component", "doc_id")
     out = out.withColumn("component_id", F.coalesce("component", "class_id"))
     return out.select("doc_id", "n_shingles", "class_id", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.llm import decontaminate, embedding_dup, html_text, near_dup, packing, quality, queries, sharding, substring, token_counts, toxicity
+from keelson.llm import common, decontaminate, embedding_dup, html_text, near_dup, packing, quality, queries, sharding, substring, token_counts, toxicity
 from keelson.llm.components import components
 from keelson.llm.words import SPACES, Words, slices
 
@@ -278,6 +278,25 @@ def brute_near(rows, k=4):
     return [(d, len(s), comp.get(d), comp.get(d) == d if d is not None else True) for d in sets for s in sets[d]]
 
 
+def test_join_with_hot_groups(spark, monkeypatch):
+    """Hot groups (700 of 1,000 rows), others, rows without a group and null keys; no partition gets a hot group."""
+    monkeypatch.setattr(common, "HOT", 10)
+    keys = [0] * 700 + [1 + i % 60 for i in range(280)] + [None] * 5 + [999] * 15
+    df = spark.createDataFrame(list(enumerate(keys)), "id long, k long")
+    groups = df.where("k < 999").groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.col("k") * 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = common.join_hot(df, groups, ["k"], "n", "v", "id")
+        assert got.columns == ["k", "id", "v"]
+        rows = got.withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    same([(r["id"], r["k"], r["v"]) for r in rows], [(i, k, None if k is None or k == 999 else k * 10) for i, k in enumerate(keys)])
+    assert max(sum(r["p"] == p and r["k"] == 0 for r in rows) for p in {r["p"] for r in rows}) < 350
+
+
 def test_near_dup_edge_cases(odd, none):
     same(near_dup.link_documents(odd).select("doc_id", "n_shingles", "component_id", "kept").collect(), brute_near([r[:2] for r in ODD]))
     assert near_dup.link_documents(none).count() == 0
