@@ -76,6 +76,47 @@ def test_small_keys_train_in_one_job(spark, monkeypatch):
     assert w.count() == 20 and hist.count() == 600
 
 
+def plain_adam(x, y, xv, yv, w, epochs, lr, patience):
+    m, v, best, losses, bad = np.zeros_like(w), np.zeros_like(w), (np.inf, w), [], 0
+    for t in range(1, epochs + 1):
+        g, loss = models._grad(models.unflatten_net(w, x.shape[1]), x, y)
+        m, v = 0.9 * m + 0.1 * models.flatten_net(g) / len(x), 0.999 * v + 0.001 * (models.flatten_net(g) / len(x)) ** 2
+        w = w - lr * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        held = float(np.mean((models._forward(models.unflatten_net(w, x.shape[1]), xv)[-1][:, 0] - yv) ** 2))
+        losses.append((loss / len(x), held))
+        best, bad = ((held, w), 0) if held < best[0] else (best, bad + 1)
+        if bad >= patience:
+            break
+    return best[1], losses
+
+
+@pytest.mark.parametrize("columns", [1, 7, 40, 2048])
+def test_a_net_trains_in_blocks_as_over_all_rows(monkeypatch, columns):
+    monkeypatch.setattr(models, "BLOCK_COLUMNS", columns)
+    rng = np.random.default_rng(8)
+    x, xv = rng.normal(size=(40, 3)), rng.normal(size=(13, 3))
+    y, yv = np.sin(x[:, 0]) + x[:, 1] * x[:, 2], rng.normal(size=13)
+    w0 = models.flatten_net(models.init_net(3))
+    want, losses = plain_adam(x, y, xv, yv, w0, 60, 0.02, 9)
+    w, train, held = models.train_net(x, y, xv, yv, w0, 60, 0.02, 9)
+    assert len(losses) < 60 and np.allclose(list(zip(train, held)), losses, rtol=1e-9) and np.allclose(w, want, atol=1e-9)
+    assert np.allclose(w0, models.flatten_net(models.init_net(3)))
+    w, train, held = models.train_net(x, y, xv[:0], yv[:0], w0, 5, 0.02, 2)  # without held-out rows every epoch is better
+    assert len(train) == 5 and np.isnan(held).all() and np.allclose(train, [a for a, _ in losses[:5]], rtol=1e-9)
+    assert models.train_net(x, y, xv, yv, w0, 5, 0.02, None)[2] == [None] * 5
+
+
+def test_activations_of_a_key_do_not_grow_with_its_rows():
+    import tracemalloc
+    rng = np.random.default_rng(9)
+    x, y, w0 = rng.normal(size=(40_000, 2)), rng.normal(size=40_000), models.flatten_net(models.init_net(2))
+    tracemalloc.start()
+    models.train_net(x, y, x[:0], y[:0], w0, 2, 0.01, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * x.nbytes  # a layer's activations of all rows alone have eight times the bytes of x
+
+
 def boosted(spark, rounds=4):
     rng = np.random.default_rng(5)
     x = rng.random((500, 3))
