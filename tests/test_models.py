@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.operators import gram, models, scoring, split
+from keelson.operators import boosting, gram, models, scoring, split
 
 
 def table(spark, rng, n=400):
@@ -201,3 +201,67 @@ def test_trees_have_their_shares_of_rows_and_columns(spark):
     cols = {r.tree: r.features for r in split.tree_columns(spark, list("abcdefghij"), 40, 0.35).collect()}
     assert len(cols) == 40 and all(len(set(c)) == 3 and c == sorted(c) for c in cols.values()) and len({tuple(c) for c in cols.values()}) > 10
     assert {len(r.features) for r in split.tree_columns(spark, ["x"], 3, 0.1).collect()} == {1}
+
+
+def by_hand(x, y, cuts, depth, target):
+    """Predictions of one tree, node by node: the split of most variance gain over all features and cuts."""
+    def grow(at, d):
+        t = target[at]
+        best = (1e-9, None)
+        for f, cs in enumerate(cuts if d < depth else []):
+            for c in cs:
+                left = x[at, f] <= c
+                if 0 < left.sum() < len(at):
+                    gain = t.var() - (left.sum() * t[left].var() + (~left).sum() * t[~left].var()) / len(at)
+                    if gain > best[0] * (1 + 1e-9):
+                        best = (gain, (f, c))
+        if best[1] is None:
+            out[at] = t.mean()
+            return
+        left = x[at, best[1][0]] <= best[1][1]
+        grow(at[left], d + 1)
+        grow(at[~left], d + 1)
+
+    out = np.zeros(len(y))
+    grow(np.arange(len(y)), 0)
+    return out
+
+
+def test_boosting_equals_trees_by_hand(spark):
+    rng = np.random.default_rng(8)
+    x = np.c_[rng.integers(0, 5, 300), rng.random(300)].astype(float)
+    y = 3 * x[:, 0] * (x[:, 1] > 0.4) + rng.normal(size=300)
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, y double").repartition(4)
+    m = models.boosted_trees(df, ["a", "b"], "y", rounds=4, depth=3, row_frac=1.0, col_frac=1.0, bins=16)
+    assert np.allclose(m.cuts[0], [0.5, 1.5, 2.5, 3.5]) and len(m.cuts[1]) == 15
+    want, errors = np.zeros(300), []
+    for i in range(4):
+        want = want + (by_hand(x, y, m.cuts, 3, y) if i == 0 else 0.1 * by_hand(x, y, m.cuts, 3, 2 * (y - want)))
+        errors.append(((y - want) ** 2).mean())
+    got = {(r.a, r.b): r.prediction for r in m.transform(df).collect()}
+    assert np.allclose([got[tuple(map(float, r))] for r in x], want)
+    assert np.allclose(m.squared_errors(df, "y"), errors)
+    flat = models.boosted_trees(df.withColumn("a", F.lit(1.0)), ["a"], "y", rounds=2, row_frac=1.0)
+    assert [r.prediction for r in flat.transform(df).limit(2).collect()] == pytest.approx([y.mean()] * 2)
+    for odd in (None, float("nan")):
+        with pytest.raises(Exception, match="NULL or non-finite"):
+            models.boosted_trees(df.unionByName(spark.createDataFrame([(1.0, odd, 1.0)], df.schema)), ["a", "b"], "y", rounds=1)
+    with pytest.raises(Exception, match="NULL feature"):
+        m.transform(spark.createDataFrame([(1.0, None, 1.0)], df.schema)).collect()
+
+
+def test_rows_reach_the_leaf_of_a_walk():
+    rng = np.random.default_rng(3)
+    for depth in (0, 1, 3, 6, 9):
+        feature, cut, child, level = [0], [1 << 30], [0], [0]
+        for _ in range(depth):
+            following = []
+            for v in level:
+                if v == 0 or rng.random() < 0.9:
+                    feature[v], cut[v], child[v] = int(rng.integers(4)), int(rng.integers(127)), len(child)
+                    following += [len(child), len(child) + 1]
+                    feature, cut, child = feature + [0, 0], cut + [1 << 30] * 2, child + following[-2:]
+            level = following
+        tree = tuple(map(np.array, (feature, cut, child)))
+        bins = rng.integers(0, 128, (4, 2000)).astype(np.uint8)
+        assert (boosting._Reach(*tree, depth, 128, 4)(bins) == boosting._walk(bins, *tree, depth)).all()
