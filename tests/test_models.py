@@ -265,3 +265,80 @@ def test_rows_reach_the_leaf_of_a_walk():
         tree = tuple(map(np.array, (feature, cut, child)))
         bins = rng.integers(0, 128, (4, 2000)).astype(np.uint8)
         assert (boosting._Reach(*tree, depth, 128, 4)(bins) == boosting._walk(bins, *tree, depth)).all()
+
+
+def test_the_registered_search_runs_every_trial_to_its_end(spark, monkeypatch):
+    from inspect import signature
+
+    from keelson.plans import models as plans
+    asked = {}
+
+    def search(*a, **k):
+        asked.update(signature(real).bind(*a, **k).arguments)
+        return (None, None)
+    real = models.random_search
+    monkeypatch.setattr(plans, "_gbt_split", lambda *a: (None, None))
+    monkeypatch.setattr(models, "random_search", search)
+    plans.search(spark, "")
+    drawn = models.draw_trials(asked.get("trials", 50), space=asked.get("space"))
+    assert len(drawn) == 50 and asked.get("halving") is None and max(p["rounds"] for p in drawn) > 400 and min(p["rounds"] for p in drawn) >= 50
+
+
+def test_trials_in_tasks_are_those_by_passes(spark):
+    rng = np.random.default_rng(6)
+    x, y = np.c_[rng.integers(0, 40, 3000), rng.random((3000, 2))], rng.normal(size=3000)
+    y += 3 * (x[:, 0] > 20) * x[:, 1]
+    df = spark.createDataFrame([(*map(float, v), float(t)) for v, t in zip(x, y)], "a double, b double, c double, y double").repartition(3)
+    train, test = df.where("c < 0.8"), df.where("c >= 0.8")
+    feats, settings = ["a", "b", "c"], {i: p | {"seed": i} for i, p in enumerate(models.draw_trials(4, space={"rounds": (3, 5), "depth": (1, 4)}))}
+    binned = boosting.bin_rows(train, feats, "y")
+    held = boosting.bin_rows(test, feats, "y", cuts=binned.cuts)
+    (errors, model), (other_errors, other_model) = models._fit_by_passes(binned, test, "y", settings, 2), boosting.fit_each(binned, held, settings)
+    assert set(errors) == set(other_errors) == {0, 1, 2, 3} and all(errors[i] == pytest.approx(other_errors[i], rel=1e-9) for i in errors)
+    best = min(errors, key=errors.get)
+    for i in errors:
+        a, b = models.boosted_trees(binned, None, "y", **settings[i]), other_model(i)
+        assert a.weights == b.weights and a.totalNumNodes == b.totalNumNodes
+        for x, z in zip(a.trees, b.trees):
+            assert all(np.array_equal(getattr(x, k), getattr(z, k)) for k in ("feature", "cut", "threshold", "child", "n"))
+            assert all(np.allclose(getattr(x, k), getattr(z, k), rtol=1e-9, atol=1e-12, equal_nan=True) for k in ("value", "gain", "impurity"))
+        assert i != best or np.allclose(*([r.prediction for r in x.transform(test).collect()] for x in (model(i), b)))
+    runs, found = models.random_search(train, test, feats, "y", trials=3, space={"rounds": (2, 3), "depth": (2, 3)})
+    assert [r.rmse for r in runs.collect() if r.is_best] == [min(r.rmse for r in runs.collect())] and found.getNumTrees in (2, 3)
+    with pytest.raises(Exception, match="NULL feature"):
+        models.random_search(train, test.withColumn("b", F.expr("nullif(b, b)")), feats, "y", trials=1)
+
+
+
+@pytest.mark.parametrize("depth, col_frac", [(0, 1.0), (3, 0.5), (8, 0.5), (9, 1.0)])
+def test_rows_in_one_task_grow_the_tree_of_jobs(depth, col_frac):
+    rng = np.random.default_rng(7)
+    x, y = rng.random((2, 4000)), rng.normal(size=4000)
+    cuts = [np.sort(rng.random(40)), np.sort(rng.random(9))]
+    blocks = [((0, i), boosting._numbers(cuts, x[:, a:a + 1000]), y[a:a + 1000]) for i, a in enumerate(range(0, 4000, 1000))]
+
+    class Rows:  # an RDD of one partition
+        def __init__(self, rows):
+            self.rows = rows
+
+        def getNumPartitions(self):
+            return 1
+
+        def mapPartitions(self, f):
+            return Rows(list(f(iter(self.rows))))
+
+        def fold(self, zero, add):
+            return self.rows[0]
+
+    held, state = boosting._Held(blocks, cuts), Rows(blocks)
+    assert len(held.blocks) == 1
+    for i in range(3):
+        held.begin(i, 0.7, 5)
+        a = boosting._grow(held.sums, cuts, i, depth, col_frac, 5)
+        b = boosting._grow(boosting._by_jobs(state, cuts, i, 0.7, 5), cuts, i, depth, col_frac, 5)
+        assert all(np.allclose(getattr(a, k), getattr(b, k), rtol=1e-9, atol=1e-9, equal_nan=True) for k in ("n", "value", "impurity")) or depth > 7
+        assert a.n[0] == b.n[0] and (depth == 0 or a.feature[0] == b.feature[0]) and a.numNodes == b.numNodes or depth > 7
+        held.end(a, 0.3)
+        assert np.allclose(held.left[0], np.concatenate([r for _, _, r in boosting._less(a, 0.3, cuts)(iter(state.rows))]))
+        state = state.mapPartitions(boosting._less(a, 0.3, cuts))
+    assert (depth < 8) == (a.numNodes < 128)  # more leaves than a word has bits, too
